@@ -28,7 +28,7 @@ from sluice.operators.stats import (  # noqa: F401
     describe_columns,
     global_stats,
     risk_score,
-    scalar_stats,
+    with_scalar_stats,
     top_k_counts,
     with_global_stats,
 )

@@ -34,14 +34,22 @@ def global_stats(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
     return df.agg(*[e.alias(name) for name, e in exprs.items()])
 
 
-def scalar_stats(df: DataFrame, exprs: Mapping[str, Column]) -> dict[str, Column]:
-    """The aggregates of ``global_stats`` as scalar-subquery columns.
+STATS_COLUMN = "__stats"
 
-    One subquery computes all of them (a struct), so the input is
-    aggregated once however many statistics are attached.
+
+def with_scalar_stats(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
+    """Attach the aggregates of ``global_stats`` to every row of ``df``.
+
+    One scalar subquery computes all of them as a struct; it is attached as
+    a single column before the fields are read, so Spark plans the
+    subquery once (reading a field of the subquery expression in several
+    places would plan one subquery per place). The struct column is
+    dropped again.
     """
     packed = df.select(F.struct(*[e.alias(n) for n, e in exprs.items()]).alias("s")).scalar()
-    return {name: packed.getField(name) for name in exprs}
+    staged = df.withColumn(STATS_COLUMN, packed)
+    fields = {name: F.col(STATS_COLUMN).getField(name) for name in exprs}
+    return staged.withColumns(fields).drop(STATS_COLUMN)
 
 
 def with_global_stats(
@@ -58,14 +66,11 @@ def with_global_stats(
     partial sums are merged in.
     """
     exprs = {out: _AGGS[fn](F.col(value_col)) for out, fn in stats.items()}
-    cols = scalar_stats(df, exprs)
+    out = with_scalar_stats(df, exprs)
     round_scale = round_scale or {}
-    return df.withColumns(
-        {
-            out: round_half_up(c, round_scale[out]) if out in round_scale else c
-            for out, c in cols.items()
-        }
-    )
+    if not round_scale:
+        return out
+    return out.withColumns({c: round_half_up(F.col(c), k) for c, k in round_scale.items()})
 
 
 def risk_score(
@@ -92,17 +97,20 @@ def risk_score(
     w_age, w_cond, w_bill = RISK_WEIGHTS
     age_d = F.col(age).try_cast("double")
     bill_d = F.col(billing).try_cast("double")
-    if max_age is None or max_billing is None:
-        if text_maxima:
-            exprs = {"a": F.max(F.col(age).cast("string")), "b": F.max(F.col(billing).cast("string"))}
-        else:
-            exprs = {"a": F.max(age_d), "b": F.max(bill_d)}
-        found = scalar_stats(df, exprs)
-        max_age = found["a"] if max_age is None else max_age
-        max_billing = found["b"] if max_billing is None else max_billing
-    ma = F.lit(max_age) if not isinstance(max_age, Column) else max_age
-    mb = F.lit(max_billing) if not isinstance(max_billing, Column) else max_billing
-    ma, mb = ma.try_cast("double"), mb.try_cast("double")
+    tmp = ("__max_age", "__max_billing")
+    if text_maxima:
+        found = {tmp[0]: F.max(F.col(age).cast("string")), tmp[1]: F.max(F.col(billing).cast("string"))}
+    else:
+        found = {tmp[0]: F.max(age_d), tmp[1]: F.max(bill_d)}
+    given = {tmp[0]: max_age, tmp[1]: max_billing}
+    missing = {k: e for k, e in found.items() if given[k] is None}
+    if missing:
+        df = with_scalar_stats(df, missing)
+    ma, mb = (
+        (F.col(k) if given[k] is None else given[k] if isinstance(given[k], Column) else F.lit(given[k]))
+        .try_cast("double")
+        for k in tmp
+    )
     if round_billing_first:
         bill_d, mb = round_half_up(bill_d, 2), round_half_up(mb, 2)
     flag = F.when(F.col(condition) == RISK_CONDITION, 1).otherwise(0)
@@ -112,7 +120,7 @@ def risk_score(
         + F.try_divide(bill_d, mb) * F.lit(w_bill)
     )
     rounded = round_half_even(score, scale) if half_even else round_half_up(score, scale)
-    return df.withColumn(out, rounded)
+    return df.withColumn(out, rounded).drop(*[k for k in tmp if k in missing])
 
 
 def top_k_counts(df: DataFrame, key: str, k: int = 10, count_col: str = "count") -> DataFrame:

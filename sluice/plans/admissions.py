@@ -31,6 +31,7 @@ from sluice.operators.clean import (
 from sluice.operators.shape import cast_by_schema, parse_dates, reorder_columns, round_column, stay_days
 from sluice.operators.stamp import batch_stamp, row_key
 from sluice.operators.stats import risk_score
+from sluice.sinks.files import stage
 from sluice.plans.schemas import ADMISSIONS_OUTPUT, ADMISSIONS_SOURCE, ADMISSIONS_TYPES, resolve
 
 DATE_FORMAT = "dd-MM-yyyy"
@@ -70,6 +71,7 @@ def _finish(
     text_maxima: bool,
     half_even: bool,
     round_billing: bool = False,
+    staged: bool | str = True,
 ) -> DataFrame:
     n = _n(names)
     src = [n(c) for c in ADMISSIONS_SOURCE]
@@ -80,6 +82,8 @@ def _finish(
     df = parse_dates(df, [n("date_of_admission"), n("discharge_date")], DATE_FORMAT)
     df = stay_days(df, n("date_of_admission"), n("discharge_date"), n("admission_days"))
     df = batch_stamp(df, batch_id, n("etl_batch_id"), n("etl_batch_date"))
+    if staged:
+        df = stage(df, "admissions_stage", staged if isinstance(staged, str) else None)
     df = risk_score(
         df,
         n("age"),
@@ -99,10 +103,17 @@ def admissions_etl(
     names: Mapping[str, str] | None = None,
     sentinels=BLANK_SENTINELS,
     text_maxima: bool = False,
+    staged: bool | str = True,
 ) -> DataFrame:
-    """The final admissions flow; 20 output columns (``ADMISSIONS_OUTPUT``)."""
+    """The final admissions flow; 20 output columns (``ADMISSIONS_OUTPUT``).
+
+    ``staged``: write the cleaned, stamped rows once (to this path, or to
+    the checkpoint folder when ``True``) and derive maxima and scores from
+    the written table; ``False`` keeps one lazy plan, in which the maxima
+    subquery re-reads the source.
+    """
     df = admissions_clean(raw, names, sentinels)
-    return _finish(df, batch_id, names, text_maxima, half_even=False)
+    return _finish(df, batch_id, names, text_maxima, half_even=False, staged=staged)
 
 
 def admissions_etl_reject(
@@ -110,7 +121,10 @@ def admissions_etl_reject(
     batch_id: str | int,
     names: Mapping[str, str] | None = None,
     sentinels=REJECT_SENTINELS,
+    staged: bool | str = True,
 ) -> DataFrame:
     """The scheduled-workflow flow: sentinel rows rejected, not blanked."""
     df = admissions_rejected(raw, names, sentinels)
-    return _finish(df, batch_id, names, text_maxima=False, half_even=True, round_billing=True)
+    return _finish(
+        df, batch_id, names, text_maxima=False, half_even=True, round_billing=True, staged=staged
+    )

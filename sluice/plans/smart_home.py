@@ -28,6 +28,7 @@ from sluice.operators.shape import (
 )
 from sluice.operators.stamp import batch_stamp, row_key
 from sluice.operators.stats import with_global_stats
+from sluice.sinks.files import stage
 from sluice.plans.schemas import (
     HOUSE_OVERALL_PARTS,
     SMART_HOME_OUTPUT,
@@ -99,13 +100,23 @@ def smart_home_etl(
     batch_id: str | int,
     names: Mapping[str, str] | None = None,
     window: tuple[str, str] | None = None,
+    staged: bool | str = True,
 ) -> DataFrame:
-    """The whole flow; 33 output columns (``SMART_HOME_OUTPUT``)."""
+    """The whole flow; 33 output columns (``SMART_HOME_OUTPUT``).
+
+    ``staged``: write the cleaned, typed rows once (to this path, or to the
+    checkpoint folder when ``True``) and take the statistics and the output
+    rows from the written table. The average needs the deduplicated rows,
+    so without a stage the statistics subquery would repeat the scan and
+    the dedup shuffle.
+    """
     n = _n(names)
     src = [n(c) for c in SMART_HOME_SOURCE]
     df = smart_home_clean(raw, names, window)
     df = row_key(df, src, out=n("row_key"))
     df = batch_stamp(df, batch_id, n("etl_batch_id"), n("etl_batch_date"))
     df = smart_home_totals(smart_home_typed(df, names), names)
+    if staged:
+        df = stage(df, "smart_home_stage", staged if isinstance(staged, str) else None)
     df = with_power_stats(df, names)
     return reorder_columns(df, [n(c) for c in SMART_HOME_OUTPUT])

@@ -1,5 +1,6 @@
 from sluice.sinks.files import (  # noqa: F401
     publish,
+    stage,
     unquoted_lines,
     write_csv,
     write_jdbc,

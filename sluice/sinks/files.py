@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.session import scratch_path
+
 
 def write_csv(
     df: DataFrame,
@@ -108,6 +110,20 @@ def write_once(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parque
     return spark.read.format(fmt).load(path)
 
 
+def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` once as a Parquet table and continue from the files.
+
+    The table goes to ``path`` or to a fresh folder under the session's
+    checkpoint directory (shared storage on a cluster). Everything after
+    this point reads the staged files: a whole-table statistic scans only
+    the columns it needs, the rows are not recomputed (no second scan of
+    the source, no second shuffle), and a lost executor costs a re-read of
+    staged files rather than a replay of the lineage.
+    """
+    spark = df.sparkSession
+    return write_once(spark, df, path or scratch_path(spark, name))
+
+
 def write_jdbc(
     df: DataFrame,
     url: str,

@@ -19,7 +19,7 @@ from sluice.plans.schemas import (
     SMART_HOME_SOURCE,
     SMART_HOME_WEATHER_READINGS,
 )
-from sluice.sources.tables import read_table
+from sluice.sources.tables import read_table, spread
 
 
 def _s(c: Column) -> Column:
@@ -43,11 +43,13 @@ def admissions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     row per 500 orders. Sentinels: '' insurer (key % 23), 'Null' medication
     (key % 29), 'NA' / 'None' / 'null' test results (key % 11, 13, 17).
     """
-    o = read_table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("k"),
-        F.col("o_custkey").alias("u"),
-        F.col("o_orderdate").cast("date").alias("d"),
-        F.col("o_totalprice").alias("p"),
+    o = spread(
+        read_table(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").alias("k"),
+            F.col("o_custkey").alias("u"),
+            F.col("o_orderdate").cast("date").alias("d"),
+            F.col("o_totalprice").alias("p"),
+        )
     )
     k, u, d = F.col("k"), F.col("u"), F.col("d")
     discharge = F.date_add(d, (F.lit(1) + k % 30).cast("int"))
@@ -101,7 +103,7 @@ def smart_home_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     Power columns use odd multipliers from 7 upwards (mod 1000, shown as
     0.xxx kW); weather columns continue from 43 (mod 1009).
     """
-    events = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    events = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value"))
     i = F.col("event_id")
     values: dict[str, Column] = {
         "time": _s(ntz_to_epoch_seconds(F.col("ts"))),
