@@ -19,6 +19,9 @@ from sluice.functions.columns import (
     BLANK_SENTINELS,
     REJECT_SENTINELS,
     blanked,
+    ident,
+    sentinel_free_sql,
+    sql_text,
 )
 
 
@@ -30,9 +33,7 @@ def _string_columns(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
 
 def sentinel_free(cols: Iterable[str], values: Iterable[str] = REJECT_SENTINELS) -> Column:
     """Row predicate: no column is null or equal to a sentinel."""
-    values = list(values)
-    tests = [F.col(c).isNotNull() & ~F.col(c).isin(values) for c in cols]
-    return reduce(lambda a, b: a & b, tests)
+    return F.expr(sentinel_free_sql(cols, values))
 
 
 def reject_sentinel_rows(
@@ -114,10 +115,11 @@ def stage_row_counts(
     """
     cols = list(cols) if cols is not None else df.columns
     values = list(values)
+    listed = ", ".join(sql_text(v) for v in values)
+    any_sentinel = " OR ".join(f"coalesce({ident(c)} IN ({listed}), false)" for c in cols)
     flagged = df.select(
         *[blanked(c, values).alias(c) for c in cols],
-        reduce(lambda a, b: a | b, [F.coalesce(F.col(c).isin(values), F.lit(False)) for c in cols])
-        .cast("int").alias("_has_sentinel"),
+        F.expr(f"CAST(({any_sentinel}) AS INT)").alias("_has_sentinel"),
     )
     groups = flagged.groupBy(*cols).agg(
         F.count(F.lit(1)).alias("_n"), F.sum("_has_sentinel").alias("_s")

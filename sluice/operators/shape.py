@@ -20,6 +20,7 @@ from sluice.functions.columns import (
     round_half_even,
     round_half_up,
     text_to_ntz,
+    try_cast,
 )
 
 
@@ -34,7 +35,7 @@ def cast_by_schema(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     if missing:
         raise ValueError(f"cast_by_schema: no such columns {missing}")
     return df.select(
-        *[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns]
+        *[try_cast(c, types[c]).alias(c) if c in types else F.col(c) for c in df.columns]
     )
 
 

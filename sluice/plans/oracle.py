@@ -301,8 +301,8 @@ def _adm(select: str, *ctes: str) -> str:
     return _with(ADMISSIONS_RAW, *ctes) + select
 
 
-def _sh(select: str, window=None) -> str:
-    return _with(*_sh_house_ctes(window)) + select
+def _sh(select: str, window=None, extra=()) -> str:
+    return _with(*_sh_house_ctes(window), *extra) + select
 
 
 def _describe() -> str:
@@ -441,9 +441,12 @@ def oracle_queries() -> dict[str, str]:
         + f"SELECT time, count(*) AS count FROM sh_timed GROUP BY time "
         f"ORDER BY count DESC, time ASC NULLS LAST LIMIT {C.TOP_TIMES}",
         "day_over_day_delta": _sh(
-            f"SELECT day, CAST(total AS DOUBLE) AS total, CAST(total - lag(total) OVER (ORDER BY day) AS DOUBLE) AS delta "
-            f"FROM (SELECT CAST(time AS DATE) AS day, sum(TRY_CAST(house_overall AS {SUM_DECIMAL})) AS total "
-            f"FROM sh_house GROUP BY 1)"
+            f"SELECT t.day, CAST(t.total AS DOUBLE) AS total, CAST(t.total - p.total AS DOUBLE) AS delta "
+            f"FROM sh_days t LEFT JOIN sh_days p ON t.day = p.day + INTERVAL 1 DAY",
+            extra=[
+                f"sh_days AS (SELECT CAST(time AS DATE) AS day, "
+                f"sum(TRY_CAST(house_overall AS {SUM_DECIMAL})) AS total FROM sh_house GROUP BY 1)"
+            ],
         ),
         "day_extremes": _sh(
             f"SELECT DATE '{C.EXTREMES_DAY}' AS day, max(house_overall) AS max_total_overall, "

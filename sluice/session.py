@@ -69,6 +69,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(root)
         return spark.sparkContext.getCheckpointDir() or root
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: staged tables need a folder on "
+            "storage every executor can reach (set spark.checkpoint.dir)"
+        )
     local = tempfile.mkdtemp(prefix="sluice-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local

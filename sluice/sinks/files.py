@@ -80,14 +80,22 @@ def publish(
 ) -> None:
     """Publish to a fixed directory, replacing what was there.
 
-    ``num_files`` caps the number of part files with ``coalesce`` (no
-    shuffle, fewer writer tasks) — keep it proportional to the data, not 1,
-    on large outputs; ``max_records_per_file`` bounds file size instead.
-    With ``partition_by`` only the partitions present in ``df`` are
-    replaced (dynamic partition overwrite), so a batch republishes its own
-    days without touching others.
+    By default the rows pass through a ``rebalance`` hint: AQE sizes the
+    writer partitions to its advisory size and splits a skewed partition
+    value across several files. ``num_files`` asks for an exact number of
+    part files instead (a round-robin shuffle, so the stage computing the
+    rows keeps its full parallelism, unlike ``coalesce``); keep it
+    proportional to the data on large outputs. ``max_records_per_file``
+    bounds file size. With ``partition_by`` only the partitions present in
+    ``df`` are replaced (dynamic partition overwrite), so a batch
+    republishes its own days without touching others.
     """
-    out = df.coalesce(num_files) if num_files else df
+    if num_files:
+        out = df.repartition(num_files)
+    elif partition_by:
+        out = df.hint("rebalance", *partition_by)
+    else:
+        out = df.hint("rebalance")
     writer = out.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)

@@ -4,15 +4,15 @@ The driver tables are clean (no nulls, no duplicate rows), so the cleaning
 operators would run on nothing. These two views re-shape whole tables into
 the text records the jobs expect: every value is text, with sentinels,
 exact duplicate rows and all-blank rows mixed in. Both are pure projections
-and unions of a full scan, so their size grows with the tables.
+and unions of a full scan, so their size grows with the tables. The
+expressions are SQL text (one ``selectExpr`` per view), the same text the
+DuckDB oracle uses.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from sluice.functions.columns import ntz_to_epoch_seconds
 from sluice.plans.schemas import (
     ADMISSIONS_SOURCE,
     SMART_HOME_POWER_READINGS,
@@ -22,18 +22,43 @@ from sluice.plans.schemas import (
 from sluice.sources.tables import read_table, spread
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
+def _cases(key: str, labels: list[str]) -> str:
+    """labels[key % len(labels)] as a CASE expression."""
+    n = len(labels)
+    whens = " ".join(f"WHEN {i} THEN '{label}'" for i, label in enumerate(labels[:-1]))
+    return f"CASE {key} % {n} {whens} ELSE '{labels[-1]}' END"
 
 
-def _cases(key: Column, labels: list[str]) -> Column:
-    """labels[key % len(labels)], written as a CASE expression."""
-    expr = None
-    n = len(labels)
-    for i, label in enumerate(labels[:-1]):
-        cond = (key % n) == i
-        expr = F.when(cond, label) if expr is None else expr.when(cond, label)
-    return expr.otherwise(labels[-1])
+ADMISSIONS_EXPRS = {
+    "name": "concat('Patient ', CAST(u AS STRING))",
+    "age": "CAST(18 + u % 83 AS STRING)",
+    "gender": "CASE WHEN u % 2 = 0 THEN 'Female' ELSE 'Male' END",
+    "blood_type": _cases("u", ["A+", "B-", "AB+", "O-"]),
+    "medical_condition": _cases(
+        "k", ["Diabetes", "Asthma", "Obesity", "Arthritis", "Hypertension", "Cancer"]
+    ),
+    "date_of_admission": "date_format(d, 'dd-MM-yyyy')",
+    "doctor": "concat('Doctor ', CAST(u % 97 AS STRING))",
+    "hospital": "concat('Hospital ', CAST(u % 31 AS STRING), ', Group')",
+    "insurance_provider": "CASE WHEN k % 23 = 0 THEN '' ELSE concat('Insurer ', CAST(u % 5 AS STRING)) END",
+    "billing_amount": "CAST(CAST(p AS DECIMAL(12,2)) AS STRING)",
+    "room_number": "CAST(101 + k % 400 AS STRING)",
+    "admission_type": _cases("k", ["Elective", "Urgent", "Emergency"]),
+    "discharge_date": "date_format(date_add(d, CAST(1 + k % 30 AS INT)), 'dd-MM-yyyy')",
+    "medication": "CASE WHEN k % 29 = 0 THEN 'Null' ELSE concat('Drug ', CAST(k % 5 AS STRING)) END",
+    "test_results": (
+        "CASE WHEN k % 11 = 0 THEN 'NA' WHEN k % 13 = 0 THEN 'None' WHEN k % 17 = 0 THEN 'null' "
+        "WHEN k % 2 = 0 THEN 'Normal' ELSE 'Abnormal' END"
+    ),
+}
+assert tuple(ADMISSIONS_EXPRS) == ADMISSIONS_SOURCE
+
+
+def _with_copies(rows: DataFrame, key: str, dup_mod: int, dup_rem: int, blank_mod: int, cols) -> DataFrame:
+    """rows + a second copy of some rows + one all-blank row per ``blank_mod``."""
+    copies = rows.where(f"{key} % {dup_mod} = {dup_rem}")
+    blank = rows.where(f"{key} % {blank_mod} = 0").selectExpr(key, *[f"'' AS {c}" for c in cols])
+    return rows.unionByName(copies).unionByName(blank).drop(key)
 
 
 def admissions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,53 +68,32 @@ def admissions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     row per 500 orders. Sentinels: '' insurer (key % 23), 'Null' medication
     (key % 29), 'NA' / 'None' / 'null' test results (key % 11, 13, 17).
     """
-    o = spread(
-        read_table(spark, sf_dir, "orders").select(
-            F.col("o_orderkey").alias("k"),
-            F.col("o_custkey").alias("u"),
-            F.col("o_orderdate").cast("date").alias("d"),
-            F.col("o_totalprice").alias("p"),
+    orders = spread(
+        read_table(spark, sf_dir, "orders").selectExpr(
+            "o_orderkey AS k", "o_custkey AS u", "CAST(o_orderdate AS DATE) AS d", "o_totalprice AS p"
         )
     )
-    k, u, d = F.col("k"), F.col("u"), F.col("d")
-    discharge = F.date_add(d, (F.lit(1) + k % 30).cast("int"))
-    test_results = (
-        F.when(k % 11 == 0, "NA")
-        .when(k % 13 == 0, "None")
-        .when(k % 17 == 0, "null")
-        .when(k % 2 == 0, "Normal")
-        .otherwise("Abnormal")
-    )
-    values = {
-        "name": F.concat(F.lit("Patient "), _s(u)),
-        "age": _s(F.lit(18) + u % 83),
-        "gender": F.when(u % 2 == 0, "Female").otherwise("Male"),
-        "blood_type": _cases(u, ["A+", "B-", "AB+", "O-"]),
-        "medical_condition": _cases(
-            k, ["Diabetes", "Asthma", "Obesity", "Arthritis", "Hypertension", "Cancer"]
-        ),
-        "date_of_admission": F.date_format(d, "dd-MM-yyyy"),
-        "doctor": F.concat(F.lit("Doctor "), _s(u % 97)),
-        "hospital": F.concat(F.lit("Hospital "), _s(u % 31), F.lit(", Group")),
-        "insurance_provider": F.when(k % 23 == 0, "").otherwise(
-            F.concat(F.lit("Insurer "), _s(u % 5))
-        ),
-        "billing_amount": _s(F.col("p").cast("decimal(12,2)")),
-        "room_number": _s(F.lit(101) + k % 400),
-        "admission_type": _cases(k, ["Elective", "Urgent", "Emergency"]),
-        "discharge_date": F.date_format(discharge, "dd-MM-yyyy"),
-        "medication": F.when(k % 29 == 0, "Null").otherwise(
-            F.concat(F.lit("Drug "), _s(k % 5))
-        ),
-        "test_results": test_results,
+    rows = orders.selectExpr("k", *[f"{e} AS {n}" for n, e in ADMISSIONS_EXPRS.items()])
+    return _with_copies(rows, "k", 10, 3, 500, ADMISSIONS_SOURCE)
+
+
+def _smart_home_exprs() -> dict[str, str]:
+    exprs = {
+        "time": "CAST(timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS STRING)",
+        "use_kw": "CAST(CAST(value AS DECIMAL(12,2)) AS STRING)",
     }
-    assert list(values) == list(ADMISSIONS_SOURCE)
-    rows = o.select("k", *[v.alias(n) for n, v in values.items()])
-    blank = rows.where(k % 500 == 0).select(
-        "k", *[F.lit("").alias(n) for n in ADMISSIONS_SOURCE]
-    )
-    out = rows.unionByName(rows.where(k % 10 == 3)).unionByName(blank)
-    return out.drop("k")
+    for n, name in enumerate(SMART_HOME_POWER_READINGS):
+        exprs[name] = f"concat('0.', lpad(CAST(event_id * {7 + 2 * n} % 1000 AS STRING), 3, '0'))"
+    for n, name in enumerate(SMART_HOME_WEATHER_READINGS):
+        exprs[name] = f"CAST(event_id * {43 + 2 * n} % 1009 AS STRING)"
+    exprs["cloud_cover"] = f"CASE WHEN event_id % 53 = 0 THEN 'cloudy' ELSE {exprs['cloud_cover']} END"
+    exprs["temperature"] = "CASE WHEN event_id % 37 = 0 THEN 'NA' ELSE CAST(event_id % 101 AS STRING) END"
+    exprs["icon"] = "event_type"
+    exprs["summary"] = "CASE WHEN event_id % 41 = 0 THEN 'Null' WHEN event_id % 43 = 0 THEN '' ELSE event_type END"
+    return {name: exprs[name] for name in SMART_HOME_SOURCE}
+
+
+SMART_HOME_EXPRS = _smart_home_exprs()
 
 
 def smart_home_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,24 +108,5 @@ def smart_home_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     0.xxx kW); weather columns continue from 43 (mod 1009).
     """
     events = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value"))
-    i = F.col("event_id")
-    values: dict[str, Column] = {
-        "time": _s(ntz_to_epoch_seconds(F.col("ts"))),
-        "use_kw": _s(F.col("value").cast("decimal(12,2)")),
-    }
-    for n, name in enumerate(SMART_HOME_POWER_READINGS):
-        values[name] = F.concat(F.lit("0."), F.lpad(_s(i * (7 + 2 * n) % 1000), 3, "0"))
-    for n, name in enumerate(SMART_HOME_WEATHER_READINGS):
-        values[name] = _s(i * (43 + 2 * n) % 1009)
-    values["cloud_cover"] = F.when(i % 53 == 0, "cloudy").otherwise(values["cloud_cover"])
-    values["temperature"] = F.when(i % 37 == 0, "NA").otherwise(_s(i % 101))
-    values["icon"] = F.col("event_type")
-    values["summary"] = (
-        F.when(i % 41 == 0, "Null").when(i % 43 == 0, "").otherwise(F.col("event_type"))
-    )
-    rows = events.select("event_id", *[values[n].alias(n) for n in SMART_HOME_SOURCE])
-    blank = rows.where(i % 400 == 0).select(
-        "event_id", *[F.lit("").alias(n) for n in SMART_HOME_SOURCE]
-    )
-    out = rows.unionByName(rows.where(i % 9 == 4)).unionByName(blank)
-    return out.drop("event_id")
+    rows = events.selectExpr("event_id", *[f"{e} AS {n}" for n, e in SMART_HOME_EXPRS.items()])
+    return _with_copies(rows, "event_id", 9, 4, 400, SMART_HOME_SOURCE)
