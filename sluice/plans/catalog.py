@@ -56,6 +56,7 @@ from sluice.plans.schemas import (
     ADMISSIONS_SOURCE,
     ADMISSIONS_TYPES,
     POWER_FIELDS,
+    SMART_HOME_SOURCE,
     SMART_HOME_TOTALS,
 )
 from sluice.plans.smart_home import (
@@ -301,6 +302,34 @@ def q_smart_home_etl_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return smart_home_etl(smart_home_raw(spark, sf_dir), BATCH_ID, window=DAY_SLICE)
 
 
+# --- incremental (file stream) runs -------------------------------------------
+
+def _stream_through(spark: SparkSession, raw: DataFrame, job, columns, name: str) -> DataFrame:
+    """Land ``raw`` as CSV files, run the job over them as one stream run."""
+    from sluice.streaming.incremental import EPOCH_COLUMN, run_incremental
+
+    landing = scratch_path(spark, f"{name}_landing")
+    write_csv(raw, landing)
+    out = scratch_path(spark, f"{name}_out")
+    run_incremental(
+        spark, job, landing, columns, out, scratch_path(spark, f"{name}_ckpt"),
+        batch_id_for=lambda _epoch: BATCH_ID,
+    )
+    return spark.read.parquet(out).drop(EPOCH_COLUMN)
+
+
+def q_admissions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.streaming.incremental import admissions_job
+
+    return _stream_through(spark, admissions_raw(spark, sf_dir), admissions_job(), ADMISSIONS_SOURCE, "adm_stream")
+
+
+def q_smart_home_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.streaming.incremental import smart_home_job
+
+    return _stream_through(spark, smart_home_raw(spark, sf_dir), smart_home_job(), SMART_HOME_SOURCE, "sh_stream")
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

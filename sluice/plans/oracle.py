@@ -458,5 +458,7 @@ def oracle_queries() -> dict[str, str]:
         "argmax_column": _sh(_argmax()),
         "describe_power": _sh(_describe()),
         "smart_home_etl": _smart_home_etl_sql(),
+        "smart_home_stream": _smart_home_etl_sql(),
+        "admissions_stream": _adm_etl_sql(),
         "smart_home_etl_window": _smart_home_etl_sql((lo, hi)),
     }
