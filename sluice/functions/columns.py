@@ -151,6 +151,12 @@ def epoch_seconds_to_ntz(c: str | Column) -> Column:
     return F.timestamp_add("SECOND", seconds, F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
 
 
+def epoch_seconds_to_text(c: str | Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """Epoch seconds -> formatted UTC text (``from_unixtime`` without the
+    session time zone)."""
+    return F.date_format(epoch_seconds_to_ntz(c), fmt)
+
+
 def ntz_to_epoch_seconds(c: str | Column) -> Column:
     """``timestamp_ntz`` -> whole epoch seconds (fraction dropped)."""
     return F.timestamp_diff("SECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), _col(c))

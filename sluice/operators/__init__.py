@@ -30,6 +30,7 @@ from sluice.operators.stats import (  # noqa: F401
     risk_score,
     with_scalar_stats,
     top_k_counts,
+    with_day_extremes,
     with_global_stats,
 )
 from sluice.operators.upsert import keyed_upsert  # noqa: F401

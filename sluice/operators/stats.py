@@ -207,6 +207,27 @@ def day_extremes(
     )
 
 
+def with_day_extremes(
+    df: DataFrame,
+    ts_col: str,
+    value_col: str,
+    day: str,
+    prefix: str = "total_overall_day",
+) -> DataFrame:
+    """Attach one day's max and min of ``value_col`` to every row.
+
+    The day's figures come from a single scalar subquery over the day's
+    timestamp range; the rows themselves are not filtered.
+    """
+    lo, hi = _day_bounds(day)
+    ts = F.col(ts_col)
+    exprs = {
+        f"max_{prefix}": F.max(F.when((ts >= lo) & (ts < hi), F.col(value_col))),
+        f"min_{prefix}": F.min(F.when((ts >= lo) & (ts < hi), F.col(value_col))),
+    }
+    return with_scalar_stats(df, exprs)
+
+
 def argmax_column(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Which of ``fields`` holds the largest value, and that value.
 

@@ -14,7 +14,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions.columns import BLANK_SENTINELS, REJECT_SENTINELS, round_half_even
+from sluice.functions.columns import (
+    BLANK_SENTINELS,
+    REJECT_SENTINELS,
+    epoch_seconds_to_text,
+    round_half_even,
+)
 from sluice.operators.clean import (
     blank_sentinels,
     dedup_rows,
@@ -31,6 +36,7 @@ from sluice.operators.shape import (
     reorder_columns,
     round_column,
     stay_days,
+    text_to_timestamp,
     time_range,
 )
 from sluice.operators.stamp import batch_stamp, row_key
@@ -42,6 +48,7 @@ from sluice.operators.stats import (
     global_stats,
     risk_score,
     top_k_counts,
+    with_day_extremes,
 )
 from sluice.operators.upsert import keyed_upsert
 from sluice.plans.admissions import (
@@ -252,6 +259,14 @@ def q_epoch_to_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return epoch_to_timestamp(smart_home_raw(spark, sf_dir), "time")
 
 
+def q_text_to_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Epoch -> 'yyyy-MM-dd HH:mm:ss' text -> timestamp, as the source job did."""
+    raw = smart_home_raw(spark, sf_dir).select(
+        "use_kw", epoch_seconds_to_text("time").alias("time_text")
+    )
+    return text_to_timestamp(raw, "time_text", out="time")
+
+
 def q_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return time_range(q_epoch_to_timestamp(spark, sf_dir), "time", *DAY_SLICE)
 
@@ -286,6 +301,11 @@ def q_day_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("sum_total_overall", F.col("sum_total_overall").cast("double"))
 
 
+def q_day_extremes_attached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    house = _sh_house(spark, sf_dir).select("time", "house_overall")
+    return with_day_extremes(house, "time", "house_overall", EXTREMES_DAY)
+
+
 def q_argmax_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return argmax_column(_sh_house(spark, sf_dir), POWER_FIELDS)
 

@@ -427,6 +427,10 @@ def oracle_queries() -> dict[str, str]:
         "admissions_etl_reject": _adm_etl_reject_sql(),
         "epoch_to_timestamp": _with(SMART_HOME_RAW)
         + f"SELECT make_timestamp(TRY_CAST(time AS BIGINT) * 1000000) AS time, {sh_rest} FROM smart_home_raw",
+        "text_to_timestamp": _with(SMART_HOME_RAW)
+        + "SELECT use_kw, time_text, CAST(try_strptime(time_text, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS time "
+        "FROM (SELECT use_kw, strftime(make_timestamp(TRY_CAST(time AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') "
+        "AS time_text FROM smart_home_raw)",
         "time_range": _with(SMART_HOME_RAW, _sh_timed(C.DAY_SLICE)) + "SELECT * FROM sh_timed",
         "power_totals": _with(SMART_HOME_RAW, _sh_timed(), SH_CLEAN, _sh_typed("sh_clean", "sh_typed"))
         + "SELECT * EXCLUDE ("
@@ -455,6 +459,12 @@ def oracle_queries() -> dict[str, str]:
             f"FROM sh_house WHERE time >= TIMESTAMP '{C.EXTREMES_DAY} 00:00:00' "
             f"AND time < TIMESTAMP '{C.EXTREMES_DAY} 00:00:00' + INTERVAL 1 DAY"
         ),
+        "day_extremes_attached": _sh(
+            "SELECT time, house_overall, d.max_total_overall_day, d.min_total_overall_day FROM sh_house CROSS JOIN "
+            "(SELECT max(house_overall) AS max_total_overall_day, min(house_overall) AS min_total_overall_day "
+            f"FROM sh_house WHERE time >= TIMESTAMP '{C.EXTREMES_DAY} 00:00:00' "
+            f"AND time < TIMESTAMP '{C.EXTREMES_DAY} 00:00:00' + INTERVAL 1 DAY) d"
+        ),
         "argmax_column": _sh(_argmax()),
         "describe_power": _sh(_describe()),
         "smart_home_etl": _smart_home_etl_sql(),
