@@ -49,9 +49,17 @@ def build_session(
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions expose no SparkContext
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
-    current = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     return spark.conf.get("spark.checkpoint.dir", None) or None
@@ -65,18 +73,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     under the local temp directory.
     """
     root = checkpoint_root(spark)
+    sc = _context(spark)
     if root:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(root)
-        return spark.sparkContext.getCheckpointDir() or root
-    if not spark.sparkContext.master.startswith("local"):
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(root)
+        return (sc.getCheckpointDir() if sc is not None else None) or root
+    if sc is None or not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: staged tables need a folder on "
             "storage every executor can reach (set spark.checkpoint.dir)"
         )
     local = tempfile.mkdtemp(prefix="sluice-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    sc.setCheckpointDir(local)
+    return sc.getCheckpointDir() or local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

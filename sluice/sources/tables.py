@@ -31,7 +31,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     already has far more splits than cores, so this adds no shuffle there.
     Call it on the narrow projection of the scan, before rows are widened.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # a session without RDD access (Spark Connect): leave as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target)
