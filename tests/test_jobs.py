@@ -129,3 +129,23 @@ def test_staging_writes_under_checkpoint_dir(spark, admissions_csv):
     root = checkpoint_root(spark).replace("file:", "")
     assert files and all(root in f for f in files)
     assert all(os.path.basename(os.path.dirname(f.replace("file:", ""))).startswith("admissions_stage") for f in files)
+
+
+def test_complete_run_feeds_every_sink_from_one_write(spark, admissions_csv, tmp_path):
+    from sluice.plans.runs import run_admissions
+    from sluice.sources.csv import read_text_csv
+
+    first = run_admissions(spark, admissions_csv, str(tmp_path / "r1"), batch_id="20230401120000000")
+    table = spark.read.parquet(first.table)
+    csv_back = read_text_csv(spark, first.csv)
+    assert table.count() == csv_back.count() == 3
+    assert sorted(r["UUID"] for r in table.collect()) == sorted(r["UUID"] for r in csv_back.collect())
+
+    # a second run upserts into the first run's table: same keys, newer batch
+    second = run_admissions(
+        spark, admissions_csv, str(tmp_path / "r2"), batch_id="20230402120000000",
+        keyed_previous=first.table, csv=False,
+    )
+    keyed = spark.read.parquet(second.keyed)
+    assert keyed.count() == 3
+    assert {r["ETL_batch_id"] for r in keyed.collect()} == {20230402120000000}
