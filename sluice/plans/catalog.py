@@ -79,6 +79,12 @@ from sluice.sinks.files import publish, write_csv, write_unquoted_csv
 from sluice.sources.csv import read_text_csv
 from sluice.sources.fixtures import admissions_raw, smart_home_raw
 from sluice.sources.tables import read_table
+from sluice.streaming.incremental import (
+    EPOCH_COLUMN,
+    admissions_job,
+    run_incremental,
+    smart_home_job,
+)
 
 # Parameters of the registered queries.
 BATCH_ID = "20240131123456789"
@@ -326,8 +332,6 @@ def q_smart_home_etl_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_through(spark: SparkSession, raw: DataFrame, job, columns, name: str) -> DataFrame:
     """Land ``raw`` as CSV files, run the job over them as one stream run."""
-    from sluice.streaming.incremental import EPOCH_COLUMN, run_incremental
-
     landing = scratch_path(spark, f"{name}_landing")
     write_csv(raw, landing)
     out = scratch_path(spark, f"{name}_out")
@@ -339,14 +343,10 @@ def _stream_through(spark: SparkSession, raw: DataFrame, job, columns, name: str
 
 
 def q_admissions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from sluice.streaming.incremental import admissions_job
-
     return _stream_through(spark, admissions_raw(spark, sf_dir), admissions_job(), ADMISSIONS_SOURCE, "adm_stream")
 
 
 def q_smart_home_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from sluice.streaming.incremental import smart_home_job
-
     return _stream_through(spark, smart_home_raw(spark, sf_dir), smart_home_job(), SMART_HOME_SOURCE, "sh_stream")
 
 
