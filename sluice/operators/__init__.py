@@ -9,6 +9,7 @@ from sluice.operators.clean import (  # noqa: F401
 from sluice.operators.shape import (  # noqa: F401
     add_totals,
     cast_by_schema,
+    day_prune,
     epoch_to_timestamp,
     format_amount,
     parse_dates,

@@ -85,13 +85,32 @@ def text_to_timestamp(
     return df.withColumn(out or col, text_to_ntz(col, fmt))
 
 
-def time_range(df: DataFrame, col: str, lo: str, hi: str) -> DataFrame:
+def time_range(
+    df: DataFrame, col: str, lo: str, hi: str, day_col: str | None = None
+) -> DataFrame:
     """Rows with ``lo <= col <= hi`` (inclusive); bounds are timestamp text.
 
     Bounds become typed ``timestamp_ntz`` literals, so the comparison is
     between timestamps (not text) and needs no session time zone.
+
+    ``day_col`` names a plain date column the input is laid out by (a
+    ``date=...`` partition directory or a sorted date column). The window's
+    days are then also required of it: a predicate on a source column, which
+    Spark turns into partition pruning or row-group skipping, whereas the
+    timestamp itself is usually derived (parsed from text) and cannot prune.
+    """
+    out = df.where(F.col(col).between(ntz_literal(lo), ntz_literal(hi)))
+    return out if day_col is None else day_prune(out, day_col, lo, hi)
+
+
+def day_prune(df: DataFrame, day_col: str, lo: str, hi: str) -> DataFrame:
+    """Keep rows whose ``day_col`` date lies in the days of ``[lo, hi]``.
+
+    A predicate on a plain (partition or sorted) date column, so the scan
+    skips whole directories or row groups.
     """
-    return df.where(F.col(col).between(ntz_literal(lo), ntz_literal(hi)))
+    first, last = F.lit(lo[:10]).cast("date"), F.lit(hi[:10]).cast("date")
+    return df.where(F.col(day_col).between(first, last))
 
 
 def add_totals(

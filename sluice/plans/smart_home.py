@@ -21,6 +21,7 @@ from sluice.operators.clean import blank_sentinels, dedup_rows, drop_blank_rows
 from sluice.operators.shape import (
     add_totals,
     cast_by_schema,
+    day_prune,
     epoch_to_timestamp,
     reorder_columns,
     replace_with_sum,
@@ -52,10 +53,16 @@ def smart_home_timed(
     raw: DataFrame,
     names: Mapping[str, str] | None = None,
     window: tuple[str, str] | None = None,
+    day_col: str | None = None,
 ) -> DataFrame:
-    """Source columns with ``time`` as ``timestamp_ntz``, optionally windowed."""
+    """Source columns with ``time`` as ``timestamp_ntz``, optionally windowed.
+
+    With ``day_col`` (a date column the input files are laid out by) the
+    window also prunes files before any text is parsed.
+    """
     n = _n(names)
-    df = epoch_to_timestamp(raw.select(*[n(c) for c in SMART_HOME_SOURCE]), n("time"))
+    src = raw if window is None or day_col is None else day_prune(raw, day_col, *window)
+    df = epoch_to_timestamp(src.select(*[n(c) for c in SMART_HOME_SOURCE]), n("time"))
     if window is not None:
         df = time_range(df, n("time"), *window)
     return df
@@ -66,11 +73,12 @@ def smart_home_clean(
     names: Mapping[str, str] | None = None,
     window: tuple[str, str] | None = None,
     sentinels=BLANK_SENTINELS_SMART_HOME,
+    day_col: str | None = None,
 ) -> DataFrame:
     """Timed readings with sentinels blanked, duplicates and blank rows gone."""
     n = _n(names)
     src = [n(c) for c in SMART_HOME_SOURCE]
-    df = blank_sentinels(smart_home_timed(raw, names, window), sentinels)
+    df = blank_sentinels(smart_home_timed(raw, names, window, day_col), sentinels)
     return drop_blank_rows(dedup_rows(df), src)
 
 
@@ -101,6 +109,7 @@ def smart_home_etl(
     names: Mapping[str, str] | None = None,
     window: tuple[str, str] | None = None,
     staged: bool | str = True,
+    day_col: str | None = None,
 ) -> DataFrame:
     """The whole flow; 33 output columns (``SMART_HOME_OUTPUT``).
 
@@ -108,11 +117,12 @@ def smart_home_etl(
     checkpoint folder when ``True``) and take the statistics and the output
     rows from the written table. The average needs the deduplicated rows,
     so without a stage the statistics subquery would repeat the scan and
-    the dedup shuffle.
+    the dedup shuffle. ``day_col``: a date column the input is laid out by;
+    with a ``window`` it prunes files before any text is parsed.
     """
     n = _n(names)
     src = [n(c) for c in SMART_HOME_SOURCE]
-    df = smart_home_clean(raw, names, window)
+    df = smart_home_clean(raw, names, window, day_col=day_col)
     df = row_key(df, src, out=n("row_key"))
     df = batch_stamp(df, batch_id, n("etl_batch_id"), n("etl_batch_date"))
     df = smart_home_totals(smart_home_typed(df, names), names)

@@ -1,6 +1,7 @@
 """Plan shape: pushdown, pruning, one stats subquery, no per-row Python."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from sluice.operators import reject_sentinel_rows, top_k_counts, with_global_stats
@@ -103,3 +104,22 @@ def test_grouping_steps_combine_map_side_under_skew(spark):
     assert not _partial_before_exchange(plan_text(ranked.where("rn = 1"), "simple"))
     assert plans["dedup"].where("k = 'hot'").count() == 1
     assert plans["upsert"].where("k = 'hot'").first().b == 2
+
+
+def test_window_prunes_day_partitions(spark, tmp_path):
+    from sluice.plans.schemas import SMART_HOME_SOURCE
+    from sluice.plans.smart_home import smart_home_etl
+
+    rows = [
+        tuple(["1451624400"] + ["0.1"] * (len(SMART_HOME_SOURCE) - 1)) + ("2016-01-01",),
+        tuple(["1451710800"] + ["0.2"] * (len(SMART_HOME_SOURCE) - 1)) + ("2016-01-02",),
+    ]
+    schema = ", ".join(f"{c} string" for c in SMART_HOME_SOURCE) + ", day string"
+    path = str(tmp_path / "by_day")
+    spark.createDataFrame(rows, schema).write.partitionBy("day").parquet(path)
+    raw = spark.read.parquet(path).withColumn("day", F.col("day").cast("date"))
+    window = ("2016-01-01 05:00:00", "2016-01-01 06:00:00")
+    out = smart_home_etl(raw, "20240101000000000", window=window, staged=False, day_col="day")
+    assert out.count() == 1
+    scan = [line for line in plan_text(out).splitlines() if "PartitionFilters" in line]
+    assert scan and all("day" in line for line in scan)
