@@ -76,26 +76,32 @@ def publish(
     partition_by: Sequence[str] | None = None,
     mode: str = "overwrite",
     max_records_per_file: int | None = None,
+    rebalance: bool | None = None,
     options: dict[str, str] | None = None,
 ) -> None:
     """Publish to a fixed directory, replacing what was there.
 
-    By default the rows pass through a ``rebalance`` hint: AQE sizes the
-    writer partitions to its advisory size and splits a skewed partition
-    value across several files. ``num_files`` asks for an exact number of
-    part files instead (a round-robin shuffle, so the stage computing the
-    rows keeps its full parallelism, unlike ``coalesce``); keep it
-    proportional to the data on large outputs. ``max_records_per_file``
-    bounds file size. With ``partition_by`` only the partitions present in
+    By default the rows are written as they are partitioned (one file per
+    task; after a shuffle AQE has already sized those partitions), adding
+    no shuffle. ``num_files`` asks for an exact number of part files: a
+    round-robin shuffle, so the stage computing the rows keeps its full
+    parallelism, unlike ``coalesce``; keep it proportional to the data on
+    large outputs. With ``partition_by`` the rows pass through a
+    ``rebalance`` hint on those columns (unless ``rebalance=False``): each
+    value's rows gather in few files, and AQE splits a value that holds a
+    large share of the data over several. Only the partitions present in
     ``df`` are replaced (dynamic partition overwrite), so a batch
     republishes its own days without touching others.
+    ``max_records_per_file`` bounds file size.
     """
     if num_files:
         out = df.repartition(num_files)
-    elif partition_by:
+    elif partition_by and rebalance is not False:
         out = df.hint("rebalance", *partition_by)
-    else:
+    elif rebalance:
         out = df.hint("rebalance")
+    else:
+        out = df
     writer = out.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
