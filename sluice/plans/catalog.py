@@ -39,7 +39,7 @@ from sluice.operators.shape import (
     text_to_timestamp,
     time_range,
 )
-from sluice.operators.stamp import batch_stamp, row_key
+from sluice.operators.stamp import batch_stamp, random_row_id, row_key
 from sluice.operators.stats import (
     argmax_column,
     day_extremes,
@@ -119,6 +119,15 @@ def q_row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_key(admissions_raw(spark, sf_dir), ADMISSIONS_SOURCE)
 
 
+def q_random_row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Random ids cannot be compared value by value; their defining
+    property can: one distinct id per row."""
+    ids = random_row_id(admissions_raw(spark, sf_dir), "uuid")
+    return ids.agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("uuid").alias("distinct_ids")
+    )
+
+
 def q_reject_sentinel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_sentinel_rows(admissions_raw(spark, sf_dir), REJECT_SENTINELS)
 

@@ -368,6 +368,7 @@ def oracle_queries() -> dict[str, str]:
             f"DATE '{C.BATCH_ID[:4]}-{C.BATCH_ID[4:6]}-{C.BATCH_ID[6:8]}' AS etl_batch_date FROM admissions_raw"
         ),
         "row_key": _adm(f"SELECT *, {key_sql(ADM)} AS row_key FROM admissions_raw"),
+        "random_row_id": _adm("SELECT count(*) AS row_count, count(*) AS distinct_ids FROM admissions_raw"),
         "reject_sentinel_rows": _adm(
             "SELECT * FROM admissions_raw WHERE "
             + " AND ".join(f"{_q(c)} IS NOT NULL AND {_q(c)} NOT IN ({_lst(REJECT_SENTINELS)})" for c in ADM)
