@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.operators.stamp import new_batch_id
+from sluice.operators.stamp import batch_stamp, new_batch_id, row_key
 from sluice.operators.upsert import keyed_upsert
 from sluice.plans.admissions import admissions_etl, admissions_etl_reject
 from sluice.plans.schemas import ADMISSIONS_HEADERS, SMART_HOME_HEADERS, resolve
@@ -35,6 +35,7 @@ class RunOutputs:
     csv: str | None
     keyed: str | None
     rows: DataFrame
+    raw: str | None = None
 
 
 def _sinks(
@@ -101,14 +102,28 @@ def run_smart_home(
     csv: bool = True,
     keyed_previous: str | None = None,
     jdbc: Mapping[str, str] | None = None,
+    raw_copy: bool = False,
 ) -> RunOutputs:
-    """Smart-home CSV in, cleaned readings with totals and stats out."""
+    """Smart-home CSV in, cleaned readings with totals and stats out.
+
+    ``raw_copy``: also write the input as read, stamped with the batch id,
+    date and row key, to ``<output>/raw`` (CSV), beside the clean table.
+    """
     raw = read_text_csv(spark, input_path if isinstance(input_path, str) else list(input_path))
-    result = smart_home_etl(raw, batch_id or new_batch_id(), names=names, window=window)
-    return _sinks(
+    batch_id = batch_id or new_batch_id()
+    result = smart_home_etl(raw, batch_id, names=names, window=window)
+    outputs = _sinks(
         spark, result, output_dir, resolve(names, "row_key"), resolve(names, "etl_batch_id"),
         csv, keyed_previous, jdbc,
     )
+    if raw_copy:
+        stamped = batch_stamp(
+            row_key(raw, raw.columns, resolve(names, "row_key")),
+            batch_id, resolve(names, "etl_batch_id"), resolve(names, "etl_batch_date"),
+        )
+        outputs.raw = f"{output_dir.rstrip('/')}/raw"
+        publish(stamped, outputs.raw, fmt="csv")
+    return outputs
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -123,6 +138,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--window", nargs=2, metavar=("FROM", "TO"))
     parser.add_argument("--keyed-previous")
     parser.add_argument("--no-csv", action="store_true")
+    parser.add_argument("--raw-copy", action="store_true", help="smart_home: also write the stamped input")
     args = parser.parse_args(argv)
 
     spark = build_session(app_name=f"sluice-{args.job}")
@@ -132,7 +148,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             spark, args.input, args.output, args.batch_id,
             names=SMART_HOME_HEADERS if original else None,
             window=tuple(args.window) if args.window else None,
-            csv=not args.no_csv, keyed_previous=args.keyed_previous,
+            csv=not args.no_csv, keyed_previous=args.keyed_previous, raw_copy=args.raw_copy,
         )
     else:
         outputs = run_admissions(

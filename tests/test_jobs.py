@@ -149,3 +149,14 @@ def test_complete_run_feeds_every_sink_from_one_write(spark, admissions_csv, tmp
     keyed = spark.read.parquet(second.keyed)
     assert keyed.count() == 3
     assert {r["ETL_batch_id"] for r in keyed.collect()} == {20230402120000000}
+
+
+def test_smart_home_run_writes_raw_copy_beside_clean(spark, smart_csv, tmp_path):
+    from sluice.plans.runs import run_smart_home
+    from sluice.sources.csv import read_text_csv
+
+    out = run_smart_home(spark, smart_csv, str(tmp_path / "run"), batch_id="20230401120000000", raw_copy=True)
+    raw = read_text_csv(spark, out.raw)
+    assert raw.count() == 6  # everything as read, duplicates and blanks included
+    assert {r["ETL_batch_id"] for r in raw.collect()} == {"20230401120000000"}
+    assert spark.read.parquet(out.table).count() == 4  # clean: dup and blank row gone
