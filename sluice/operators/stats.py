@@ -97,20 +97,23 @@ def risk_score(
     w_age, w_cond, w_bill = RISK_WEIGHTS
     age_d = F.col(age).try_cast("double")
     bill_d = F.col(billing).try_cast("double")
-    tmp = ("__max_age", "__max_billing")
+    # Maxima not given are computed over ``df`` in one scalar subquery and
+    # attached as temporary columns.
     if text_maxima:
-        found = {tmp[0]: F.max(F.col(age).cast("string")), tmp[1]: F.max(F.col(billing).cast("string"))}
+        candidates = {"__max_age": F.max(F.col(age).cast("string")), "__max_billing": F.max(F.col(billing).cast("string"))}
     else:
-        found = {tmp[0]: F.max(age_d), tmp[1]: F.max(bill_d)}
-    given = {tmp[0]: max_age, tmp[1]: max_billing}
-    missing = {k: e for k, e in found.items() if given[k] is None}
-    if missing:
-        df = with_scalar_stats(df, missing)
-    ma, mb = (
-        (F.col(k) if given[k] is None else given[k] if isinstance(given[k], Column) else F.lit(given[k]))
-        .try_cast("double")
-        for k in tmp
-    )
+        candidates = {"__max_age": F.max(age_d), "__max_billing": F.max(bill_d)}
+    given = {"__max_age": max_age, "__max_billing": max_billing}
+    computed = {name: e for name, e in candidates.items() if given[name] is None}
+    if computed:
+        df = with_scalar_stats(df, computed)
+
+    def maximum(name: str) -> Column:
+        value = given[name]
+        col = F.col(name) if value is None else value if isinstance(value, Column) else F.lit(value)
+        return col.try_cast("double")
+
+    ma, mb = maximum("__max_age"), maximum("__max_billing")
     if round_billing_first:
         bill_d, mb = round_half_up(bill_d, 2), round_half_up(mb, 2)
     flag = F.when(F.col(condition) == RISK_CONDITION, 1).otherwise(0)
@@ -120,7 +123,7 @@ def risk_score(
         + F.try_divide(bill_d, mb) * F.lit(w_bill)
     )
     rounded = round_half_even(score, scale) if half_even else round_half_up(score, scale)
-    return df.withColumn(out, rounded).drop(*[k for k in tmp if k in missing])
+    return df.withColumn(out, rounded).drop(*computed)
 
 
 def top_k_counts(df: DataFrame, key: str, k: int = 10, count_col: str = "count") -> DataFrame:
