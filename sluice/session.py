@@ -56,6 +56,24 @@ def _context(spark: SparkSession):
         return None
 
 
+def sizing_for(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition settings for an input of ``input_bytes``.
+
+    Scan splits and shuffle partitions of about ``partition_bytes`` each, so
+    every task's share fits executor memory with room to sort and spill.
+    AQE may merge shuffle partitions that come out small but never splits a
+    hash partition, so the initial count is set for the full input: for
+    100 TB at 256 MB that is 409,600 partitions.
+    """
+    parts = max(1, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
     sc = _context(spark)

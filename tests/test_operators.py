@@ -281,3 +281,12 @@ def test_keyed_upsert(spark):
 def test_content_key_matches_row_key(spark):
     df = spark.createDataFrame([("x", 1)], "a string, b int")
     assert df.select(content_key(["a", "b"])).first()[0] == row_key(df).first().row_key
+
+
+def test_sizing_for_large_inputs():
+    from sluice.session import sizing_for
+
+    conf = sizing_for(100 * 2**40)
+    assert conf["spark.sql.shuffle.partitions"] == "409600"
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert sizing_for(1)["spark.sql.shuffle.partitions"] == "1"
