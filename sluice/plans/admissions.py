@@ -64,15 +64,13 @@ def admissions_rejected(
     return dedup_rows(reject_sentinel_rows(raw.select(*src), sentinels, src))
 
 
-def _finish(
+def _prepare(
     df: DataFrame,
     batch_id: str | int,
     names: Mapping[str, str] | None,
-    text_maxima: bool,
-    half_even: bool,
     round_billing: bool = False,
-    staged: bool | str = True,
 ) -> DataFrame:
+    """Cleaned rows -> keyed, dated and stamped rows (what gets staged)."""
     n = _n(names)
     src = [n(c) for c in ADMISSIONS_SOURCE]
     # The key is taken over the cleaned source text, before any parsing.
@@ -81,9 +79,17 @@ def _finish(
         df = round_column(df, n("billing_amount"), 2)
     df = parse_dates(df, [n("date_of_admission"), n("discharge_date")], DATE_FORMAT)
     df = stay_days(df, n("date_of_admission"), n("discharge_date"), n("admission_days"))
-    df = batch_stamp(df, batch_id, n("etl_batch_id"), n("etl_batch_date"))
-    if staged:
-        df = stage(df, "admissions_stage", staged if isinstance(staged, str) else None)
+    return batch_stamp(df, batch_id, n("etl_batch_id"), n("etl_batch_date"))
+
+
+def _score(
+    df: DataFrame,
+    names: Mapping[str, str] | None,
+    text_maxima: bool,
+    half_even: bool,
+) -> DataFrame:
+    """Stamped rows -> scored, typed rows in output order."""
+    n = _n(names)
     df = risk_score(
         df,
         n("age"),
@@ -97,6 +103,31 @@ def _finish(
     return reorder_columns(df, [n(c) for c in ADMISSIONS_OUTPUT])
 
 
+def _finish(
+    df: DataFrame,
+    batch_id: str | int,
+    names: Mapping[str, str] | None,
+    text_maxima: bool,
+    half_even: bool,
+    round_billing: bool = False,
+    staged: bool | str = True,
+) -> DataFrame:
+    df = _prepare(df, batch_id, names, round_billing)
+    if staged:
+        df = stage(df, "admissions_stage", staged if isinstance(staged, str) else None)
+    return _score(df, names, text_maxima, half_even)
+
+
+def admissions_prepared(
+    raw: DataFrame,
+    batch_id: str | int,
+    names: Mapping[str, str] | None = None,
+    sentinels=BLANK_SENTINELS,
+) -> DataFrame:
+    """The rows ``admissions_etl`` stages: cleaned, keyed, dated, stamped."""
+    return _prepare(admissions_clean(raw, names, sentinels), batch_id, names)
+
+
 def admissions_etl(
     raw: DataFrame,
     batch_id: str | int,

@@ -121,12 +121,25 @@ def smart_home_etl(
     with a ``window`` it prunes files before any text is parsed.
     """
     n = _n(names)
-    src = [n(c) for c in SMART_HOME_SOURCE]
-    df = smart_home_clean(raw, names, window, day_col=day_col)
-    df = row_key(df, src, out=n("row_key"))
-    df = batch_stamp(df, batch_id, n("etl_batch_id"), n("etl_batch_date"))
-    df = smart_home_totals(smart_home_typed(df, names), names)
+    df = smart_home_prepared(raw, batch_id, names, window, day_col)
     if staged:
         df = stage(df, "smart_home_stage", staged if isinstance(staged, str) else None)
     df = with_power_stats(df, names)
     return reorder_columns(df, [n(c) for c in SMART_HOME_OUTPUT])
+
+
+def smart_home_prepared(
+    raw: DataFrame,
+    batch_id: str | int,
+    names: Mapping[str, str] | None = None,
+    window: tuple[str, str] | None = None,
+    day_col: str | None = None,
+) -> DataFrame:
+    """The rows ``smart_home_etl`` stages: cleaned, keyed, stamped, typed,
+    with circuit totals and the recomputed house total."""
+    n = _n(names)
+    src = [n(c) for c in SMART_HOME_SOURCE]
+    df = smart_home_clean(raw, names, window, day_col=day_col)
+    df = row_key(df, src, out=n("row_key"))
+    df = batch_stamp(df, batch_id, n("etl_batch_id"), n("etl_batch_date"))
+    return smart_home_totals(smart_home_typed(df, names), names)
