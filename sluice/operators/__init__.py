@@ -5,6 +5,8 @@ from sluice.operators.clean import (  # noqa: F401
     reject_sentinel_rows,
     rejected_sentinel_rows,
     stage_row_counts,
+    trace_counts,
+    traced,
 )
 from sluice.operators.shape import (  # noqa: F401
     add_totals,

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -131,3 +131,25 @@ def stage_row_counts(
         F.count(F.lit(1)).cast("bigint").alias("distinct_rows"),
         F.count_if(~all_blank).cast("bigint").alias("clean_rows"),
     )
+
+
+Trace = dict[str, Observation]
+
+
+def traced(df: DataFrame, label: str, trace: Trace | None) -> DataFrame:
+    """Count the rows passing this point, as a side effect of the next action.
+
+    The count is collected by the job that runs anyway (``observe``), not by
+    an extra action per step. ``trace`` maps labels to observations; read
+    the numbers with ``trace_counts`` after the action.
+    """
+    if trace is None:
+        return df
+    observation = Observation(label)
+    trace[label] = observation
+    return df.observe(observation, F.count(F.lit(1)).alias("rows"))
+
+
+def trace_counts(trace: Trace) -> dict[str, int]:
+    """Row counts of a finished trace, in the order the steps were added."""
+    return {label: obs.get["rows"] for label, obs in trace.items()}

@@ -23,10 +23,12 @@ from pyspark.sql import DataFrame
 
 from sluice.functions.columns import BLANK_SENTINELS, REJECT_SENTINELS
 from sluice.operators.clean import (
+    Trace,
     blank_sentinels,
     dedup_rows,
     drop_blank_rows,
     reject_sentinel_rows,
+    traced,
 )
 from sluice.operators.shape import cast_by_schema, parse_dates, reorder_columns, round_column, stay_days
 from sluice.operators.stamp import batch_stamp, row_key
@@ -45,23 +47,32 @@ def admissions_clean(
     raw: DataFrame,
     names: Mapping[str, str] | None = None,
     sentinels=BLANK_SENTINELS,
+    trace: Trace | None = None,
 ) -> DataFrame:
-    """Blank sentinels, drop exact duplicates, drop all-blank rows."""
+    """Blank sentinels, drop exact duplicates, drop all-blank rows.
+
+    ``trace`` (a dict) collects row counts after reading, dedup and the
+    blank-row drop, as a side effect of the job's own run.
+    """
     n = _n(names)
     src = [n(c) for c in ADMISSIONS_SOURCE]
-    df = blank_sentinels(raw.select(*src), sentinels, src)
-    return drop_blank_rows(dedup_rows(df), src)
+    df = blank_sentinels(traced(raw.select(*src), "read", trace), sentinels, src)
+    df = traced(dedup_rows(df), "distinct", trace)
+    return traced(drop_blank_rows(df, src), "clean", trace)
 
 
 def admissions_rejected(
     raw: DataFrame,
     names: Mapping[str, str] | None = None,
     sentinels=REJECT_SENTINELS,
+    trace: Trace | None = None,
 ) -> DataFrame:
     """Keep only rows free of sentinels, then drop exact duplicates."""
     n = _n(names)
     src = [n(c) for c in ADMISSIONS_SOURCE]
-    return dedup_rows(reject_sentinel_rows(raw.select(*src), sentinels, src))
+    df = traced(raw.select(*src), "read", trace)
+    df = traced(reject_sentinel_rows(df, sentinels, src), "sentinel_free", trace)
+    return traced(dedup_rows(df), "distinct", trace)
 
 
 def _prepare(
@@ -135,6 +146,7 @@ def admissions_etl(
     sentinels=BLANK_SENTINELS,
     text_maxima: bool = False,
     staged: bool | str = True,
+    trace: Trace | None = None,
 ) -> DataFrame:
     """The final admissions flow; 20 output columns (``ADMISSIONS_OUTPUT``).
 
@@ -143,7 +155,7 @@ def admissions_etl(
     the written table; ``False`` keeps one lazy plan, in which the maxima
     subquery re-reads the source.
     """
-    df = admissions_clean(raw, names, sentinels)
+    df = admissions_clean(raw, names, sentinels, trace)
     return _finish(df, batch_id, names, text_maxima, half_even=False, staged=staged)
 
 
@@ -153,9 +165,10 @@ def admissions_etl_reject(
     names: Mapping[str, str] | None = None,
     sentinels=REJECT_SENTINELS,
     staged: bool | str = True,
+    trace: Trace | None = None,
 ) -> DataFrame:
     """The scheduled-workflow flow: sentinel rows rejected, not blanked."""
-    df = admissions_rejected(raw, names, sentinels)
+    df = admissions_rejected(raw, names, sentinels, trace)
     return _finish(
         df, batch_id, names, text_maxima=False, half_even=True, round_billing=True, staged=staged
     )

@@ -17,7 +17,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from sluice.functions.columns import BLANK_SENTINELS_SMART_HOME
-from sluice.operators.clean import blank_sentinels, dedup_rows, drop_blank_rows
+from sluice.operators.clean import Trace, blank_sentinels, dedup_rows, drop_blank_rows, traced
 from sluice.operators.shape import (
     add_totals,
     cast_by_schema,
@@ -74,12 +74,18 @@ def smart_home_clean(
     window: tuple[str, str] | None = None,
     sentinels=BLANK_SENTINELS_SMART_HOME,
     day_col: str | None = None,
+    trace: Trace | None = None,
 ) -> DataFrame:
-    """Timed readings with sentinels blanked, duplicates and blank rows gone."""
+    """Timed readings with sentinels blanked, duplicates and blank rows gone.
+
+    ``trace`` (a dict) collects row counts after the window, dedup and the
+    blank-row drop, as a side effect of the job's own run.
+    """
     n = _n(names)
     src = [n(c) for c in SMART_HOME_SOURCE]
-    df = blank_sentinels(smart_home_timed(raw, names, window, day_col), sentinels)
-    return drop_blank_rows(dedup_rows(df), src)
+    df = traced(smart_home_timed(raw, names, window, day_col), "in_window", trace)
+    df = traced(dedup_rows(blank_sentinels(df, sentinels)), "distinct", trace)
+    return traced(drop_blank_rows(df, src), "clean", trace)
 
 
 def smart_home_typed(df: DataFrame, names: Mapping[str, str] | None = None) -> DataFrame:
@@ -110,6 +116,7 @@ def smart_home_etl(
     window: tuple[str, str] | None = None,
     staged: bool | str = True,
     day_col: str | None = None,
+    trace: Trace | None = None,
 ) -> DataFrame:
     """The whole flow; 33 output columns (``SMART_HOME_OUTPUT``).
 
@@ -121,7 +128,7 @@ def smart_home_etl(
     with a ``window`` it prunes files before any text is parsed.
     """
     n = _n(names)
-    df = smart_home_prepared(raw, batch_id, names, window, day_col)
+    df = smart_home_prepared(raw, batch_id, names, window, day_col, trace)
     if staged:
         df = stage(df, "smart_home_stage", staged if isinstance(staged, str) else None)
     df = with_power_stats(df, names)
@@ -134,12 +141,13 @@ def smart_home_prepared(
     names: Mapping[str, str] | None = None,
     window: tuple[str, str] | None = None,
     day_col: str | None = None,
+    trace: Trace | None = None,
 ) -> DataFrame:
     """The rows ``smart_home_etl`` stages: cleaned, keyed, stamped, typed,
     with circuit totals and the recomputed house total."""
     n = _n(names)
     src = [n(c) for c in SMART_HOME_SOURCE]
-    df = smart_home_clean(raw, names, window, day_col=day_col)
+    df = smart_home_clean(raw, names, window, day_col=day_col, trace=trace)
     df = row_key(df, src, out=n("row_key"))
     df = batch_stamp(df, batch_id, n("etl_batch_id"), n("etl_batch_date"))
     return smart_home_totals(smart_home_typed(df, names), names)

@@ -160,3 +160,20 @@ def test_smart_home_run_writes_raw_copy_beside_clean(spark, smart_csv, tmp_path)
     assert raw.count() == 6  # everything as read, duplicates and blanks included
     assert {r["ETL_batch_id"] for r in raw.collect()} == {"20230401120000000"}
     assert spark.read.parquet(out.table).count() == 4  # clean: dup and blank row gone
+
+
+def test_trace_counts_come_from_the_jobs_own_run(spark, admissions_csv, smart_csv):
+    from sluice.operators import trace_counts
+
+    trace = {}
+    out = admissions_etl(read_text_csv(spark, admissions_csv), "20230401120000000",
+                         names=ADMISSIONS_HEADERS, staged=False, trace=trace)
+    out.write.format("noop").mode("overwrite").save()
+    assert trace_counts(trace) == {"read": 6, "distinct": 4, "clean": 3}
+
+    trace = {}
+    window = ("2016-01-01 05:00:00", "2016-01-01 06:00:00")
+    out = smart_home_etl(read_text_csv(spark, smart_csv), "20230401120000000",
+                         names=SMART_HOME_HEADERS, window=window, trace=trace)
+    out.write.format("noop").mode("overwrite").save()
+    assert trace_counts(trace) == {"in_window": 4, "distinct": 3, "clean": 3}
