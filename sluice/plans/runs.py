@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.operators.clean import trace_counts
 from sluice.operators.stamp import batch_stamp, new_batch_id, row_key
 from sluice.operators.upsert import keyed_upsert
 from sluice.plans.admissions import admissions_etl, admissions_etl_reject
@@ -36,6 +37,7 @@ class RunOutputs:
     keyed: str | None
     rows: DataFrame
     raw: str | None = None
+    counts: dict[str, int] | None = None
 
 
 def _sinks(
@@ -85,11 +87,14 @@ def run_admissions(
     raw = read_text_csv(spark, input_path if isinstance(input_path, str) else list(input_path))
     batch_id = batch_id or new_batch_id()
     job = admissions_etl_reject if reject else admissions_etl
-    result = job(raw, batch_id, names=names)
-    return _sinks(
+    trace: dict = {}
+    result = job(raw, batch_id, names=names, trace=trace)
+    outputs = _sinks(
         spark, result, output_dir, resolve(names, "row_key"), resolve(names, "etl_batch_id"),
         csv, keyed_previous, jdbc,
     )
+    outputs.counts = trace_counts(trace)
+    return outputs
 
 
 def run_smart_home(
@@ -111,11 +116,13 @@ def run_smart_home(
     """
     raw = read_text_csv(spark, input_path if isinstance(input_path, str) else list(input_path))
     batch_id = batch_id or new_batch_id()
-    result = smart_home_etl(raw, batch_id, names=names, window=window)
+    trace: dict = {}
+    result = smart_home_etl(raw, batch_id, names=names, window=window, trace=trace)
     outputs = _sinks(
         spark, result, output_dir, resolve(names, "row_key"), resolve(names, "etl_batch_id"),
         csv, keyed_previous, jdbc,
     )
+    outputs.counts = trace_counts(trace)
     if raw_copy:
         stamped = batch_stamp(
             row_key(raw, raw.columns, resolve(names, "row_key")),
@@ -157,7 +164,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             reject=args.job == "admissions_reject",
             csv=not args.no_csv, keyed_previous=args.keyed_previous,
         )
-    print(f"table={outputs.table} csv={outputs.csv} keyed={outputs.keyed}")
+    print(f"table={outputs.table} csv={outputs.csv} keyed={outputs.keyed} rows={outputs.counts}")
     spark.stop()
 
 

@@ -139,6 +139,7 @@ def test_complete_run_feeds_every_sink_from_one_write(spark, admissions_csv, tmp
     table = spark.read.parquet(first.table)
     csv_back = read_text_csv(spark, first.csv)
     assert table.count() == csv_back.count() == 3
+    assert first.counts == {"read": 6, "distinct": 4, "clean": 3}
     assert sorted(r["UUID"] for r in table.collect()) == sorted(r["UUID"] for r in csv_back.collect())
 
     # a second run upserts into the first run's table: same keys, newer batch
