@@ -290,3 +290,16 @@ def test_sizing_for_large_inputs():
     assert conf["spark.sql.shuffle.partitions"] == "409600"
     assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     assert sizing_for(1)["spark.sql.shuffle.partitions"] == "1"
+
+
+def test_spread_only_when_under_partitioned(spark, tmp_path):
+    from sluice.sources.tables import spread
+
+    path = str(tmp_path / "one")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    one = spark.read.parquet(path)
+    assert one.rdd.getNumPartitions() == 1
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(0, 1000, 1, 8)
+    assert spread(many, 4) is many  # enough splits already: no shuffle added
+    assert sorted(r.id for r in spread(one, 4).collect()) == list(range(1000))
