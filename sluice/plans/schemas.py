@@ -43,6 +43,8 @@ ADMISSIONS_HEADERS = {
     "risk_score": "Risk Score",
 }
 
+# Output columns of the admissions job, in output order, with
+# their types (the 17-digit batch id is a bigint; amounts and scores double).
 ADMISSIONS_TYPES = {
     "etl_batch_id": "bigint",
     "etl_batch_date": "date",
@@ -161,6 +163,7 @@ HOUSE_OVERALL_PARTS = (
     "well", "living_room", "kitchen_appliances", "furnace_total",
 )
 
+# Output columns of the smart-home job, in output order.
 SMART_HOME_OUTPUT = (
     "etl_batch_id", "etl_batch_date", "row_key", "time", "use_kw", "gen",
     "house_overall", "home_office", "wine_cellar", "garage_door", "barn",
