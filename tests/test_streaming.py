@@ -37,3 +37,19 @@ def test_available_now_runs_are_incremental(spark, tmp_path):
 
     run_incremental(spark, job, str(landing), HEADER, out, ckpt, batch_id_for=ids)
     assert spark.read.parquet(out).count() == 3  # nothing new, nothing written
+
+
+def test_one_run_splits_into_micro_batches(spark, tmp_path):
+    landing, out, ckpt = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ckpt")
+    job = admissions_job(names=ADMISSIONS_HEADERS, staged=False)
+    _land(landing, "a.csv", [_row("Ann", 40, "100.00")])
+    _land(landing, "b.csv", [_row("Bo", 20, "50.00")])
+    run_incremental(
+        spark, job, str(landing), HEADER, out, ckpt,
+        batch_id_for=lambda epoch: f"2024010100000{epoch:04d}", max_files_per_trigger=1,
+    )
+    rows = spark.read.parquet(out).collect()
+    assert sorted(r.epoch for r in rows) == [0, 1]
+    assert len({r["ETL_batch_id"] for r in rows}) == 2
+    # each micro-batch is its own run: its only row holds the maxima
+    assert {r["Risk Score"] for r in rows} == {0.7}
