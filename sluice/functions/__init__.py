@@ -9,6 +9,7 @@ from sluice.functions.columns import (  # noqa: F401
     is_sentinel,
     ntz_to_epoch_seconds,
     parse_day_first_date,
+    round_binary_half_even,
     round_half_even,
     round_half_up,
     text_to_ntz,

@@ -16,7 +16,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.functions.columns import ntz_literal, round_half_even, round_half_up
+from sluice.functions.columns import (
+    ntz_literal,
+    round_binary_half_even,
+    round_half_even,
+    round_half_up,
+)
 from sluice.plans.schemas import RISK_CONDITION, RISK_WEIGHTS
 
 _AGGS = {
@@ -85,14 +90,20 @@ def risk_score(
     round_billing_first: bool = True,
     scale: int = 2,
     half_even: bool = False,
+    rounding: str | None = None,
 ) -> DataFrame:
     """``0.4*age/max_age + 0.3*[condition] + 0.3*billing/max_billing``.
 
     Maxima default to the typed maxima of ``df`` itself (one scalar
     subquery). ``text_maxima=True`` takes the maxima of the *text* columns
     (lexicographic: '99' beats '100'), as the final admissions job did.
-    A null input or a zero maximum gives a null score. The score is rounded
-    on decimal digits, HALF_UP, or HALF_EVEN with ``half_even``.
+    A null input or a zero maximum gives a null score.
+
+    ``rounding`` (of the billing amounts and of the score): ``"half_up"``
+    (default) or ``"half_even"`` on decimal digits, or ``"binary"``: Python's
+    ``round`` on the double, which reproduces a row-at-a-time Python
+    implementation of the score bit for bit. ``half_even=True`` is
+    ``rounding="half_even"``.
     """
     w_age, w_cond, w_bill = RISK_WEIGHTS
     age_d = F.col(age).try_cast("double")
@@ -114,16 +125,22 @@ def risk_score(
         return col.try_cast("double")
 
     ma, mb = maximum("__max_age"), maximum("__max_billing")
+    rounding = rounding or ("half_even" if half_even else "half_up")
+    rounder = {
+        "half_up": round_half_up,
+        "half_even": round_half_even,
+        "binary": round_binary_half_even,
+    }[rounding]
     if round_billing_first:
-        bill_d, mb = round_half_up(bill_d, 2), round_half_up(mb, 2)
+        pre = round_half_up if rounding != "binary" else round_binary_half_even
+        bill_d, mb = pre(bill_d, 2), pre(mb, 2)
     flag = F.when(F.col(condition) == RISK_CONDITION, 1).otherwise(0)
     score = (
         F.try_divide(age_d, ma) * F.lit(w_age)
         + flag * F.lit(w_cond)
         + F.try_divide(bill_d, mb) * F.lit(w_bill)
     )
-    rounded = round_half_even(score, scale) if half_even else round_half_up(score, scale)
-    return df.withColumn(out, rounded).drop(*computed)
+    return df.withColumn(out, rounder(score, scale)).drop(*computed)
 
 
 def top_k_counts(df: DataFrame, key: str, k: int = 10, count_col: str = "count") -> DataFrame:

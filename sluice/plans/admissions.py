@@ -98,6 +98,7 @@ def _score(
     names: Mapping[str, str] | None,
     text_maxima: bool,
     half_even: bool,
+    rounding: str | None = None,
 ) -> DataFrame:
     """Stamped rows -> scored, typed rows in output order."""
     n = _n(names)
@@ -109,6 +110,7 @@ def _score(
         out=n("risk_score"),
         text_maxima=text_maxima,
         half_even=half_even,
+        rounding=rounding,
     )
     df = cast_by_schema(df, {n(c): t for c, t in ADMISSIONS_TYPES.items()})
     return reorder_columns(df, [n(c) for c in ADMISSIONS_OUTPUT])
@@ -122,11 +124,12 @@ def _finish(
     half_even: bool,
     round_billing: bool = False,
     staged: bool | str = True,
+    rounding: str | None = None,
 ) -> DataFrame:
     df = _prepare(df, batch_id, names, round_billing)
     if staged:
         df = stage(df, "admissions_stage", staged if isinstance(staged, str) else None)
-    return _score(df, names, text_maxima, half_even)
+    return _score(df, names, text_maxima, half_even, rounding)
 
 
 def admissions_prepared(
@@ -147,16 +150,21 @@ def admissions_etl(
     text_maxima: bool = False,
     staged: bool | str = True,
     trace: Trace | None = None,
+    rounding: str | None = None,
 ) -> DataFrame:
     """The final admissions flow; 20 output columns (``ADMISSIONS_OUTPUT``).
 
     ``staged``: write the cleaned, stamped rows once (to this path, or to
     the checkpoint folder when ``True``) and derive maxima and scores from
     the written table; ``False`` keeps one lazy plan, in which the maxima
-    subquery re-reads the source.
+    subquery re-reads the source. ``rounding="binary"`` (with
+    ``text_maxima=True``) reproduces the source's Python score function
+    bit for bit; the default rounds on decimal digits, HALF_UP.
     """
     df = admissions_clean(raw, names, sentinels, trace)
-    return _finish(df, batch_id, names, text_maxima, half_even=False, staged=staged)
+    return _finish(
+        df, batch_id, names, text_maxima, half_even=False, staged=staged, rounding=rounding
+    )
 
 
 def admissions_etl_reject(
@@ -166,9 +174,15 @@ def admissions_etl_reject(
     sentinels=REJECT_SENTINELS,
     staged: bool | str = True,
     trace: Trace | None = None,
+    rounding: str | None = None,
 ) -> DataFrame:
-    """The scheduled-workflow flow: sentinel rows rejected, not blanked."""
+    """The scheduled-workflow flow: sentinel rows rejected, not blanked.
+
+    The score is rounded HALF_EVEN on decimal digits; ``rounding="binary"``
+    rounds on the binary double as the source's ``format_number`` did.
+    """
     df = admissions_rejected(raw, names, sentinels, trace)
     return _finish(
-        df, batch_id, names, text_maxima=False, half_even=True, round_billing=True, staged=staged
+        df, batch_id, names, text_maxima=False, half_even=True, round_billing=True,
+        staged=staged, rounding=rounding,
     )

@@ -178,3 +178,23 @@ def test_trace_counts_come_from_the_jobs_own_run(spark, admissions_csv, smart_cs
                          names=SMART_HOME_HEADERS, window=window, trace=trace)
     out.write.format("noop").mode("overwrite").save()
     assert trace_counts(trace) == {"in_window": 4, "distinct": 3, "clean": 3}
+
+
+def test_binary_rounding_reproduces_the_python_score(spark, admissions_csv):
+    raw = read_text_csv(spark, admissions_csv)
+    out = admissions_etl(raw, "20230401120000000", names=ADMISSIONS_HEADERS, text_maxima=True,
+                         rounding="binary", staged=False)
+    rows = [r for r in read_text_csv(spark, admissions_csv).collect() if r["Name"]]
+    ages = [r["Age"] for r in rows if r["Age"] not in ("", "NA", "None", None)]
+    bills = [r["Billing Amount"] for r in rows if r["Billing Amount"] not in ("", "NA", "None", None)]
+    max_age, max_bill = max(ages), max(bills)  # text maxima, as the source took them
+
+    def score(age, cond, bill):  # the source's per-row function
+        a = float(age) / float(max_age) * 0.4
+        d = float(1 if cond == "Diabetes" else 0) * 0.3
+        b = round(float(bill), 2) / round(float(max_bill), 2) * 0.3
+        return round(a + d + b, 2)
+
+    want = {r["Name"]: score(r["Age"], r["Medical Condition"], r["Billing Amount"]) for r in rows}
+    got = {r["Name"]: r["Risk Score"] for r in out.collect()}
+    assert got == want

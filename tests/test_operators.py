@@ -303,3 +303,25 @@ def test_spread_only_when_under_partitioned(spark, tmp_path):
     many = spark.range(0, 1000, 1, 8)
     assert spread(many, 4) is many  # enough splits already: no shuffle added
     assert sorted(r.id for r in spread(one, 4).collect()) == list(range(1000))
+
+
+def test_binary_rounding_matches_python_round(spark):
+    import random
+
+    from sluice.functions.columns import round_binary_half_even
+
+    rng = random.Random(7)
+    values = [0.125, 0.375, 2.675, 1.005, -2.5, 1234567.885, 0.0]
+    values += [round(rng.uniform(-1, 1) * 10 ** rng.randint(-3, 7), rng.randint(2, 6)) for _ in range(3000)]
+    values += [rng.randint(1, 10**6) / 1000 + 0.0005 for _ in range(1000)]  # third-digit ties
+    values += [k / 1000 for k in range(5, 10000, 10)]  # every x.xx5 below 10
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for scale in (0, 2, 3):
+        got = [r[0] for r in df.select(round_binary_half_even("x", scale)).collect()]
+        # half a unit at 3+ places is the documented exception, checked below
+        half_unit = 0.5 * 10 ** -scale if scale >= 3 else None
+        pairs = [(g, v) for g, v in zip(got, values) if abs(v) != half_unit]
+        assert [g for g, _ in pairs] == [round(v, scale) + 0.0 for _, v in pairs]
+    edge = spark.createDataFrame([(0.0005,), (-0.0005,)], "x double")
+    assert [r[0] for r in edge.select(round_binary_half_even("x", 3)).collect()] == [0.0, -0.0]
+    assert (round(0.0005, 3), round(-0.0005, 3)) == (0.001, -0.001)
