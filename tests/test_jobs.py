@@ -198,3 +198,28 @@ def test_binary_rounding_reproduces_the_python_score(spark, admissions_csv):
     want = {r["Name"]: score(r["Age"], r["Medical Condition"], r["Billing Amount"]) for r in rows}
     got = {r["Name"]: r["Risk Score"] for r in out.collect()}
     assert got == want
+
+
+def test_jobs_never_raise_on_bad_text_under_ansi(spark, tmp_path):
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    bad_adm = [
+        'Zed,1e400,Male,A+,Diabetes,31-02-2023,Dr,H,Acme,abc,99999999999999999999,Urgent,01-01-2023,X,Normal',
+        "Yan,-0,Female,B-,Asthma,2023-01-05,Dr,H,Acme,NaN,12.5,Urgent,05-01-2023,X,Normal",
+        "Xi,40,Female,B-,Asthma,01-01-2023,Dr,H,Acme,100,7,Urgent,00-00-0000,X,Normal",
+    ]
+    path = tmp_path / "bad.csv"
+    path.write_text(",".join(ADM_HEADER) + "\n" + "\n".join(bad_adm) + "\n", encoding="utf-8")
+    out = admissions_etl(read_text_csv(spark, str(path)), "20230401120000000", names=ADMISSIONS_HEADERS, staged=False)
+    rows = {r["Name"]: r for r in out.collect()}
+    zed, yan, xi = rows["Zed"], rows["Yan"], rows["Xi"]
+    assert zed["Age"] is None and zed["Date of Admission"] is None and zed["Room Number"] is None
+    assert zed["Billing Amount"] is None and zed["Risk Score"] is None and zed["Admission Days"] is None
+    assert yan["Date of Admission"] is None and yan["Room Number"] is None  # ISO text, '12.5' as int
+    assert xi["Discharge Date"] is None and xi["Admission Days"] is None
+
+    bad_home = ",".join(["abc"] + ["1e400"] * (len(SMART_HOME_SOURCE) - 1))
+    hpath = tmp_path / "bad_home.csv"
+    hpath.write_text(",".join(SMART_HEADER) + "\n" + bad_home + "\n", encoding="utf-8")
+    home = smart_home_etl(read_text_csv(spark, str(hpath)), "20230401120000000", names=SMART_HOME_HEADERS, staged=False)
+    row = home.first()
+    assert row["time"] is None  # 'abc' is no epoch
