@@ -3,10 +3,10 @@
 The driver tables are clean (no nulls, no duplicate rows), so the cleaning
 operators would run on nothing. These two views re-shape whole tables into
 the text records the jobs expect: every value is text, with sentinels,
-exact duplicate rows and all-blank rows mixed in. Both are pure projections
-and unions of a full scan, so their size grows with the tables. The
-expressions are SQL text (one ``selectExpr`` per view), the same text the
-DuckDB oracle uses.
+exact duplicate rows and all-blank rows mixed in. Each is one full scan, a
+per-row ``explode`` of the copies and one projection, so its size grows with
+the table. The expressions are SQL text (one ``selectExpr`` per view), the
+same text the DuckDB oracle uses.
 """
 
 from __future__ import annotations
@@ -54,11 +54,21 @@ ADMISSIONS_EXPRS = {
 assert tuple(ADMISSIONS_EXPRS) == ADMISSIONS_SOURCE
 
 
-def _with_copies(rows: DataFrame, key: str, dup_mod: int, dup_rem: int, blank_mod: int, cols) -> DataFrame:
-    """rows + a second copy of some rows + one all-blank row per ``blank_mod``."""
-    copies = rows.where(f"{key} % {dup_mod} = {dup_rem}")
-    blank = rows.where(f"{key} % {blank_mod} = 0").selectExpr(key, *[f"'' AS {c}" for c in cols])
-    return rows.unionByName(copies).unionByName(blank).drop(key)
+def _with_copies(scan: DataFrame, key: str, dup_mod: int, dup_rem: int, blank_mod: int, exprs) -> DataFrame:
+    """Text rows from one scan: each row once, a second copy of the rows with
+    ``key % dup_mod = dup_rem``, and an all-blank row per ``key % blank_mod = 0``.
+
+    The copies come from one ``explode`` of a per-row copy list (0 = the row,
+    1 = its duplicate, 2 = a blank twin), so the table is scanned once.
+    """
+    copies = (
+        f"filter(array(0, CASE WHEN {key} % {dup_mod} = {dup_rem} THEN 1 END, "
+        f"CASE WHEN {key} % {blank_mod} = 0 THEN 2 END), c -> c IS NOT NULL)"
+    )
+    rows = scan.selectExpr("*", f"explode({copies}) AS _copy")
+    return rows.selectExpr(
+        *[f"CASE WHEN _copy = 2 THEN '' ELSE {e} END AS {n}" for n, e in exprs.items()]
+    )
 
 
 def admissions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,8 +83,7 @@ def admissions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             "o_orderkey AS k", "o_custkey AS u", "CAST(o_orderdate AS DATE) AS d", "o_totalprice AS p"
         )
     )
-    rows = orders.selectExpr("k", *[f"{e} AS {n}" for n, e in ADMISSIONS_EXPRS.items()])
-    return _with_copies(rows, "k", 10, 3, 500, ADMISSIONS_SOURCE)
+    return _with_copies(orders, "k", 10, 3, 500, ADMISSIONS_EXPRS)
 
 
 def _smart_home_exprs() -> dict[str, str]:
@@ -108,5 +117,4 @@ def smart_home_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     0.xxx kW); weather columns continue from 43 (mod 1009).
     """
     events = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value"))
-    rows = events.selectExpr("event_id", *[f"{e} AS {n}" for n, e in SMART_HOME_EXPRS.items()])
-    return _with_copies(rows, "event_id", 9, 4, 400, SMART_HOME_SOURCE)
+    return _with_copies(events, "event_id", 9, 4, 400, SMART_HOME_EXPRS)
