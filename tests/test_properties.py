@@ -71,3 +71,30 @@ def test_upsert_properties(spark, old, new):
     for k, _ in old:
         if k not in {kk for kk, _ in new}:
             assert got[k][1] == 1
+
+
+@SETTINGS
+@given(
+    rows=st.lists(
+        st.tuples(
+            st.integers(min_value=1, max_value=120),
+            st.sampled_from(["Diabetes", "Asthma", "Cancer"]),
+            st.floats(min_value=0.5, max_value=5e5, allow_nan=False).map(lambda x: round(x, 3)),
+        ),
+        min_size=1,
+        max_size=20,
+    )
+)
+def test_binary_score_equals_a_python_score(spark, rows):
+    df = spark.createDataFrame(
+        [(str(a), c, repr(b)) for a, c, b in rows], "age string, cond string, bill string"
+    )
+    max_age, max_bill = max(a for a, _, _ in rows), max(b for _, _, b in rows)
+
+    def score(age, cond, bill):
+        a = float(age) / float(max_age) * 0.4
+        d = float(1 if cond == "Diabetes" else 0) * 0.3
+        return round(a + d + round(bill, 2) / round(max_bill, 2) * 0.3, 2)
+
+    got = [r.risk_score for r in risk_score(df, "age", "cond", "bill", rounding="binary").collect()]
+    assert got == [score(a, c, b) for a, c, b in rows]
