@@ -325,3 +325,19 @@ def test_binary_rounding_matches_python_round(spark):
     edge = spark.createDataFrame([(0.0005,), (-0.0005,)], "x double")
     assert [r[0] for r in edge.select(round_binary_half_even("x", 3)).collect()] == [0.0, -0.0]
     assert (round(0.0005, 3), round(-0.0005, 3)) == (0.001, -0.001)
+
+
+def test_describe_columns_agrees_with_spark_describe(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(rng.uniform(0, 10), None if i % 7 == 0 else rng.uniform(-5, 5)) for i in range(500)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    ours = {r.column: r for r in describe_columns(df, ["a", "b"], scale=6).collect()}
+    theirs = {r.summary: r for r in df.describe("a", "b").collect()}
+    for c in ("a", "b"):
+        assert ours[c]["count"] == int(theirs["count"][c])
+        assert ours[c]["mean"] == pytest.approx(float(theirs["mean"][c]), abs=1e-6)
+        assert ours[c]["stddev"] == pytest.approx(float(theirs["stddev"][c]), abs=1e-6)
+        assert ours[c]["min"] == float(theirs["min"][c])
+        assert ours[c]["max"] == float(theirs["max"][c])
