@@ -98,3 +98,43 @@ def test_binary_score_equals_a_python_score(spark, rows):
 
     got = [r.risk_score for r in risk_score(df, "age", "cond", "bill", rounding="binary").collect()]
     assert got == [score(a, c, b) for a, c, b in rows]
+
+
+@SETTINGS
+@given(keys=st.lists(st.sampled_from("abcdefgh"), min_size=1, max_size=60), k=st.integers(1, 5))
+def test_top_k_equals_counter(spark, keys, k):
+    from collections import Counter
+
+    from sluice.operators import top_k_counts
+
+    df = spark.createDataFrame([(x,) for x in keys], "key string")
+    got = [(r.key, r["count"]) for r in top_k_counts(df, "key", k).collect()]
+    want = sorted(Counter(keys).items(), key=lambda kv: (-kv[1], kv[0]))[:k]
+    assert got == want
+
+
+@SETTINGS
+@given(
+    readings=st.lists(
+        st.tuples(st.integers(0, 9 * 24 * 3600), st.integers(0, 999)), min_size=1, max_size=40
+    )
+)
+def test_day_over_day_delta_equals_python(spark, readings):
+    import datetime as dt
+    from collections import defaultdict
+    from decimal import Decimal
+
+    from sluice.operators import day_over_day_delta
+
+    start = dt.datetime(2024, 2, 27)  # spans the leap day
+    rows = [(start + dt.timedelta(seconds=s), v / 1000) for s, v in readings]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, v double")
+    got = {r.day: (r.total, r.delta) for r in day_over_day_delta(df, "ts", "v").collect()}
+    totals = defaultdict(Decimal)
+    for ts, v in rows:
+        totals[ts.date()] += Decimal(repr(v))
+    want = {
+        d: (t, t - totals[d - dt.timedelta(days=1)] if d - dt.timedelta(days=1) in totals else None)
+        for d, t in totals.items()
+    }
+    assert got == want
