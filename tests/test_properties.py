@@ -138,3 +138,45 @@ def test_day_over_day_delta_equals_python(spark, readings):
         for d, t in totals.items()
     }
     assert got == want
+
+
+@SETTINGS
+@given(rows=ROWS)
+def test_stage_counts_equal_python(spark, rows):
+    from sluice.functions.columns import BLANK_SENTINELS
+    from sluice.operators import stage_row_counts
+
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = stage_row_counts(df).first().asDict()
+    blank = [tuple(None if v in BLANK_SENTINELS else v for v in r) for r in rows]
+    distinct = set(blank)
+    want = {
+        "input_rows": len(rows) or None,
+        "rows_with_sentinel": sum(any(v in BLANK_SENTINELS for v in r) for r in rows) if rows else None,
+        "distinct_rows": len(distinct),
+        "clean_rows": sum(any(v is not None for v in r) for r in distinct),
+    }
+    assert got == want
+
+
+@SETTINGS
+@given(
+    rows=st.lists(
+        st.tuples(*[st.one_of(st.none(), st.integers(0, 50).map(float)) for _ in range(3)]),
+        min_size=1,
+        max_size=15,
+    )
+)
+def test_argmax_column_equals_python(spark, rows):
+    from sluice.operators import argmax_column
+
+    df = spark.createDataFrame(rows, "p double, q double, r double")
+    maxima = {f: max((r[i] for r in rows if r[i] is not None), default=None) for i, f in enumerate("pqr")}
+    present = {f: m for f, m in maxima.items() if m is not None}
+    got = argmax_column(df, ["p", "q", "r"]).collect()
+    if not present:
+        assert got == []
+    else:
+        best = max(present.values())
+        field = min(f for f, m in present.items() if m == best)
+        assert [(g.field, g.value) for g in got] == [(field, best)]
