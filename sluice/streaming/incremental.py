@@ -65,20 +65,28 @@ def run_incremental(
     checkpoint_dir: str,
     batch_id_for: Callable[[int], str] | None = None,
     max_files_per_trigger: int | None = None,
-    wait: bool = True,
+    wait: bool | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Process every file not yet seen in ``input_dir`` with ``job``, then stop.
 
     ``job(batch_df, batch_id)`` is a batch job such as the admissions or
-    smart-home flow (whole-table statistics are then per run, as for a
-    scheduled job). ``batch_id_for(epoch)`` names each micro-batch; by
-    default the driver clock at the time the micro-batch runs.
+    smart-home flow (whole-table statistics are then per micro-batch, as
+    for a scheduled run). ``batch_id_for(epoch)`` names each micro-batch;
+    by default the driver clock at the time the micro-batch runs.
+
+    ``trigger`` defaults to ``{"availableNow": True}`` (drain and stop, the
+    scheduled-run form, waited for); ``{"processingTime": "5 minutes"}``
+    keeps the query running and returns it at once (``wait`` overrides).
     """
+    trigger = trigger or {"availableNow": True}
+    if wait is None:
+        wait = bool(trigger.get("availableNow") or trigger.get("once"))
     stream = csv_file_stream(spark, input_dir, columns, max_files_per_trigger)
     query = (
         stream.writeStream.foreachBatch(_writer(job, output_dir, batch_id_for or (lambda _: new_batch_id())))
         .option("checkpointLocation", checkpoint_dir)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
     if wait:

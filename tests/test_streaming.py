@@ -53,3 +53,19 @@ def test_one_run_splits_into_micro_batches(spark, tmp_path):
     assert len({r["ETL_batch_id"] for r in rows}) == 2
     # each micro-batch is its own run: its only row holds the maxima
     assert {r["Risk Score"] for r in rows} == {0.7}
+
+
+def test_processing_time_trigger_keeps_running(spark, tmp_path):
+    landing, out, ckpt = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ckpt")
+    job = admissions_job(names=ADMISSIONS_HEADERS, staged=False)
+    _land(landing, "a.csv", [_row("Ann", 40, "100.00")])
+    query = run_incremental(
+        spark, job, str(landing), HEADER, out, ckpt,
+        batch_id_for=lambda epoch: f"2024010100000{epoch:04d}", trigger={"processingTime": "1 second"},
+    )
+    try:
+        assert query.isActive
+        query.processAllAvailable()
+        assert spark.read.parquet(out).count() == 1
+    finally:
+        query.stop()
