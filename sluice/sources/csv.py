@@ -18,9 +18,14 @@ def read_text_csv(
     columns: Sequence[str] | None = None,
     sep: str = ",",
     encoding: str = "UTF-8",
+    multi_line: bool = False,
 ) -> DataFrame:
     """Header CSV with every column as text.
 
+    ``multi_line=True`` accepts quoted values that contain line breaks, at
+    a price: each file is then read whole by one task (no splitting), so
+    keep it off for large inputs whose values are single-line.
+
     With ``columns`` given the reader skips schema inference altogether (one
     pass, splittable), which is what a large input wants; the header line is
     still skipped. Without it only the header line is read to name the
@@ -30,7 +35,7 @@ def read_text_csv(
         spark.read.option("header", True)
         .option("sep", sep)
         .option("encoding", encoding)
-        .option("multiLine", False)
+        .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
     )
     if columns is not None:

@@ -55,3 +55,10 @@ def test_write_jdbc_passes_options_to_the_writer(spark):
     with pytest.raises(Exception) as err:
         write_jdbc(df, "jdbc:nosuchdriver://h/db", "t", user="u", password="p")
     assert "nosuchdriver" in str(err.value) or "driver" in str(err.value).lower()
+
+
+def test_multi_line_values_need_the_option(spark, tmp_path):
+    path = tmp_path / "m.csv"
+    path.write_text('k,v\na,"line one\nline two"\nb,x\n', encoding="utf-8")
+    assert read_text_csv(spark, str(path), multi_line=True).count() == 2
+    assert read_text_csv(spark, str(path)).count() == 3  # split, splittable default
