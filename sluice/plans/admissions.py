@@ -99,6 +99,7 @@ def _score(
     text_maxima: bool,
     half_even: bool,
     rounding: str | None = None,
+    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Stamped rows -> scored, typed rows in output order."""
     n = _n(names)
@@ -112,7 +113,8 @@ def _score(
         half_even=half_even,
         rounding=rounding,
     )
-    df = cast_by_schema(df, {n(c): t for c, t in ADMISSIONS_TYPES.items()})
+    type_map = {**ADMISSIONS_TYPES, **(types or {})}
+    df = cast_by_schema(df, {n(c): t for c, t in type_map.items()})
     return reorder_columns(df, [n(c) for c in ADMISSIONS_OUTPUT])
 
 
@@ -125,11 +127,12 @@ def _finish(
     round_billing: bool = False,
     staged: bool | str = True,
     rounding: str | None = None,
+    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
     df = _prepare(df, batch_id, names, round_billing)
     if staged:
         df = stage(df, "admissions_stage", staged if isinstance(staged, str) else None)
-    return _score(df, names, text_maxima, half_even, rounding)
+    return _score(df, names, text_maxima, half_even, rounding, types)
 
 
 def admissions_prepared(
@@ -151,6 +154,7 @@ def admissions_etl(
     staged: bool | str = True,
     trace: Trace | None = None,
     rounding: str | None = None,
+    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """The final admissions flow; 20 output columns (``ADMISSIONS_OUTPUT``).
 
@@ -159,11 +163,15 @@ def admissions_etl(
     the written table; ``False`` keeps one lazy plan, in which the maxima
     subquery re-reads the source. ``rounding="binary"`` (with
     ``text_maxima=True``) reproduces the source's Python score function
-    bit for bit; the default rounds on decimal digits, HALF_UP.
+    bit for bit; the default rounds on decimal digits, HALF_UP. ``types``
+    overrides entries of the output type map (logical name -> type), e.g.
+    ``{"risk_score": "float", "billing_amount": "float"}`` for the
+    single-precision columns of the source's output.
     """
     df = admissions_clean(raw, names, sentinels, trace)
     return _finish(
-        df, batch_id, names, text_maxima, half_even=False, staged=staged, rounding=rounding
+        df, batch_id, names, text_maxima, half_even=False, staged=staged, rounding=rounding,
+        types=types,
     )
 
 
@@ -175,6 +183,7 @@ def admissions_etl_reject(
     staged: bool | str = True,
     trace: Trace | None = None,
     rounding: str | None = None,
+    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """The scheduled-workflow flow: sentinel rows rejected, not blanked.
 
@@ -184,5 +193,5 @@ def admissions_etl_reject(
     df = admissions_rejected(raw, names, sentinels, trace)
     return _finish(
         df, batch_id, names, text_maxima=False, half_even=True, round_billing=True,
-        staged=staged, rounding=rounding,
+        staged=staged, rounding=rounding, types=types,
     )

@@ -223,3 +223,12 @@ def test_jobs_never_raise_on_bad_text_under_ansi(spark, tmp_path):
     home = smart_home_etl(read_text_csv(spark, str(hpath)), "20230401120000000", names=SMART_HOME_HEADERS, staged=False)
     row = home.first()
     assert row["time"] is None  # 'abc' is no epoch
+
+
+def test_output_types_can_be_overridden(spark, admissions_csv):
+    raw = read_text_csv(spark, admissions_csv)
+    out = admissions_etl(raw, "20230401120000000", names=ADMISSIONS_HEADERS, staged=False,
+                         types={"risk_score": "float", "billing_amount": "float"})
+    dtypes = dict(out.dtypes)
+    assert dtypes["Risk Score"] == "float" and dtypes["Billing Amount"] == "float"
+    assert dtypes["Age"] == "int" and dtypes["ETL_batch_id"] == "bigint"
