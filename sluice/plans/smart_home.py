@@ -88,10 +88,16 @@ def smart_home_clean(
     return traced(drop_blank_rows(df, src), "clean", trace)
 
 
-def smart_home_typed(df: DataFrame, names: Mapping[str, str] | None = None) -> DataFrame:
-    """Readings cast by the type map (bad numbers -> null)."""
+def smart_home_typed(
+    df: DataFrame,
+    names: Mapping[str, str] | None = None,
+    types: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Readings cast by the type map (bad numbers -> null); ``types``
+    overrides entries (logical name -> type)."""
     n = _n(names)
-    return cast_by_schema(df, {n(c): t for c, t in SMART_HOME_TYPES.items()})
+    type_map = {**SMART_HOME_TYPES, **(types or {})}
+    return cast_by_schema(df, {n(c): t for c, t in type_map.items()})
 
 
 def smart_home_totals(df: DataFrame, names: Mapping[str, str] | None = None) -> DataFrame:
@@ -117,6 +123,7 @@ def smart_home_etl(
     staged: bool | str = True,
     day_col: str | None = None,
     trace: Trace | None = None,
+    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """The whole flow; 33 output columns (``SMART_HOME_OUTPUT``).
 
@@ -128,7 +135,7 @@ def smart_home_etl(
     with a ``window`` it prunes files before any text is parsed.
     """
     n = _n(names)
-    df = smart_home_prepared(raw, batch_id, names, window, day_col, trace)
+    df = smart_home_prepared(raw, batch_id, names, window, day_col, trace, types)
     if staged:
         df = stage(df, "smart_home_stage", staged if isinstance(staged, str) else None)
     df = with_power_stats(df, names)
@@ -142,6 +149,7 @@ def smart_home_prepared(
     window: tuple[str, str] | None = None,
     day_col: str | None = None,
     trace: Trace | None = None,
+    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """The rows ``smart_home_etl`` stages: cleaned, keyed, stamped, typed,
     with circuit totals and the recomputed house total."""
@@ -150,4 +158,4 @@ def smart_home_prepared(
     df = smart_home_clean(raw, names, window, day_col=day_col, trace=trace)
     df = row_key(df, src, out=n("row_key"))
     df = batch_stamp(df, batch_id, n("etl_batch_id"), n("etl_batch_date"))
-    return smart_home_totals(smart_home_typed(df, names), names)
+    return smart_home_totals(smart_home_typed(df, names, types), names)
