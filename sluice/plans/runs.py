@@ -88,7 +88,8 @@ def run_admissions(
     batch_id = batch_id or new_batch_id()
     job = admissions_etl_reject if reject else admissions_etl
     trace: dict = {}
-    result = job(raw, batch_id, names=names, trace=trace)
+    # the stage lives with the run's outputs: one directory per run
+    result = job(raw, batch_id, names=names, trace=trace, staged=f"{output_dir.rstrip('/')}/_stage")
     outputs = _sinks(
         spark, result, output_dir, resolve(names, "row_key"), resolve(names, "etl_batch_id"),
         csv, keyed_previous, jdbc,
@@ -117,7 +118,10 @@ def run_smart_home(
     raw = read_text_csv(spark, input_path if isinstance(input_path, str) else list(input_path))
     batch_id = batch_id or new_batch_id()
     trace: dict = {}
-    result = smart_home_etl(raw, batch_id, names=names, window=window, trace=trace)
+    result = smart_home_etl(
+        raw, batch_id, names=names, window=window, trace=trace,
+        staged=f"{output_dir.rstrip('/')}/_stage",
+    )
     outputs = _sinks(
         spark, result, output_dir, resolve(names, "row_key"), resolve(names, "etl_batch_id"),
         csv, keyed_previous, jdbc,

@@ -232,3 +232,12 @@ def test_output_types_can_be_overridden(spark, admissions_csv):
     dtypes = dict(out.dtypes)
     assert dtypes["Risk Score"] == "float" and dtypes["Billing Amount"] == "float"
     assert dtypes["Age"] == "int" and dtypes["ETL_batch_id"] == "bigint"
+
+
+def test_complete_run_keeps_its_stage_with_its_outputs(spark, admissions_csv, tmp_path):
+    import os
+
+    from sluice.plans.runs import run_admissions
+
+    run_admissions(spark, admissions_csv, str(tmp_path / "run"), batch_id="20230401120000000", csv=False)
+    assert sorted(os.listdir(tmp_path / "run")) == ["_stage", "table"]
