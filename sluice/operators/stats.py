@@ -5,8 +5,9 @@ one-row aggregate (partial aggregation per task, then a single row per task
 to a final merge) that Spark runs once and injects as a literal into the
 row projection. That replaces both the driver round trip (``collect()``
 then ``lit``) and the un-partitioned window ``over ()``, which would move
-the whole table into one task. The broadcast value is a single row, so
-its size is bounded no matter how large the input.
+the whole table into one task. What reaches the tasks is that one row,
+embedded in their projection, so its size is bounded however large the
+input.
 """
 
 from __future__ import annotations
