@@ -2,10 +2,11 @@
 
 Stands in for a key-value table put: writing a batch to a keyed table
 replaces the rows whose key it carries and inserts the rest. Expressed as
-``union`` + one hash aggregation on the key that keeps the row with the
-greatest version. The aggregation combines map-side, so a key carried by a
-third of all rows reaches its reducer as one row per map task, unlike a
-``row_number()`` window that would sort the whole hot key in one task.
+``union`` + one aggregation on the key that keeps the row with the
+greatest version (sort-based: a struct buffer cannot be hash-aggregated).
+The aggregation combines map-side, so a key carried by a third of all rows
+reaches its reducer as one row per map task, unlike a ``row_number()``
+window that would sort the whole hot key in one task.
 """
 
 from __future__ import annotations
