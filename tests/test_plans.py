@@ -123,3 +123,12 @@ def test_window_prunes_day_partitions(spark, tmp_path):
     assert out.count() == 1
     scan = [line for line in plan_text(out).splitlines() if "PartitionFilters" in line]
     assert scan and all("day" in line for line in scan)
+
+
+def test_after_the_stage_the_jobs_do_not_shuffle(spark, sf_small):
+    for name in ("admissions_etl", "smart_home_etl", "global_power_stats"):
+        text = plan_text(E.queries()[name](spark, sf_small), "simple")
+        assert "Exchange hashpartitioning" not in text, name
+        assert "Exchange RoundRobinPartitioning" not in text, name
+        # only the statistics subquery's one-row merge crosses tasks
+        assert text.count("Exchange SinglePartition") == 1, name
