@@ -106,16 +106,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 # --- admissions: cleaning and shaping operators ----------------------------
 
 def q_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header CSV read back as text."""
     path = scratch_path(spark, "csv_scan")
     write_csv(admissions_raw(spark, sf_dir), path)
     return read_text_csv(spark, path)
 
 
 def q_batch_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch id and date stamped on every row."""
     return batch_stamp(admissions_raw(spark, sf_dir), BATCH_ID)
 
 
 def q_row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deterministic content key per row."""
     return row_key(admissions_raw(spark, sf_dir), ADMISSIONS_SOURCE)
 
 
@@ -129,39 +132,48 @@ def q_random_row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_reject_sentinel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rows holding a sentinel (or null) dropped."""
     return reject_sentinel_rows(admissions_raw(spark, sf_dir), REJECT_SENTINELS)
 
 
 def q_blank_sentinels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """sentinel text replaced by null."""
     return blank_sentinels(admissions_raw(spark, sf_dir), BLANK_SENTINELS)
 
 
 def q_drop_blank_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rows blank in every source column dropped."""
     blanked = blank_sentinels(admissions_raw(spark, sf_dir), BLANK_SENTINELS)
     return drop_blank_rows(blanked, ADMISSIONS_SOURCE)
 
 
 def q_dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact duplicate rows removed."""
     return dedup_rows(admissions_raw(spark, sf_dir))
 
 
 def q_stage_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: row counts after each cleaning stage, one shuffle."""
     return stage_row_counts(admissions_raw(spark, sf_dir), BLANK_SENTINELS)
 
 
 def q_parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day-first date text parsed."""
     return parse_dates(admissions_raw(spark, sf_dir), ["date_of_admission", "discharge_date"], DATE_FORMAT)
 
 
 def q_stay_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole days between admission and discharge."""
     return stay_days(q_parse_dates(spark, sf_dir), "date_of_admission", "discharge_date")
 
 
 def q_round_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Billing rounded to cents (decimal HALF_UP)."""
     return round_column(admissions_raw(spark, sf_dir), "billing_amount", 2)
 
 
 def q_format_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Billing as grouped text and HALF_EVEN number."""
     df = admissions_raw(spark, sf_dir)
     amount = F.col("billing_amount").try_cast("double")
     return df.select(
@@ -173,14 +185,17 @@ def q_format_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_cast_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numeric source columns cast by a type map."""
     return cast_by_schema(admissions_raw(spark, sf_dir), SOURCE_CASTS)
 
 
 def q_reorder_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chosen columns first, the rest after."""
     return reorder_columns(admissions_raw(spark, sf_dir), REORDER_FIRST)
 
 
 def q_scalar_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, P10: typed maxima of the cleaned rows (one row)."""
     clean = admissions_clean(admissions_raw(spark, sf_dir))
     return global_stats(
         clean,
@@ -192,6 +207,7 @@ def q_scalar_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_text_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: lexicographic maxima of the text columns (one row)."""
     clean = admissions_clean(admissions_raw(spark, sf_dir))
     return global_stats(
         clean,
@@ -200,16 +216,19 @@ def q_text_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_risk_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Section 2.10: score over rejected + deduplicated rows, typed maxima."""
     df = admissions_rejected(admissions_raw(spark, sf_dir))
     return risk_score(df, "age", "medical_condition", "billing_amount")
 
 
 def q_risk_score_text_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Section 2.10, A2: score with text maxima, as the final flow had it."""
     df = admissions_clean(admissions_raw(spark, sf_dir))
     return risk_score(df, "age", "medical_condition", "billing_amount", text_maxima=True)
 
 
 def q_preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2: first rows in a total order (the limit is the feature)."""
     clean = admissions_clean(admissions_raw(spark, sf_dir))
     order = [F.col(c).asc_nulls_last() for c in ADMISSIONS_SOURCE]
     return clean.orderBy(*order).limit(PREVIEW_ROWS)
@@ -218,6 +237,7 @@ def q_preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- admissions: sinks (written, then read back) ---------------------------
 
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: job output written as CSV and read back typed."""
     path = scratch_path(spark, "csv_roundtrip")
     write_csv(admissions_etl(admissions_raw(spark, sf_dir), BATCH_ID), path)
     back = read_text_csv(spark, path, ADMISSIONS_OUTPUT)
@@ -225,12 +245,14 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_csv_unquoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: unquoted CSV lines, header first."""
     path = scratch_path(spark, "csv_unquoted")
     write_unquoted_csv(spark, admissions_raw(spark, sf_dir), path)
     return spark.read.text(path)
 
 
 def q_repartition_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3, K4: publish to a fixed directory twice; the second replaces."""
     path = scratch_path(spark, "publish")
     clean = admissions_clean(admissions_raw(spark, sf_dir))
     publish(clean, path, num_files=PUBLISH_FILES)
@@ -239,6 +261,7 @@ def q_repartition_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: newest version per key wins."""
     orders = read_table(spark, sf_dir, "orders")
     existing = orders.where(F.col("o_orderstatus") == "F").select(
         F.col("o_orderkey").alias("key"),
@@ -256,10 +279,12 @@ def q_keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_admissions_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The final admissions flow (blanking)."""
     return admissions_etl(admissions_raw(spark, sf_dir), BATCH_ID)
 
 
 def q_admissions_etl_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scheduled admissions flow (rejecting, HALF_EVEN score)."""
     return admissions_etl_reject(admissions_raw(spark, sf_dir), BATCH_ID)
 
 
@@ -271,6 +296,7 @@ def _sh_house(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_epoch_to_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Epoch text -> timestamp_ntz."""
     return epoch_to_timestamp(smart_home_raw(spark, sf_dir), "time")
 
 
@@ -283,15 +309,18 @@ def q_text_to_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """inclusive one-day slice."""
     return time_range(q_epoch_to_timestamp(spark, sf_dir), "time", *DAY_SLICE)
 
 
 def q_power_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Circuit totals, parts dropped."""
     typed = smart_home_typed(smart_home_clean(smart_home_raw(spark, sf_dir)))
     return add_totals(typed, SMART_HOME_TOTALS, drop_parts=True)
 
 
 def q_house_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """House total recomputed from its parts."""
     return _sh_house(spark, sf_dir)
 
 
@@ -302,44 +331,53 @@ def _sh_house_staged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def q_global_power_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Max / min / avg of the house total attached to every row."""
     return with_power_stats(_sh_house_staged(spark, sf_dir, "power_stats_stage")).select(
         "time", "house_overall", "max_power", "min_power", "avg_power"
     )
 
 
 def q_top_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4, O1: ten most frequent times."""
     timed = smart_home_timed(smart_home_raw(spark, sf_dir))
     return top_k_counts(timed, "time", TOP_TIMES)
 
 
 def q_day_over_day_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily totals and change from the day before."""
     out = day_over_day_delta(_sh_house(spark, sf_dir), "time", "house_overall")
     return out.select("day", F.col("total").cast("double").alias("total"), F.col("delta").cast("double").alias("delta"))
 
 
 def q_day_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day's max, min and total (one row)."""
     out = day_extremes(_sh_house(spark, sf_dir), "time", "house_overall", EXTREMES_DAY)
     return out.withColumn("sum_total_overall", F.col("sum_total_overall").cast("double"))
 
 
 def q_day_extremes_attached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day's max and min attached to every row."""
     house = _sh_house_staged(spark, sf_dir, "day_extremes_stage").select("time", "house_overall")
     return with_day_extremes(house, "time", "house_overall", EXTREMES_DAY)
 
 
 def q_argmax_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The circuit with the largest reading."""
     return argmax_column(_sh_house(spark, sf_dir), POWER_FIELDS)
 
 
 def q_describe_power(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count / mean / stddev / min / max per power column."""
     return describe_columns(_sh_house(spark, sf_dir), DESCRIBE_FIELDS)
 
 
 def q_smart_home_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The smart-home flow over the whole table."""
     return smart_home_etl(smart_home_raw(spark, sf_dir), BATCH_ID)
 
 
 def q_smart_home_etl_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The smart-home flow over a one-day window."""
     return smart_home_etl(smart_home_raw(spark, sf_dir), BATCH_ID, window=DAY_SLICE)
 
 
@@ -358,10 +396,12 @@ def _stream_through(spark: SparkSession, raw: DataFrame, job, columns, name: str
 
 
 def q_admissions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The admissions flow as one incremental run over landed CSV files."""
     return _stream_through(spark, admissions_raw(spark, sf_dir), admissions_job(), ADMISSIONS_SOURCE, "adm_stream")
 
 
 def q_smart_home_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The smart-home flow as one incremental run over landed CSV files."""
     return _stream_through(spark, smart_home_raw(spark, sf_dir), smart_home_job(), SMART_HOME_SOURCE, "sh_stream")
 
 
