@@ -6,9 +6,9 @@ the same rows and ids and the job is not recomputed per sink.
 
 Command line::
 
-    python -m sluice.plans.runs admissions --input DIR --output DIR \\
+    python -m sluice admissions --input DIR --output DIR \\
         [--batch-id 17DIGITS] [--headers original|snake] [--keyed-previous DIR]
-    python -m sluice.plans.runs smart_home --input DIR --output DIR \\
+    python -m sluice smart_home --input DIR --output DIR \\
         [--window "2016-01-01 05:00:00" "2016-01-01 06:00:00"]
 """
 
@@ -140,7 +140,7 @@ def run_smart_home(
 def main(argv: Sequence[str] | None = None) -> None:
     from sluice.session import build_session
 
-    parser = argparse.ArgumentParser(prog="python -m sluice.plans.runs")
+    parser = argparse.ArgumentParser(prog="python -m sluice")
     parser.add_argument("job", choices=["admissions", "admissions_reject", "smart_home"])
     parser.add_argument("--input", required=True, nargs="+")
     parser.add_argument("--output", required=True)
