@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from tools.oracle_check import canon, duck
+from tools.oracle_check import SAME_TYPE, canon, duck
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
@@ -27,6 +27,9 @@ def test_query_matches_oracle(spark, con, sf_small, name):
     assert scols == dcols
     assert len(srows) == len(drows)
     assert srows == drows
+    rel = con.sql(ORACLE[name])
+    duck_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    assert {c: SAME_TYPE.get(t) for c, t in sdf.dtypes} == duck_types
 
 
 def test_entry_runs(spark):
