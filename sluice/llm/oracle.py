@@ -55,4 +55,27 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = componen
 FROM documents d JOIN component c ON c.node = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
 """
 
-LLM_ORACLE = {"op1_line_dedup": OP1_SQL, "op3_minhash_dedup": OP3_SQL}
+OP10_SQL = """
+WITH RECURSIVE rows AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), sound AS (
+  SELECT *, sqrt(list_dot_product(v, v)) AS norm FROM rows
+  WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM sound x JOIN sound y
+  ON x.label = y.label AND x.vec_id <> y.vec_id AND x.norm > 0 AND y.norm > 0
+  AND list_dot_product(x.v, y.v) / (x.norm * y.norm) >= 0.93
+), reach(node, seen) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT l.b, r.seen FROM reach r JOIN links l ON l.a = r.node
+), component AS (
+  SELECT node, min(seen) AS component_id FROM reach GROUP BY node
+), degree AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN component c ON c.node = e.vec_id LEFT JOIN degree d ON d.a = e.vec_id
+"""
+
+LLM_ORACLE = {"op1_line_dedup": OP1_SQL, "op3_minhash_dedup": OP3_SQL, "op10_embedding_dedup": OP10_SQL}

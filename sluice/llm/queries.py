@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.llm import language_id
+from sluice.llm.decontaminate import find_overlaps
+from sluice.llm.embedding_dedup import near_duplicate_vectors
 from sluice.llm.line_dedup import dedup_lines
 from sluice.llm.minhash_dedup import near_duplicates
 from sluice.llm.packing import pack_documents
@@ -30,8 +33,27 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = language_id.held_out()
+    model = language_id.train(docs.where(~held_out))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_language_id": op7_language_id,
+    "op9_decontamination": op9_decontamination,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
