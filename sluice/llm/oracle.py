@@ -78,4 +78,24 @@ SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_i
 FROM embeddings e JOIN component c ON c.node = e.vec_id LEFT JOIN degree d ON d.a = e.vec_id
 """
 
-LLM_ORACLE = {"op1_line_dedup": OP1_SQL, "op3_minhash_dedup": OP3_SQL, "op10_embedding_dedup": OP10_SQL}
+OP8_SQL = """
+WITH hashed AS (
+  SELECT doc_id, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS h,
+         octet_length(encode(coalesce(text, ''))) AS n_bytes
+  FROM documents
+), ladder AS (
+  SELECT doc_id, n_bytes, CAST(d AS INT) AS depth, h >> CAST(60 - d AS BIGINT) AS prefix
+  FROM hashed, range(0, 61) r(d)
+), buckets AS (
+  SELECT depth, prefix, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes, count(*) AS n FROM ladder GROUP BY ALL
+), fitting AS (
+  SELECT l.doc_id, l.depth, l.prefix, l.n_bytes, b.shard_bytes,
+         row_number() OVER (PARTITION BY l.doc_id ORDER BY l.depth) AS r
+  FROM ladder l JOIN buckets b ON b.depth = l.depth AND b.prefix = l.prefix
+  WHERE b.shard_bytes <= 1048576 OR b.n = 1
+)
+SELECT doc_id, depth, prefix, CAST(0 AS BIGINT) AS overflow, n_bytes, shard_bytes FROM fitting WHERE r = 1
+"""
+
+LLM_ORACLE = {"op1_line_dedup": OP1_SQL, "op3_minhash_dedup": OP3_SQL, "op8_sharding": OP8_SQL,
+              "op10_embedding_dedup": OP10_SQL}

@@ -5,15 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import language_id
+from sluice.llm import language_id, toxicity
 from sluice.llm.decontaminate import find_overlaps
 from sluice.llm.embedding_dedup import near_duplicate_vectors
+from sluice.llm.html_extract import extract
+from sluice.llm.license_scan import scan_licenses
 from sluice.llm.line_dedup import dedup_lines
 from sluice.llm.minhash_dedup import near_duplicates
 from sluice.llm.packing import pack_documents
+from sluice.llm.sharding import shard
 from sluice.sources.tables import read_table
 
 
+TOXIC_SCORE = 0.7
+SHARD_BYTES = 1 << 20
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -25,10 +32,28 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), n_words=4)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = toxicity.held_out()
+    labels = toxicity.sample_labels(read_table(spark, sf_dir, "labels").where(~held_out))
+    labelled = docs.join(F.broadcast(labels.toDF("doc_id", "toxic")), "doc_id")
+    scored = toxicity.score_toxicity(docs, toxicity.train(labelled))
+    predicted = (F.col("score") >= TOXIC_SCORE).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -41,6 +66,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = shard(read_table(spark, sf_dir, "documents").select("doc_id", "text"), SHARD_BYTES)
+    return sharded.select("doc_id", "depth", "prefix", "overflow", "n_bytes", "shard_bytes")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -51,9 +81,13 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_license_scan": op2_license_scan,
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op4_toxicity": op4_toxicity,
+    "op5_html_extract": op5_html_extract,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_language_id": op7_language_id,
+    "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
