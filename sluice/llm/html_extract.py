@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.store import col
+from sluice.llm.store import col, row_schema
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -248,7 +248,6 @@ def extract(
     """
     others = [c for c in pages.columns if c not in (html_col, text_col, "n_chars")]
     packed = pages.select(col(html_col).alias("html"), F.struct(*[col(c) for c in others], F.lit(0).alias("_")).alias("row"))
-    row_type = packed.schema["row"].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,5 +257,5 @@ def extract(
                 names=["row", "text", "n_chars"],
             )
 
-    out = packed.mapInArrow(read, f"row {row_type}, text string, n_chars long")
+    out = packed.mapInArrow(read, row_schema(packed, "text string, n_chars long"))
     return out.select(*[F.col("row").getField(c).alias(c) for c in others], F.col("text").alias(text_col), "n_chars")

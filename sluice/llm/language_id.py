@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.store import col
+from sluice.llm.store import col, row_schema
 
 BUCKET_BITS = 16
 SIZES = (2, 3, 4)
@@ -208,7 +208,6 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     docs = docs.drop("lang_pred", "score", "rejected")
     packed = docs.select(col(text_col).alias("text"), F.struct(*[col(c) for c in docs.columns]).alias("row"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    row_type = packed.schema["row"].dataType.simpleString()
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -220,7 +219,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
                 names=["row", "lang_pred", "score", "rejected"],
             )
 
-    out = packed.mapInArrow(predict, f"row {row_type}, lang_pred string, score double, rejected boolean")
+    out = packed.mapInArrow(predict, row_schema(packed, "lang_pred string, score double, rejected boolean"))
     return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns], "lang_pred", "score", "rejected")
 
 

@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ASCII_SPACE = " \t\n\x0b\x0c\r"  # [\x20\x09-\x0D]
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -42,6 +43,11 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def row_schema(packed: DataFrame, results: str) -> T.StructType:
+    """The struct column ``row`` of ``packed`` and then the result columns."""
+    return T.StructType([packed.schema["row"], *T.StructType.fromDDL(results).fields])
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, every other character kept (``lower`` would also fold É)."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

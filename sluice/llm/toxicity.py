@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.store import col
+from sluice.llm.store import col, row_schema
 
 # Letters of other scripts that look like Latin ones.
 _LOOKALIKES = {
@@ -264,7 +264,6 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     docs = docs.drop("score")
     packed = docs.select(col(text_col).alias("text"), F.struct(*[col(c) for c in docs.columns]).alias("row"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    row_type = packed.schema["row"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -272,7 +271,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
             scores = [model.score(text.as_py()) for text in batch.column(0)]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(scores, pa.float64())], names=["row", "score"])
 
-    out = packed.mapInArrow(score, f"row {row_type}, score double")
+    out = packed.mapInArrow(score, row_schema(packed, "score double"))
     return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns], "score")
 
 
