@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.store import ASCII_SPACE, ascii_lower, col, hash128
+from sluice.llm.store import ASCII_SPACE, ascii_lower, col, hash128, stage
 
 
 def dedup_lines(
@@ -50,11 +50,14 @@ def dedup_lines(
         .where(F.char_length(stripped) >= min_chars)
         .select("id", "version", "pos", h1.alias("h1"), h2.alias("h2"))
     )
-    shared = (
+    # Staged, so that both sides of the next join are plain exchanges: only
+    # then can AQE split the partition of a hash that very many rows have.
+    shared = stage(
         lines.groupBy("h1", "h2")
         .agg(F.count_distinct("id").alias("n_docs"), F.min("id").alias("first_id"))
         .where(F.col("n_docs") >= min_docs)
-        .drop("n_docs")
+        .drop("n_docs"),
+        "shared-lines",
     )
     drops = (
         lines.join(shared, ["h1", "h2"])
