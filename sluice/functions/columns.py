@@ -27,18 +27,13 @@ SENTINEL_PRESETS = {
     "smart_home": BLANK_SENTINELS_SMART_HOME,
 }
 
-# Separator and null token of the content key; the null token keeps
-# (a, null, b) and (a, b, null) apart, which concat_ws alone would not.
-KEY_SEPARATOR = "|"
-KEY_NULL_TOKEN = "<null>"
+# A null's part of the content key; every other part begins with a digit.
+KEY_NULL_TOKEN = "N"
 
 EPOCH_NTZ = "1970-01-01 00:00:00"
-
-# Rounding goes through this decimal: nine places hold every digit a double
-# of magnitude below ~1e6 carries (value * 1e9 stays under 2^53), so binary
-# noise (250020.01499999998 for 250020.015) is gone before the rounding
-# digit is looked at, and every engine sees the same tie.
-WORK_DECIMAL = "decimal(38,9)"
+# Epoch seconds of 0001-01-01 00:00:00 and 9999-12-31 23:59:59, the range in
+# which every engine can name the time.
+EPOCH_SECONDS = (-62135596800, 253402300799)
 
 
 # Helpers given column *names* build one SQL expression string per result
@@ -90,44 +85,66 @@ def sentinel_free_sql(names: Iterable[str], values: Iterable[str]) -> str:
 
 
 def content_key(cols: Iterable[str | Column]) -> Column:
-    """Deterministic row key: md5 over the ``|``-joined text of ``cols``.
+    """Deterministic row key: md5 over the values of ``cols``.
 
+    Each value goes in as its length, a colon and its text, a null as ``N``,
+    so different rows never make the same text, whatever their cells hold.
     Equal rows get equal keys in every action and on every executor, so a
     frame written to two sinks carries the same ids in both.
     """
     cols = list(cols)
     if all(isinstance(c, str) for c in cols):
+        texts = [f"CAST({ident(c)} AS STRING)" for c in cols]
         parts = ", ".join(
-            f"coalesce(CAST({ident(c)} AS STRING), {sql_text(KEY_NULL_TOKEN)})" for c in cols
+            f"coalesce(concat(CAST(char_length({t}) AS STRING), ':', {t}), {sql_text(KEY_NULL_TOKEN)})" for t in texts
         )
-        return F.expr(f"md5(concat_ws({sql_text(KEY_SEPARATOR)}, {parts}))")
-    parts = [F.coalesce(_col(c).cast("string"), F.lit(KEY_NULL_TOKEN)) for c in cols]
-    return F.md5(F.concat_ws(KEY_SEPARATOR, *parts))
+        return F.expr(f"md5(concat({parts}))")
+    texts = [_col(c).cast("string") for c in cols]
+    parts = [
+        F.coalesce(F.concat(F.char_length(t).cast("string"), F.lit(":"), t), F.lit(KEY_NULL_TOKEN)) for t in texts
+    ]
+    return F.md5(F.concat(*parts))
+
+
+def finite(c: Column) -> Column:
+    """A floating-point value, or null if it is NaN or infinite.
+
+    Both sort above every number, so a single such cell would become the
+    maximum, and the score, of all rows.
+    """
+    return F.when(F.abs(c) < F.lit(float("inf")), c)
+
+
+def number(c: str | Column) -> Column:
+    """Text (or a number) as a finite double; anything else is null."""
+    return finite(_col(c).try_cast("double"))
 
 
 def try_cast(c: str | Column, type_name: str) -> Column:
-    """``try_cast``: a value that does not fit the type becomes null."""
+    """``try_cast``: a value that does not fit the type becomes null, and so
+    do NaN and the infinities of a floating-point type."""
+    if type_name in ("double", "float"):
+        if isinstance(c, str):
+            cast = f"try_cast({ident(c)} AS {type_name})"
+            return F.expr(f"CASE WHEN abs({cast}) < double('Infinity') THEN {cast} END")
+        return finite(c.try_cast(type_name))
     if isinstance(c, str):
         return F.expr(f"try_cast({ident(c)} AS {type_name})")
     return c.try_cast(type_name)
 
 
-def round_half_up(c: str | Column, scale: int, work_type: str = WORK_DECIMAL) -> Column:
-    """Decimal HALF_UP rounding of a double, returned as double.
+def round_half_up(c: str | Column, scale: int) -> Column:
+    """HALF_UP rounding of a double on its decimal digits.
 
-    Going through a decimal rounds on the decimal digits (1.005 -> 1.01),
-    not on the binary fraction, so every engine agrees on ties.
+    Spark's ``round`` works on the shortest decimal text of the double (1.005
+    -> 1.01), once and at any magnitude; NaN and infinities stay.
     """
-    if isinstance(c, str):
-        return F.expr(f"CAST(round(try_cast({ident(c)} AS {work_type}), {scale}) AS DOUBLE)")
-    return F.round(c.try_cast(work_type), scale).cast("double")
+    return F.round(_col(c).try_cast("double"), scale)
 
 
-def round_half_even(c: str | Column, scale: int, work_type: str = WORK_DECIMAL) -> Column:
-    """Decimal HALF_EVEN (banker's) rounding of a double, returned as double."""
-    if isinstance(c, str):
-        return F.expr(f"CAST(bround(try_cast({ident(c)} AS {work_type}), {scale}) AS DOUBLE)")
-    return F.bround(c.try_cast(work_type), scale).cast("double")
+def round_half_even(c: str | Column, scale: int) -> Column:
+    """HALF_EVEN (banker's) rounding of a double on its decimal digits."""
+    return F.bround(_col(c).try_cast("double"), scale)
 
 
 def round_binary_half_even(c: str | Column, scale: int) -> Column:
@@ -158,14 +175,12 @@ def epoch_seconds_to_ntz(c: str | Column) -> Column:
     """Epoch seconds (number or text) -> ``timestamp_ntz`` in UTC.
 
     Independent of the session time zone: the seconds are added to the
-    epoch as a zone-less timestamp. Text that is not an integer -> null.
+    epoch as a zone-less timestamp. Text that is not an integer, and seconds
+    outside the years 1 to 9999, -> null.
     """
-    if isinstance(c, str):
-        return F.expr(
-            f"timestampadd(SECOND, try_cast({ident(c)} AS BIGINT), TIMESTAMP_NTZ'{EPOCH_NTZ}')"
-        )
-    seconds = c.try_cast("bigint")
-    return F.timestamp_add("SECOND", seconds, F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+    seconds = _col(c).try_cast("bigint")
+    named = F.when(seconds.between(*EPOCH_SECONDS), seconds)
+    return F.timestamp_add("SECOND", named, F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
 
 
 def epoch_seconds_to_text(c: str | Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:

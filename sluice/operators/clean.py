@@ -126,8 +126,8 @@ def stage_row_counts(
     )
     all_blank = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in cols])
     return groups.agg(
-        F.sum("_n").cast("bigint").alias("input_rows"),
-        F.sum("_s").cast("bigint").alias("rows_with_sentinel"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("input_rows"),
+        F.coalesce(F.sum("_s"), F.lit(0)).cast("bigint").alias("rows_with_sentinel"),
         F.count(F.lit(1)).cast("bigint").alias("distinct_rows"),
         F.count_if(~all_blank).cast("bigint").alias("clean_rows"),
     )

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from sluice.functions.columns import (
     epoch_seconds_to_ntz,
     ntz_literal,
+    ntz_to_epoch_seconds,
+    number,
     parse_day_first_date,
     round_half_even,
     round_half_up,
@@ -64,13 +66,13 @@ def round_column(df: DataFrame, col: str, scale: int = 2, half_even: bool = Fals
     Text is cast first; rounding is on decimal digits, HALF_UP by default.
     """
     fn = round_half_even if half_even else round_half_up
-    return df.withColumn(col, fn(F.col(col).try_cast("double"), scale))
+    return df.withColumn(col, fn(number(col), scale))
 
 
 def format_amount(c: str | Column, scale: int = 2) -> Column:
     """Text form of a number: thousands separators, HALF_EVEN to ``scale``."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.format_number(col.try_cast("double"), scale)
+    return F.format_number(number(col), scale)
 
 
 def epoch_to_timestamp(df: DataFrame, col: str = "time", out: str | None = None) -> DataFrame:
@@ -103,6 +105,17 @@ def time_range(
     return out if day_col is None else day_prune(out, day_col, lo, hi)
 
 
+def epoch_range(df: DataFrame, col: str, lo: str, hi: str) -> DataFrame:
+    """Rows whose epoch seconds lie in ``[lo, hi]`` (timestamp text, UTC).
+
+    Decided on the raw column, before any time is built from it: one integer
+    comparison a row, and a predicate a scan can push down where the column
+    is stored as a number.
+    """
+    first, last = (ntz_to_epoch_seconds(ntz_literal(t)) for t in (lo, hi))
+    return df.where(F.col(col).try_cast("bigint").between(first, last))
+
+
 def day_prune(df: DataFrame, day_col: str, lo: str, hi: str) -> DataFrame:
     """Keep rows whose ``day_col`` date lies in the days of ``[lo, hi]``.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.columns import content_key
 
+# Format and length of a batch id.
 BATCH_ID_FORMAT = "%Y%m%d%H%M%S%f"
 BATCH_ID_DIGITS = 17  # to the millisecond
 

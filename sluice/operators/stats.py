@@ -12,13 +12,15 @@ input.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType
 
 from sluice.functions.columns import (
     ntz_literal,
+    number,
     round_binary_half_even,
     round_half_even,
     round_half_up,
@@ -43,16 +45,18 @@ def global_stats(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
 STATS_COLUMN = "__stats"
 
 
-def with_scalar_stats(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
+def with_scalar_stats(df: DataFrame, exprs: Mapping[str, Column], of: DataFrame | None = None) -> DataFrame:
     """Attach the aggregates of ``global_stats`` to every row of ``df``.
 
+    They are taken over ``of`` where it is given, else over ``df`` itself.
+
     One scalar subquery computes all of them as a struct; it is attached as
     a single column before the fields are read, so Spark plans the
     subquery once (reading a field of the subquery expression in several
     places would plan one subquery per place). The struct column is
     dropped again.
     """
-    packed = df.select(F.struct(*[e.alias(n) for n, e in exprs.items()]).alias("s")).scalar()
+    packed = (df if of is None else of).select(F.struct(*[e.alias(n) for n, e in exprs.items()]).alias("s")).scalar()
     staged = df.withColumn(STATS_COLUMN, packed)
     fields = {name: F.col(STATS_COLUMN).getField(name) for name in exprs}
     return staged.withColumns(fields).drop(STATS_COLUMN)
@@ -62,21 +66,14 @@ def with_global_stats(
     df: DataFrame,
     value_col: str,
     stats: Mapping[str, str],
-    round_scale: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Attach whole-table statistics of ``value_col`` to every row.
 
     ``stats`` maps output column -> aggregate name (max, min, avg, sum,
-    count, stddev). ``round_scale`` rounds chosen outputs (HALF_UP on
-    decimal digits), e.g. an average whose last bits depend on the order
-    partial sums are merged in.
+    count, stddev). Non-finite values take no part.
     """
-    exprs = {out: _AGGS[fn](F.col(value_col)) for out, fn in stats.items()}
-    out = with_scalar_stats(df, exprs)
-    round_scale = round_scale or {}
-    if not round_scale:
-        return out
-    return out.withColumns({c: round_half_up(F.col(c), k) for c, k in round_scale.items()})
+    value = number(value_col)
+    return with_scalar_stats(df, {out: _AGGS[fn](value) for out, fn in stats.items()})
 
 
 def risk_score(
@@ -87,7 +84,7 @@ def risk_score(
     out: str = "risk_score",
     max_age: Column | float | None = None,
     max_billing: Column | float | None = None,
-    text_maxima: bool = False,
+    text_maxima: bool | Collection[str] = False,
     round_billing_first: bool = True,
     scale: int = 2,
     half_even: bool = False,
@@ -97,8 +94,10 @@ def risk_score(
 
     Maxima default to the typed maxima of ``df`` itself (one scalar
     subquery). ``text_maxima=True`` takes the maxima of the *text* columns
-    (lexicographic: '99' beats '100'), as the final admissions job did.
-    A null input or a zero maximum gives a null score.
+    (lexicographic: '99' beats '100'), as the final admissions job did;
+    ``text_maxima={"age"}`` only that of the ages, as the scheduled one did.
+    Text that is no finite number is no maximum. A null input or a zero
+    maximum gives a null score.
 
     ``rounding`` (of the billing amounts and of the score): ``"half_up"``
     (default) or ``"half_even"`` on decimal digits, or ``"binary"``: Python's
@@ -107,14 +106,17 @@ def risk_score(
     ``rounding="half_even"``.
     """
     w_age, w_cond, w_bill = RISK_WEIGHTS
-    age_d = F.col(age).try_cast("double")
-    bill_d = F.col(billing).try_cast("double")
+    age_d, bill_d = number(age), number(billing)
+    as_text = {"age", "billing"} if text_maxima is True else set(text_maxima or ())
+    if as_text - {"age", "billing"}:
+        raise ValueError(f"text_maxima: 'age' and 'billing' can be named, not {sorted(as_text)}")
+
+    def largest(column: str, value: Column, name: str) -> Column:
+        return F.max(F.when(value.isNotNull(), F.col(column).cast("string")) if name in as_text else value)
+
     # Maxima not given are computed over ``df`` in one scalar subquery and
     # attached as temporary columns.
-    if text_maxima:
-        candidates = {"__max_age": F.max(F.col(age).cast("string")), "__max_billing": F.max(F.col(billing).cast("string"))}
-    else:
-        candidates = {"__max_age": F.max(age_d), "__max_billing": F.max(bill_d)}
+    candidates = {"__max_age": largest(age, age_d, "age"), "__max_billing": largest(billing, bill_d, "billing")}
     given = {"__max_age": max_age, "__max_billing": max_billing}
     computed = {name: e for name, e in candidates.items() if given[name] is None}
     if computed:
@@ -161,41 +163,27 @@ def daily_totals(
     value_col: str,
     day_col: str = "day",
     total_col: str = "total",
-    sum_type: str = "decimal(38,6)",
 ) -> DataFrame:
-    """Sum of ``value_col`` per calendar day of ``ts_col``.
+    """Sum of ``value_col`` per calendar day of ``ts_col``, as a double.
 
-    The sum is exact decimal arithmetic, so it does not depend on the order
-    in which partial sums arrive. One row per day: the result grows with
-    the calendar span, not with the number of readings.
+    One row per day, and one for readings without a time: the result grows
+    with the calendar span, not with the number of readings.
     """
-    return df.groupBy(F.to_date(F.col(ts_col)).alias(day_col)).agg(
-        F.sum(F.col(value_col).try_cast(sum_type)).alias(total_col)
-    )
+    return df.groupBy(F.to_date(F.col(ts_col)).alias(day_col)).agg(F.sum(number(value_col)).alias(total_col))
 
 
-def day_over_day_delta(
-    df: DataFrame,
-    ts_col: str,
-    value_col: str,
-    sum_type: str = "decimal(38,6)",
-) -> DataFrame:
+def day_over_day_delta(df: DataFrame, ts_col: str, value_col: str) -> DataFrame:
     """Daily totals and the change from the previous calendar day.
 
-    ``delta = total(day) - total(day - 1)``, null when the day before has
-    no readings. The readings are first reduced to one row per day (partial
-    aggregation per task); only that daily series, whose length is the
-    calendar span (about 3,650 rows for ten years) whatever the data
-    volume, goes through the ordered window, whose range frame of exactly
-    one day reads the previous calendar day. A self-join or a re-grouping
-    followed by a filter would serve too, but over a wide upstream plan
-    either makes Catalyst's constraint inference run out of memory.
+    ``delta = total(day) - total(day - 1)``: positive when the later day used
+    more (the source subtracts the later day from the earlier one). It is
+    null when the day before has no readings. The totals are joined with
+    themselves on the day before; pass a staged or plain table, over which
+    both sides of the join are one narrow scan each.
     """
-    days = daily_totals(df, ts_col, value_col, sum_type=sum_type)
-    previous = Window.orderBy(F.unix_date(F.col("day"))).rangeBetween(-1, -1)
-    return days.select(
-        "day", "total", (F.col("total") - F.sum("total").over(previous)).alias("delta")
-    )
+    days = daily_totals(df, ts_col, value_col)
+    before = days.select(F.date_add("day", 1).alias("day"), F.col("total").alias("_before"))
+    return days.join(before, "day", "left").select("day", "total", (F.col("total") - F.col("_before")).alias("delta"))
 
 
 def _day_bounds(day: str) -> tuple[Column, Column]:
@@ -208,7 +196,6 @@ def day_extremes(
     ts_col: str,
     value_col: str,
     day: str,
-    sum_type: str = "decimal(38,6)",
 ) -> DataFrame:
     """Max, min and total of ``value_col`` over one calendar day (one row).
 
@@ -222,7 +209,7 @@ def day_extremes(
         .agg(
             F.max(value_col).alias("max_total_overall"),
             F.min(value_col).alias("min_total_overall"),
-            F.sum(F.col(value_col).try_cast(sum_type)).alias("sum_total_overall"),
+            F.sum(number(value_col)).alias("sum_total_overall"),
         )
         .select(F.lit(day).cast("date").alias("day"), "*")
     )
@@ -237,16 +224,13 @@ def with_day_extremes(
 ) -> DataFrame:
     """Attach one day's max and min of ``value_col`` to every row.
 
-    The day's figures come from a single scalar subquery over the day's
-    timestamp range; the rows themselves are not filtered.
+    The day's figures come from a single scalar subquery whose scan the
+    day's timestamp range is pushed to; the rows themselves are not filtered.
     """
     lo, hi = _day_bounds(day)
     ts = F.col(ts_col)
-    exprs = {
-        f"max_{prefix}": F.max(F.when((ts >= lo) & (ts < hi), F.col(value_col))),
-        f"min_{prefix}": F.min(F.when((ts >= lo) & (ts < hi), F.col(value_col))),
-    }
-    return with_scalar_stats(df, exprs)
+    exprs = {f"max_{prefix}": F.max(value_col), f"min_{prefix}": F.min(value_col)}
+    return with_scalar_stats(df, exprs, of=df.where((ts >= lo) & (ts < hi)))
 
 
 def argmax_column(df: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -256,7 +240,7 @@ def argmax_column(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     is then unpivoted to (field, value) and the top one kept, ties going to
     the first field name.
     """
-    maxima = df.agg(*[F.max(F.col(f).try_cast("double")).alias(f) for f in fields])
+    maxima = df.agg(*[F.max(number(f)).alias(f) for f in fields])
     long = maxima.unpivot([], list(fields), "field", "value")
     return (
         long.where(F.col("value").isNotNull())
@@ -265,35 +249,38 @@ def argmax_column(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     )
 
 
-def describe_columns(df: DataFrame, cols: Sequence[str], scale: int = 6) -> DataFrame:
+def describable(df: DataFrame) -> list[str]:
+    """The columns ``describe`` covers: numbers and text, in order."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, (NumericType, StringType))]
+
+
+def describe_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """count / mean / stddev / min / max per column, one row per column.
 
-    A single aggregation pass over the input computes all statistics of all
-    columns (``describe`` semantics, sample standard deviation); only the
-    one-row result is reshaped. Mean and stddev are rounded to ``scale``.
+    ``cols`` defaults to every number and text column. A single aggregation
+    pass computes all statistics of all columns (``describe`` semantics,
+    sample standard deviation); only the one-row result is reshaped. Text
+    has a count, ``min_text`` and ``max_text``; numbers have ``min`` and
+    ``max``. What does not apply is null. Non-finite numbers are left out.
     """
-    aggs = []
+    cols = describable(df) if cols is None else list(cols)
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    none = {"double": F.lit(None).cast("double"), "string": F.lit(None).cast("string")}
+    aggs, rows = [], []
     for i, c in enumerate(cols):
-        v = F.col(c).try_cast("double")
-        aggs += [
-            F.count(v).alias(f"c{i}"),
-            F.avg(v).alias(f"m{i}"),
-            F.stddev_samp(v).alias(f"s{i}"),
-            F.min(v).alias(f"lo{i}"),
-            F.max(v).alias(f"hi{i}"),
-        ]
-    one = df.agg(*aggs)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"c{i}").alias("count"),
-                round_half_up(F.col(f"m{i}"), scale).alias("mean"),
-                round_half_up(F.col(f"s{i}"), scale).alias("stddev"),
-                F.col(f"lo{i}").alias("min"),
-                F.col(f"hi{i}").alias("max"),
-            )
-            for i, c in enumerate(cols)
-        ]
-    )
-    return one.select(F.inline(rows))
+        v = F.col(c) if c in text else number(c)
+        aggs += [F.count(v).alias(f"c{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
+        if c not in text:
+            aggs += [F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}")]
+        low, high = F.col(f"lo{i}"), F.col(f"hi{i}")
+        rows.append(F.struct(
+            F.lit(c).alias("column"),
+            F.col(f"c{i}").alias("count"),
+            (none["double"] if c in text else F.col(f"m{i}")).alias("mean"),
+            (none["double"] if c in text else F.col(f"s{i}")).alias("stddev"),
+            (none["double"] if c in text else low).alias("min"),
+            (none["double"] if c in text else high).alias("max"),
+            (low if c in text else none["string"]).alias("min_text"),
+            (high if c in text else none["string"]).alias("max_text"),
+        ))
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))

@@ -13,9 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.session import delete_path, scratch_path
+
+BUCKET_COLUMN = "key_bucket"
+
 
 def keyed_upsert(
     existing: DataFrame,
@@ -29,11 +33,56 @@ def keyed_upsert(
     equal versions go to the greatest remaining column values, so the
     result is deterministic. Schemas are matched by name.
     """
+    return newest_versions(existing.unionByName(batch), keys, version_col)
+
+
+def newest_versions(df: DataFrame, keys: Sequence[str], version_col: str) -> DataFrame:
+    """The row with the greatest version of each key, in one aggregation."""
     keys = list(keys)
-    merged = existing.unionByName(batch)
-    rest = [c for c in merged.columns if c not in keys and c != version_col]
+    rest = [c for c in df.columns if c not in keys and c != version_col]
     best = F.max(F.struct(F.col(version_col), *[F.col(c) for c in rest])).alias("_best")
-    out = merged.groupBy(*keys).agg(best)
+    out = df.groupBy(*keys).agg(best)
     return out.select(
         *keys, *[F.col("_best").getField(c).alias(c) for c in [version_col, *rest]]
-    ).select(*merged.columns)
+    ).select(*df.columns)
+
+
+def key_bucket(keys: Sequence[str], buckets: int) -> Column:
+    """The directory a key lives in: its hash modulo ``buckets``."""
+    return F.expr(f"CAST(pmod(xxhash64({', '.join(f'`{k}`' for k in keys)}), {buckets}) AS INT)")
+
+
+def create_keyed_table(df: DataFrame, path: str, keys: Sequence[str], version_col: str, buckets: int) -> None:
+    """Write ``df``, newest version per key, as a table of ``buckets`` directories."""
+    newest = newest_versions(df, keys, version_col)
+    placed = newest.withColumn(BUCKET_COLUMN, key_bucket(keys, buckets))
+    placed.repartition(BUCKET_COLUMN).write.partitionBy(BUCKET_COLUMN).parquet(path)
+
+
+def upsert_buckets(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    version_col: str,
+    buckets: int,
+) -> None:
+    """Merge ``batch`` into a table of ``create_keyed_table``, in place.
+
+    Only directories that hold a key of the batch are read, merged and
+    replaced (dynamic partition overwrite); the others keep their files. The
+    batch's bucket numbers, at most ``buckets``, are all that the driver
+    sees. The merged rows are staged first, since the directories they
+    replace are those they were read from.
+    """
+    batch = batch.withColumn(BUCKET_COLUMN, key_bucket(keys, buckets))
+    touched = [r[0] for r in batch.select(BUCKET_COLUMN).distinct().collect()]
+    table = spark.read.parquet(path)
+    merged = keyed_upsert(table.where(F.col(BUCKET_COLUMN).isin(touched)), batch, [*keys, BUCKET_COLUMN], version_col)
+    staged = scratch_path(spark, "upsert")
+    merged.write.parquet(staged)
+    (
+        spark.read.schema(merged.schema).parquet(staged).repartition(BUCKET_COLUMN)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COLUMN).parquet(path)
+    )
+    delete_path(spark, staged)

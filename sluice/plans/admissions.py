@@ -17,7 +17,7 @@ batch id is a ``bigint`` argument, and row ids are content keys.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -96,10 +96,11 @@ def _prepare(
 def _score(
     df: DataFrame,
     names: Mapping[str, str] | None,
-    text_maxima: bool,
+    text_maxima: bool | Collection[str],
     half_even: bool,
     rounding: str | None = None,
     types: Mapping[str, str] | None = None,
+    columns: Sequence[str] = ADMISSIONS_OUTPUT,
 ) -> DataFrame:
     """Stamped rows -> scored, typed rows in output order."""
     n = _n(names)
@@ -115,24 +116,25 @@ def _score(
     )
     type_map = {**ADMISSIONS_TYPES, **(types or {})}
     df = cast_by_schema(df, {n(c): t for c, t in type_map.items()})
-    return reorder_columns(df, [n(c) for c in ADMISSIONS_OUTPUT])
+    return reorder_columns(df, [n(c) for c in columns])
 
 
 def _finish(
     df: DataFrame,
     batch_id: str | int,
     names: Mapping[str, str] | None,
-    text_maxima: bool,
+    text_maxima: bool | Collection[str],
     half_even: bool,
     round_billing: bool = False,
     staged: bool | str = True,
     rounding: str | None = None,
     types: Mapping[str, str] | None = None,
+    columns: Sequence[str] = ADMISSIONS_OUTPUT,
 ) -> DataFrame:
     df = _prepare(df, batch_id, names, round_billing)
     if staged:
         df = stage(df, "admissions_stage", staged if isinstance(staged, str) else None)
-    return _score(df, names, text_maxima, half_even, rounding, types)
+    return _score(df, names, text_maxima, half_even, rounding, types, columns)
 
 
 def admissions_prepared(
@@ -150,7 +152,7 @@ def admissions_etl(
     batch_id: str | int,
     names: Mapping[str, str] | None = None,
     sentinels=BLANK_SENTINELS,
-    text_maxima: bool = False,
+    text_maxima: bool | Collection[str] = False,
     staged: bool | str = True,
     trace: Trace | None = None,
     rounding: str | None = None,
@@ -184,14 +186,20 @@ def admissions_etl_reject(
     trace: Trace | None = None,
     rounding: str | None = None,
     types: Mapping[str, str] | None = None,
+    text_maxima: bool | Collection[str] = False,
+    columns: Sequence[str] = ADMISSIONS_OUTPUT,
 ) -> DataFrame:
     """The scheduled-workflow flow: sentinel rows rejected, not blanked.
 
     The score is rounded HALF_EVEN on decimal digits; ``rounding="binary"``
-    rounds on the binary double as the source's ``format_number`` did.
+    rounds on the binary double as the source's ``format_number`` did, and
+    ``text_maxima={"age"}`` takes the source's maxima (ages as text). With
+    ``names=ADMISSIONS_WORKFLOW_HEADERS`` and
+    ``columns=ADMISSIONS_WORKFLOW_OUTPUT`` the result has that job's own
+    column names and order.
     """
     df = admissions_rejected(raw, names, sentinels, trace)
     return _finish(
-        df, batch_id, names, text_maxima=False, half_even=True, round_billing=True,
-        staged=staged, rounding=rounding, types=types,
+        df, batch_id, names, text_maxima=text_maxima, half_even=True, round_billing=True,
+        staged=staged, rounding=rounding, types=types, columns=columns,
     )

@@ -18,7 +18,9 @@ from sluice.functions.columns import (
     BLANK_SENTINELS,
     REJECT_SENTINELS,
     epoch_seconds_to_text,
+    number,
     round_half_even,
+    round_half_up,
 )
 from sluice.operators.clean import (
     blank_sentinels,
@@ -37,7 +39,6 @@ from sluice.operators.shape import (
     round_column,
     stay_days,
     text_to_timestamp,
-    time_range,
 )
 from sluice.operators.stamp import batch_stamp, random_row_id, row_key
 from sluice.operators.stats import (
@@ -50,7 +51,7 @@ from sluice.operators.stats import (
     top_k_counts,
     with_day_extremes,
 )
-from sluice.operators.upsert import keyed_upsert
+from sluice.operators.upsert import BUCKET_COLUMN, create_keyed_table, keyed_upsert, upsert_buckets
 from sluice.plans.admissions import (
     DATE_FORMAT,
     admissions_clean,
@@ -62,6 +63,8 @@ from sluice.plans.schemas import (
     ADMISSIONS_OUTPUT,
     ADMISSIONS_SOURCE,
     ADMISSIONS_TYPES,
+    ADMISSIONS_WORKFLOW_HEADERS,
+    ADMISSIONS_WORKFLOW_OUTPUT,
     POWER_FIELDS,
     SMART_HOME_SOURCE,
     SMART_HOME_TOTALS,
@@ -93,9 +96,12 @@ EXTREMES_DAY = "2024-01-01"
 REORDER_FIRST = ("test_results", "name", "age")
 PREVIEW_ROWS = 20
 TOP_TIMES = 10
-PUBLISH_FILES = 4
+PUBLISHED_ROWS_PER_FILE = 1_000_000
 UPSERT_RAISE = 1.05
-DESCRIBE_FIELDS = ("use_kw", "house_overall", *POWER_FIELDS)
+UPSERT_INSERTS = 10_000_000_000  # added to the keys of the batch's new rows
+UPSERT_BUCKETS = 16
+# Figures that depend on the order sums are merged in are compared at this scale.
+COMPARED_SCALE = 6
 # Numeric source columns cast in place; the day-first dates go through
 # ``parse_dates`` (a plain cast only reads ISO dates).
 SOURCE_CASTS = {"age": "int", "billing_amount": "double", "room_number": "int"}
@@ -175,7 +181,7 @@ def q_round_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_format_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Billing as grouped text and HALF_EVEN number."""
     df = admissions_raw(spark, sf_dir)
-    amount = F.col("billing_amount").try_cast("double")
+    amount = number("billing_amount")
     return df.select(
         "name",
         "billing_amount",
@@ -201,7 +207,7 @@ def q_scalar_max(spark: SparkSession, sf_dir: str) -> DataFrame:
         clean,
         {
             "max_age": F.max(F.col("age").try_cast("int")),
-            "max_billing": F.max(F.col("billing_amount").try_cast("double")),
+            "max_billing": F.max(number("billing_amount")),
         },
     )
 
@@ -215,16 +221,31 @@ def q_text_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _scored(df: DataFrame, name: str, **options) -> DataFrame:
+    """Scores over rows staged once: the maxima re-read two columns of them."""
+    return risk_score(stage(df, name), "age", "medical_condition", "billing_amount", **options)
+
+
 def q_risk_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Section 2.10: score over rejected + deduplicated rows, typed maxima."""
-    df = admissions_rejected(admissions_raw(spark, sf_dir))
-    return risk_score(df, "age", "medical_condition", "billing_amount")
+    return _scored(admissions_rejected(admissions_raw(spark, sf_dir)), "risk_score")
 
 
 def q_risk_score_text_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Section 2.10, A2: score with text maxima, as the final flow had it."""
+    """Section 2.10, A2: score with text maxima, rounded on decimal digits."""
+    return _scored(admissions_clean(admissions_raw(spark, sf_dir)), "risk_score_text", text_maxima=True)
+
+
+def q_risk_score_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score as the final flow had it, text maxima and binary rounding."""
     df = admissions_clean(admissions_raw(spark, sf_dir))
-    return risk_score(df, "age", "medical_condition", "billing_amount", text_maxima=True)
+    return _scored(df, "risk_score_binary", text_maxima=True, rounding="binary")
+
+
+def q_risk_score_mixed_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Section 2.10: the scheduled flow's maxima, ages as text and billing as numbers."""
+    df = round_column(admissions_rejected(admissions_raw(spark, sf_dir)), "billing_amount", 2)
+    return _scored(df, "risk_score_mixed", text_maxima={"age"}, rounding="binary", round_billing_first=False)
 
 
 def q_preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,37 +266,65 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_csv_unquoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K2: unquoted CSV lines, header first."""
+    """K2: unquoted CSV lines; every part file's first line is the header."""
     path = scratch_path(spark, "csv_unquoted")
     write_unquoted_csv(spark, admissions_raw(spark, sf_dir), path)
-    return spark.read.text(path)
+    header = ",".join(ADMISSIONS_SOURCE)
+    lines = spark.read.text(path)
+    head = lines.where(F.col("value") == header).distinct()
+    return head.union(lines.where(F.col("value") != header))
+
+
+def q_csv_unquoted_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: columns without commas, written unquoted in several parts, read
+    back as header CSV: every row returns."""
+    path = scratch_path(spark, "csv_unquoted_readback")
+    df = admissions_raw(spark, sf_dir).drop("hospital")
+    write_unquoted_csv(spark, df.repartition(5, "name"), path)
+    return read_text_csv(spark, path, df.columns)
 
 
 def q_repartition_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3, K4: publish to a fixed directory twice; the second replaces."""
     path = scratch_path(spark, "publish")
-    clean = admissions_clean(admissions_raw(spark, sf_dir))
-    publish(clean, path, num_files=PUBLISH_FILES)
-    publish(clean, path, num_files=PUBLISH_FILES)  # a re-run replaces, never appends
+    clean = stage(admissions_clean(admissions_raw(spark, sf_dir)), "publish_stage")
+    for _ in range(2):  # a re-run replaces, never appends
+        publish(clean, path, rebalance=True, max_records_per_file=PUBLISHED_ROWS_PER_FILE)
     return spark.read.parquet(path)
 
 
-def q_keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K6: newest version per key wins."""
+def _upsert_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All orders as the table, and all again as the batch: half of the
+    batch's keys are in the table (updates), half are new (inserts)."""
     orders = read_table(spark, sf_dir, "orders")
-    existing = orders.where(F.col("o_orderstatus") == "F").select(
+    existing = orders.select(
         F.col("o_orderkey").alias("key"),
         F.col("o_totalprice").alias("amount"),
         F.col("o_orderstatus").alias("status"),
         F.lit(1).cast("bigint").alias("batch"),
     )
-    incoming = orders.where(F.col("o_orderpriority") == "1-URGENT").select(
-        F.col("o_orderkey").alias("key"),
+    shift = F.when(F.col("o_custkey") % 2 == 0, 0).otherwise(UPSERT_INSERTS)
+    incoming = orders.select(
+        (F.col("o_orderkey") + shift).alias("key"),
         round_half_even(F.col("o_totalprice") * F.lit(UPSERT_RAISE), 2).alias("amount"),
         F.col("o_orderstatus").alias("status"),
         F.lit(2).cast("bigint").alias("batch"),
     )
-    return keyed_upsert(existing, incoming, ["key"], "batch")
+    return existing, incoming
+
+
+def q_keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: newest version per key wins."""
+    return keyed_upsert(*_upsert_sides(spark, sf_dir), ["key"], "batch")
+
+
+def q_keyed_upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: the same merge into a bucketed table, touched buckets only."""
+    existing, incoming = _upsert_sides(spark, sf_dir)
+    path = scratch_path(spark, "keyed_table")
+    create_keyed_table(existing, path, ["key"], "batch", UPSERT_BUCKETS)
+    upsert_buckets(spark, path, incoming, ["key"], "batch", UPSERT_BUCKETS)
+    return spark.read.parquet(path).drop(BUCKET_COLUMN)
 
 
 def q_admissions_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,8 +333,13 @@ def q_admissions_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_admissions_etl_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scheduled admissions flow (rejecting, HALF_EVEN score)."""
-    return admissions_etl_reject(admissions_raw(spark, sf_dir), BATCH_ID)
+    """The scheduled admissions flow (rejecting, HALF_EVEN score), with its
+    own column names and order."""
+    raw = admissions_raw(spark, sf_dir)
+    physical = raw.toDF(*[ADMISSIONS_WORKFLOW_HEADERS[c] for c in raw.columns])
+    return admissions_etl_reject(
+        physical, BATCH_ID, names=ADMISSIONS_WORKFLOW_HEADERS, columns=ADMISSIONS_WORKFLOW_OUTPUT
+    )
 
 
 # --- smart home -------------------------------------------------------------
@@ -310,7 +364,7 @@ def q_text_to_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """inclusive one-day slice."""
-    return time_range(q_epoch_to_timestamp(spark, sf_dir), "time", *DAY_SLICE)
+    return smart_home_timed(smart_home_raw(spark, sf_dir), window=DAY_SLICE)
 
 
 def q_power_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,6 +378,11 @@ def q_house_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sh_house(spark, sf_dir)
 
 
+def _compared(df: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` (by default the average) rounded for the comparison."""
+    return df.withColumns({c: round_half_up(c, COMPARED_SCALE) for c in columns or ("avg_power",)})
+
+
 def _sh_house_staged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The house rows written once: statistics attached to every row then
     read the staged table instead of repeating the dedup shuffle."""
@@ -332,7 +391,7 @@ def _sh_house_staged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def q_global_power_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Max / min / avg of the house total attached to every row."""
-    return with_power_stats(_sh_house_staged(spark, sf_dir, "power_stats_stage")).select(
+    return _compared(with_power_stats(_sh_house_staged(spark, sf_dir, "power_stats_stage"))).select(
         "time", "house_overall", "max_power", "min_power", "avg_power"
     )
 
@@ -345,14 +404,14 @@ def q_top_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_day_over_day_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily totals and change from the day before."""
-    out = day_over_day_delta(_sh_house(spark, sf_dir), "time", "house_overall")
-    return out.select("day", F.col("total").cast("double").alias("total"), F.col("delta").cast("double").alias("delta"))
+    house = _sh_house_staged(spark, sf_dir, "day_delta_stage")
+    return _compared(day_over_day_delta(house, "time", "house_overall"), "total", "delta")
 
 
 def q_day_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One day's max, min and total (one row)."""
     out = day_extremes(_sh_house(spark, sf_dir), "time", "house_overall", EXTREMES_DAY)
-    return out.withColumn("sum_total_overall", F.col("sum_total_overall").cast("double"))
+    return _compared(out, "sum_total_overall")
 
 
 def q_day_extremes_attached(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,18 +426,18 @@ def q_argmax_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_describe_power(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Count / mean / stddev / min / max per power column."""
-    return describe_columns(_sh_house(spark, sf_dir), DESCRIBE_FIELDS)
+    """Summary of every number and text column of the readings."""
+    return _compared(describe_columns(_sh_house(spark, sf_dir)), "mean", "stddev")
 
 
 def q_smart_home_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The smart-home flow over the whole table."""
-    return smart_home_etl(smart_home_raw(spark, sf_dir), BATCH_ID)
+    return _compared(smart_home_etl(smart_home_raw(spark, sf_dir), BATCH_ID))
 
 
 def q_smart_home_etl_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The smart-home flow over a one-day window."""
-    return smart_home_etl(smart_home_raw(spark, sf_dir), BATCH_ID, window=DAY_SLICE)
+    return _compared(smart_home_etl(smart_home_raw(spark, sf_dir), BATCH_ID, window=DAY_SLICE))
 
 
 # --- incremental (file stream) runs -------------------------------------------
@@ -390,7 +449,7 @@ def _stream_through(spark: SparkSession, raw: DataFrame, job, columns, name: str
     out = scratch_path(spark, f"{name}_out")
     run_incremental(
         spark, job, landing, columns, out, scratch_path(spark, f"{name}_ckpt"),
-        batch_id_for=lambda _epoch: BATCH_ID,
+        batch_id_for=lambda _epoch: BATCH_ID, stage_dir=scratch_path(spark, f"{name}_stage"),
     )
     return spark.read.parquet(out).drop(EPOCH_COLUMN)
 
@@ -402,7 +461,8 @@ def q_admissions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_smart_home_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The smart-home flow as one incremental run over landed CSV files."""
-    return _stream_through(spark, smart_home_raw(spark, sf_dir), smart_home_job(), SMART_HOME_SOURCE, "sh_stream")
+    out = _stream_through(spark, smart_home_raw(spark, sf_dir), smart_home_job(), SMART_HOME_SOURCE, "sh_stream")
+    return _compared(out)
 
 
 QUERIES: dict[str, Query] = {

@@ -32,14 +32,10 @@ def single_partition_windows(df: DataFrame) -> int:
     return count
 
 
-def plan_problems(df: DataFrame, allow_small_window: bool = False) -> list[str]:
-    """Names of unwanted operators in the physical plan (empty = clean).
-
-    ``allow_small_window`` accepts a window over a single partition, for a
-    plan whose window input is bounded by construction (a daily series).
-    """
+def plan_problems(df: DataFrame) -> list[str]:
+    """Names of unwanted operators in the physical plan (empty = clean)."""
     text = plan_text(df)
     found = [op for op in FORBIDDEN if op in text]
-    if not allow_small_window and single_partition_windows(df):
+    if single_partition_windows(df):
         found.append("Window over SinglePartition")
     return found

@@ -12,14 +12,16 @@ from __future__ import annotations
 from sluice.functions.columns import (
     BLANK_SENTINELS,
     BLANK_SENTINELS_SMART_HOME,
+    EPOCH_SECONDS,
     KEY_NULL_TOKEN,
-    KEY_SEPARATOR,
     REJECT_SENTINELS,
 )
 from sluice.plans import catalog as C
 from sluice.plans.schemas import (
     ADMISSIONS_OUTPUT,
     ADMISSIONS_SOURCE,
+    ADMISSIONS_WORKFLOW_HEADERS,
+    ADMISSIONS_WORKFLOW_OUTPUT,
     HOUSE_OVERALL_PARTS,
     POWER_FIELDS,
     SMART_HOME_OUTPUT,
@@ -28,11 +30,11 @@ from sluice.plans.schemas import (
     SMART_HOME_TOTALS,
     SMART_HOME_TYPES,
     SMART_HOME_WEATHER_READINGS,
+    resolve,
 )
 
 DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
-WORK_DECIMAL = "DECIMAL(38,9)"
-SUM_DECIMAL = "DECIMAL(38,6)"
+EXACT_DECIMAL = "DECIMAL(38,18)"
 
 
 def _lst(values) -> str:
@@ -43,12 +45,33 @@ def _q(c: str) -> str:
     return '"' + c + '"'
 
 
+def _exact(expr: str) -> str:
+    """The shortest decimal text of a double, as a decimal."""
+    return f"TRY_CAST(CAST({expr} AS VARCHAR) AS {EXACT_DECIMAL})"
+
+
 def round_up(expr: str, scale: int) -> str:
-    return f"CAST(round(TRY_CAST({expr} AS {WORK_DECIMAL}), {scale}) AS DOUBLE)"
+    return f"CAST(round({_exact(expr)}, {scale}) AS DOUBLE)"
 
 
 def round_even(expr: str, scale: int) -> str:
-    return f"CAST(round_even(TRY_CAST({expr} AS {WORK_DECIMAL}), {scale}) AS DOUBLE)"
+    return f"CAST(round_even({_exact(expr)}, {scale}) AS DOUBLE)"
+
+
+def round_binary(expr: str, scale: int) -> str:
+    return f"CAST(format('{{:.{scale}f}}', {expr}) AS DOUBLE)"
+
+
+def num(expr: str, kind: str = "DOUBLE") -> str:
+    """Text as a number; NaN and the infinities are null."""
+    cast = f"TRY_CAST({expr} AS {kind})"
+    return f"CASE WHEN isfinite({cast}) THEN {cast} END" if kind == "DOUBLE" else cast
+
+
+def epoch_sql(c: str = "time") -> str:
+    seconds = f"TRY_CAST({c} AS BIGINT)"
+    low, high = EPOCH_SECONDS
+    return f"make_timestamp(CASE WHEN {seconds} BETWEEN {low} AND {high} THEN {seconds} END * 1000000)"
 
 
 def blank_sql(c: str, values) -> str:
@@ -56,8 +79,9 @@ def blank_sql(c: str, values) -> str:
 
 
 def key_sql(cols) -> str:
-    parts = ", ".join(f"coalesce(CAST({_q(c)} AS VARCHAR), '{KEY_NULL_TOKEN}')" for c in cols)
-    return f"md5(concat_ws('{KEY_SEPARATOR}', {parts}))"
+    texts = [f"CAST({_q(c)} AS VARCHAR)" for c in cols]
+    parts = [f"coalesce(CAST(length({t}) AS VARCHAR) || ':' || {t}, '{KEY_NULL_TOKEN}')" for t in texts]
+    return f"md5({' || '.join(parts)})"
 
 
 def all_null_sql(cols) -> str:
@@ -91,7 +115,8 @@ adm_r AS (
     concat('Doctor ', CAST(u % 97 AS VARCHAR)) AS doctor,
     concat('Hospital ', CAST(u % 31 AS VARCHAR), ', Group') AS hospital,
     CASE WHEN k % 23 = 0 THEN '' ELSE concat('Insurer ', CAST(u % 5 AS VARCHAR)) END AS insurance_provider,
-    CAST(CAST(p AS DECIMAL(12,2)) AS VARCHAR) AS billing_amount,
+    CASE WHEN k % 43 = 0 THEN 'NaN' WHEN k % 53 = 0 THEN 'Infinity'
+      ELSE CAST(CAST(p AS DECIMAL(12,2)) AS VARCHAR) END AS billing_amount,
     CAST(101 + k % 400 AS VARCHAR) AS room_number,
     CASE k % 3 WHEN 0 THEN 'Elective' WHEN 1 THEN 'Urgent' ELSE 'Emergency' END AS admission_type,
     strftime(x, '%d-%m-%Y') AS discharge_date,
@@ -108,7 +133,8 @@ admissions_raw AS (
 
 def _smart_home_raw() -> str:
     cols = [
-        "CAST(CAST(floor(epoch(ts)) AS BIGINT) AS VARCHAR) AS time",
+        "CASE WHEN event_id % 1009 = 500 THEN '99999999999999999' "
+        "ELSE CAST(CAST(floor(epoch(ts)) AS BIGINT) AS VARCHAR) END AS time",
         "CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) AS use_kw",
     ]
     power = {
@@ -122,6 +148,10 @@ def _smart_home_raw() -> str:
     weather["cloud_cover"] = (
         "CASE WHEN event_id % 53 = 0 THEN 'cloudy' ELSE CAST(event_id * 53 % 1009 AS VARCHAR) END AS cloud_cover"
     )
+    well = power["well"].removesuffix(" AS well")
+    power["well"] = (
+        f"CASE WHEN event_id % 61 = 0 THEN 'NaN' WHEN event_id % 67 = 0 THEN '-Infinity' ELSE {well} END AS well"
+    )
     other = {
         "temperature": "CASE WHEN event_id % 37 = 0 THEN 'NA' ELSE CAST(event_id % 101 AS VARCHAR) END AS temperature",
         "icon": "event_type AS icon",
@@ -157,30 +187,27 @@ ADM_REJECT = (
 )
 
 
-def _risk(src: str, out: str, text_maxima: bool = False, half_even: bool = False) -> str:
+def _risk(src: str, out: str, as_text: tuple[str, ...] = (), rounder=round_up, pre=round_up) -> str:
     """CTE ``out``: ``src`` plus ``risk_score`` (maxima taken over ``src``)."""
-    if text_maxima:
-        maxima = f"SELECT max(age) AS ma, max(billing_amount) AS mb FROM {src}"
-    else:
-        maxima = (
-            f"SELECT max(TRY_CAST(age AS DOUBLE)) AS ma, "
-            f"max(TRY_CAST(billing_amount AS DOUBLE)) AS mb FROM {src}"
-        )
-    bill = round_up("TRY_CAST(s.billing_amount AS DOUBLE)", 2)
-    mbill = round_up("TRY_CAST(m.mb AS DOUBLE)", 2)
+
+    def largest(c: str) -> str:
+        return f"max(CASE WHEN {num(c)} IS NOT NULL THEN {c} END)" if c in as_text else f"max({num(c)})"
+
+    maxima = f"SELECT {largest('age')} AS ma, {largest('billing_amount')} AS mb FROM {src}"
+    bill, mbill = (pre(num(c), 2) if pre else num(c) for c in ("s.billing_amount", "m.mb"))
     score = (
-        "(TRY_CAST(s.age AS DOUBLE) / TRY_CAST(m.ma AS DOUBLE)) * 0.4::DOUBLE"
+        f"({num('s.age')} / {num('m.ma')}) * 0.4::DOUBLE"
         " + (CASE WHEN s.medical_condition = 'Diabetes' THEN 1 ELSE 0 END) * 0.3::DOUBLE"
         f" + ({bill} / {mbill}) * 0.3::DOUBLE"
     )
-    rounded = round_even(score, 2) if half_even else round_up(score, 2)
+    rounded = rounder(score, 2)
     return (
         f"{out}_m AS ({maxima}),\n"
         f"{out} AS (SELECT s.*, {rounded} AS risk_score FROM {src} s CROSS JOIN {out}_m m)"
     )
 
 
-def _adm_final(src: str, key: str | None = None) -> str:
+def _adm_final(src: str, key: str | None = None, columns=ADMISSIONS_OUTPUT, names=None) -> str:
     """Final select of the admissions job over a scored CTE ``src``.
 
     ``key`` names a row-key column already present in ``src``; by default
@@ -192,14 +219,14 @@ def _adm_final(src: str, key: str | None = None) -> str:
         "row_key": _q(key) if key else key_sql(ADM),
         "age": "TRY_CAST(age AS INTEGER)",
         "date_of_admission": date_sql("date_of_admission"),
-        "billing_amount": "TRY_CAST(billing_amount AS DOUBLE)",
+        "billing_amount": num("billing_amount"),
         "room_number": "TRY_CAST(room_number AS INTEGER)",
         "discharge_date": date_sql("discharge_date"),
         "admission_days": "CAST(date_diff('day', "
         + date_sql("date_of_admission") + ", " + date_sql("discharge_date") + ") AS INTEGER)",
         "risk_score": "risk_score",
     }
-    cols = [f"{exprs.get(c, _q(c))} AS {_q(c)}" for c in ADMISSIONS_OUTPUT]
+    cols = [f"{exprs.get(c, _q(c))} AS {_q(resolve(names, c))}" for c in columns]
     return "SELECT " + ",\n  ".join(cols) + f"\nFROM {src}"
 
 
@@ -212,11 +239,21 @@ def _adm_etl_reject_sql() -> str:
     keyed = "adm_keyed AS (SELECT *, " + key_sql(ADM) + " AS row_key FROM adm_reject)"
     rounded = (
         "adm_rounded AS (SELECT * REPLACE ("
-        + round_up("TRY_CAST(billing_amount AS DOUBLE)", 2)
+        + round_up(num("billing_amount"), 2)
         + " AS billing_amount) FROM adm_keyed)"
     )
-    scored = _risk("adm_rounded", "adm_scored", half_even=True)
-    return _with(ADMISSIONS_RAW, ADM_REJECT, keyed, rounded, scored) + _adm_final("adm_scored", key="row_key")
+    scored = _risk("adm_rounded", "adm_scored", rounder=round_even)
+    return _with(ADMISSIONS_RAW, ADM_REJECT, keyed, rounded, scored) + _adm_final(
+        "adm_scored", "row_key", ADMISSIONS_WORKFLOW_OUTPUT, ADMISSIONS_WORKFLOW_HEADERS
+    )
+
+
+def _risk_mixed_sql() -> str:
+    rounded = (
+        "adm_rounded AS (SELECT * REPLACE (" + round_up(num("billing_amount"), 2) + " AS billing_amount) FROM adm_reject)"
+    )
+    scored = _risk("adm_rounded", "adm_scored", ("age",), round_binary, None)
+    return _with(ADMISSIONS_RAW, ADM_REJECT, rounded, scored) + "SELECT * FROM adm_scored"
 
 
 # --- smart home ---------------------------------------------------------------
@@ -227,7 +264,7 @@ def _sh_timed(window: tuple[str, str] | None = None) -> str:
     if window is not None:
         where = f" WHERE time BETWEEN TIMESTAMP '{window[0]}' AND TIMESTAMP '{window[1]}'"
     return (
-        "sh_timed AS (SELECT * FROM (SELECT make_timestamp(TRY_CAST(time AS BIGINT) * 1000000) AS time, "
+        f"sh_timed AS (SELECT * FROM (SELECT {epoch_sql()} AS time, "
         + rest + " FROM smart_home_raw)" + where + ")"
     )
 
@@ -241,7 +278,7 @@ SH_CLEAN = (
 
 def _sh_typed(src: str, out: str, extra: str = "") -> str:
     cols = ["time"] + [
-        f"TRY_CAST({_q(c)} AS {DUCK_TYPES[SMART_HOME_TYPES[c]]}) AS {_q(c)}" for c in SH if c != "time"
+        f"{num(_q(c), DUCK_TYPES[SMART_HOME_TYPES[c]])} AS {_q(c)}" for c in SH if c != "time"
     ]
     return f"{out} AS (SELECT " + ", ".join(cols) + extra + f" FROM {src})"
 
@@ -306,14 +343,23 @@ def _sh(select: str, window=None, extra=()) -> str:
 
 
 def _describe() -> str:
+    dropped = {p for ps in SMART_HOME_TOTALS.values() for p in ps}
     parts = []
-    for c in C.DESCRIBE_FIELDS:
-        parts.append(
-            f"SELECT '{c}' AS \"column\", count({_q(c)}) AS \"count\", "
-            + round_up(f"avg({_q(c)})", 6) + ' AS "mean", '
-            + round_up(f"stddev_samp({_q(c)})", 6) + ' AS "stddev", '
-            + f'min({_q(c)}) AS "min", max({_q(c)}) AS "max" FROM sh_house'
-        )
+    for c in [*[c for c in SH if c != "time" and c not in dropped], *SMART_HOME_TOTALS]:
+        count = f"SELECT '{c}' AS \"column\", count({_q(c)}) AS \"count\", "
+        none = "CAST(NULL AS DOUBLE)"
+        if SMART_HOME_TYPES.get(c) == "string":
+            parts.append(
+                count + f'{none} AS "mean", {none} AS "stddev", {none} AS "min", {none} AS "max", '
+                f"min({_q(c)}) AS min_text, max({_q(c)}) AS max_text FROM sh_house"
+            )
+        else:
+            parts.append(
+                count + round_up(f"avg({_q(c)})", C.COMPARED_SCALE) + ' AS "mean", '
+                + round_up(f"stddev_samp({_q(c)})", C.COMPARED_SCALE) + ' AS "stddev", '
+                + f'min({_q(c)}) AS "min", max({_q(c)}) AS "max", '
+                "CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text FROM sh_house"
+            )
     return "\nUNION ALL ".join(parts)
 
 
@@ -328,11 +374,11 @@ def _argmax() -> str:
 def _upsert() -> str:
     return f"""WITH e AS (
   SELECT o_orderkey AS key, o_totalprice AS amount, o_orderstatus AS status, CAST(1 AS BIGINT) AS batch
-  FROM orders WHERE o_orderstatus = 'F'),
+  FROM orders),
 b AS (
-  SELECT o_orderkey AS key, {round_even(f"o_totalprice * {C.UPSERT_RAISE}::DOUBLE", 2)} AS amount,
+  SELECT o_orderkey + CASE WHEN o_custkey % 2 = 0 THEN 0 ELSE {C.UPSERT_INSERTS} END AS key, {round_even(f"o_totalprice * {C.UPSERT_RAISE}::DOUBLE", 2)} AS amount,
          o_orderstatus AS status, CAST(2 AS BIGINT) AS batch
-  FROM orders WHERE o_orderpriority = '1-URGENT'),
+  FROM orders),
 u AS (SELECT * FROM e UNION ALL SELECT * FROM b)
 SELECT key, amount, status, batch FROM (
   SELECT *, row_number() OVER (PARTITION BY key ORDER BY batch DESC, amount DESC, status DESC) AS rn
@@ -347,7 +393,7 @@ def oracle_queries() -> dict[str, str]:
     )
     typed = {"age": "INTEGER", "billing_amount": "DOUBLE", "room_number": "INTEGER"}
     cast_cols = ", ".join(
-        f"TRY_CAST({_q(c)} AS {typed[c]}) AS {_q(c)}" if c in typed else _q(c) for c in ADM
+        f"{num(_q(c), typed[c])} AS {_q(c)}" if c in typed else _q(c) for c in ADM
     )
     rest = [c for c in ADM if c not in C.REORDER_FIRST]
     reordered = ", ".join(_q(c) for c in [*C.REORDER_FIRST, *rest])
@@ -392,19 +438,19 @@ def oracle_queries() -> dict[str, str]:
             f"FROM (SELECT {parsed} FROM admissions_raw)"
         ),
         "round_billing": _adm(
-            "SELECT * REPLACE (" + round_up("TRY_CAST(billing_amount AS DOUBLE)", 2)
+            "SELECT * REPLACE (" + round_up(num("billing_amount"), 2)
             + " AS billing_amount) FROM admissions_raw"
         ),
         "format_amount": _adm(
             "SELECT name, billing_amount, "
-            "format('{:,.2f}', TRY_CAST(billing_amount AS DOUBLE)) AS billing_text, "
-            + round_even("TRY_CAST(billing_amount AS DOUBLE)", 2) + " AS billing_even FROM admissions_raw"
+            f"format('{{:,.2f}}', {num('billing_amount')}) AS billing_text, "
+            + round_even(num("billing_amount"), 2) + " AS billing_even FROM admissions_raw"
         ),
         "cast_by_schema": _adm(f"SELECT {cast_cols} FROM admissions_raw"),
         "reorder_columns": _adm(f"SELECT {reordered} FROM admissions_raw"),
         "scalar_max": _adm(
             "SELECT max(TRY_CAST(age AS INTEGER)) AS max_age, "
-            "max(TRY_CAST(billing_amount AS DOUBLE)) AS max_billing FROM adm_clean",
+            f"max({num('billing_amount')}) AS max_billing FROM adm_clean",
             ADM_CLEAN,
         ),
         "text_max": _adm(
@@ -413,8 +459,13 @@ def oracle_queries() -> dict[str, str]:
         ),
         "risk_score": _adm("SELECT * FROM adm_scored", ADM_REJECT, _risk("adm_reject", "adm_scored")),
         "risk_score_text_max": _adm(
-            "SELECT * FROM adm_scored", ADM_CLEAN, _risk("adm_clean", "adm_scored", text_maxima=True)
+            "SELECT * FROM adm_scored", ADM_CLEAN, _risk("adm_clean", "adm_scored", ("age", "billing_amount"))
         ),
+        "risk_score_binary": _adm(
+            "SELECT * FROM adm_scored", ADM_CLEAN,
+            _risk("adm_clean", "adm_scored", ("age", "billing_amount"), round_binary, round_binary),
+        ),
+        "risk_score_mixed_max": _risk_mixed_sql(),
         "preview_rows": _adm(
             f"SELECT * FROM adm_clean ORDER BY {order_all} LIMIT {C.PREVIEW_ROWS}", ADM_CLEAN
         ),
@@ -422,15 +473,20 @@ def oracle_queries() -> dict[str, str]:
         "csv_unquoted_lines": _adm(
             f"SELECT '{header}' AS value UNION ALL SELECT {lines} AS value FROM admissions_raw"
         ),
+        "csv_unquoted_readback": _adm(
+            "SELECT " + ", ".join(f"nullif({_q(c)}, '') AS {_q(c)}" for c in ADM if c != "hospital")
+            + " FROM admissions_raw"
+        ),
         "repartition_publish": _adm("SELECT * FROM adm_clean", ADM_CLEAN),
         "keyed_upsert": _upsert(),
+        "keyed_upsert_bucketed": _upsert(),
         "admissions_etl": _adm_etl_sql(),
         "admissions_etl_reject": _adm_etl_reject_sql(),
         "epoch_to_timestamp": _with(SMART_HOME_RAW)
-        + f"SELECT make_timestamp(TRY_CAST(time AS BIGINT) * 1000000) AS time, {sh_rest} FROM smart_home_raw",
+        + f"SELECT {epoch_sql()} AS time, {sh_rest} FROM smart_home_raw",
         "text_to_timestamp": _with(SMART_HOME_RAW)
         + "SELECT use_kw, time_text, CAST(try_strptime(time_text, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS time "
-        "FROM (SELECT use_kw, strftime(make_timestamp(TRY_CAST(time AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') "
+        f"FROM (SELECT use_kw, strftime({epoch_sql()}, '%Y-%m-%d %H:%M:%S') "
         "AS time_text FROM smart_home_raw)",
         "time_range": _with(SMART_HOME_RAW, _sh_timed(C.DAY_SLICE)) + "SELECT * FROM sh_timed",
         "power_totals": _with(SMART_HOME_RAW, _sh_timed(), SH_CLEAN, _sh_typed("sh_clean", "sh_typed"))
@@ -446,17 +502,18 @@ def oracle_queries() -> dict[str, str]:
         + f"SELECT time, count(*) AS count FROM sh_timed GROUP BY time "
         f"ORDER BY count DESC, time ASC NULLS LAST LIMIT {C.TOP_TIMES}",
         "day_over_day_delta": _sh(
-            f"SELECT t.day, CAST(t.total AS DOUBLE) AS total, CAST(t.total - p.total AS DOUBLE) AS delta "
+            f"SELECT t.day, {round_up('t.total', C.COMPARED_SCALE)} AS total, "
+            f"{round_up('(t.total - p.total)', C.COMPARED_SCALE)} AS delta "
             f"FROM sh_days t LEFT JOIN sh_days p ON t.day = p.day + INTERVAL 1 DAY",
             extra=[
                 f"sh_days AS (SELECT CAST(time AS DATE) AS day, "
-                f"sum(TRY_CAST(house_overall AS {SUM_DECIMAL})) AS total FROM sh_house GROUP BY 1)"
+                "sum(house_overall) AS total FROM sh_house GROUP BY 1)"
             ],
         ),
         "day_extremes": _sh(
             f"SELECT DATE '{C.EXTREMES_DAY}' AS day, max(house_overall) AS max_total_overall, "
             f"min(house_overall) AS min_total_overall, "
-            f"CAST(sum(TRY_CAST(house_overall AS {SUM_DECIMAL})) AS DOUBLE) AS sum_total_overall "
+            f"{round_up('sum(house_overall)', C.COMPARED_SCALE)} AS sum_total_overall "
             f"FROM sh_house WHERE time >= TIMESTAMP '{C.EXTREMES_DAY} 00:00:00' "
             f"AND time < TIMESTAMP '{C.EXTREMES_DAY} 00:00:00' + INTERVAL 1 DAY"
         ),

@@ -7,15 +7,21 @@ the same rows and ids and the job is not recomputed per sink.
 Command line::
 
     python -m sluice admissions --input DIR --output DIR \\
-        [--batch-id 17DIGITS] [--headers original|snake] [--keyed-previous DIR]
+        [--batch-id 17DIGITS] [--headers original|snake|workflow] [--keyed-previous DIR] \\
+        [--text-maxima age billing] [--rounding half_up|half_even|binary] \\
+        [--jdbc-url URL --jdbc-table TABLE]
     python -m sluice smart_home --input DIR --output DIR \\
-        [--window "2016-01-01 05:00:00" "2016-01-01 06:00:00"]
+        [--window "2016-01-01 05:00:00" "2016-01-01 06:00:00"] [--day-col COLUMN]
+
+A JDBC user and password are read from the environment (``JDBC_USER``,
+``JDBC_PASSWORD``), never from the command line.
 """
 
 from __future__ import annotations
 
 import argparse
-from collections.abc import Mapping, Sequence
+import os
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +30,16 @@ from sluice.operators.clean import trace_counts
 from sluice.operators.stamp import batch_stamp, new_batch_id, row_key
 from sluice.operators.upsert import keyed_upsert
 from sluice.plans.admissions import admissions_etl, admissions_etl_reject
-from sluice.plans.schemas import ADMISSIONS_HEADERS, SMART_HOME_HEADERS, resolve
+from sluice.plans.schemas import (
+    ADMISSIONS_HEADERS,
+    ADMISSIONS_OUTPUT,
+    ADMISSIONS_WORKFLOW_HEADERS,
+    ADMISSIONS_WORKFLOW_OUTPUT,
+    SMART_HOME_HEADERS,
+    resolve,
+)
 from sluice.plans.smart_home import smart_home_etl
+from sluice.session import delete_path
 from sluice.sinks.files import publish, write_jdbc, write_once
 from sluice.sources.csv import read_text_csv
 
@@ -77,24 +91,42 @@ def run_admissions(
     csv: bool = True,
     keyed_previous: str | None = None,
     jdbc: Mapping[str, str] | None = None,
+    sentinels: Collection[str] | None = None,
+    text_maxima: bool | Collection[str] = False,
+    rounding: str | None = None,
+    types: Mapping[str, str] | None = None,
+    keep_stage: bool = False,
 ) -> RunOutputs:
     """Admissions CSV in, cleaned and scored table out (plus sinks).
 
     ``keyed_previous``: a Parquet table from an earlier run; the new rows
     are upserted into it by row key (newest batch wins) and written to
     ``<output>/keyed``. ``jdbc``: keyword arguments of ``write_jdbc``.
+    ``sentinels``, ``text_maxima``, ``rounding`` and ``types`` are those of
+    the job. ``names=ADMISSIONS_WORKFLOW_HEADERS`` gives that job's column
+    order as well. The stage is deleted once every sink is written, unless
+    ``keep_stage``.
     """
     raw = read_text_csv(spark, input_path if isinstance(input_path, str) else list(input_path))
     batch_id = batch_id or new_batch_id()
     job = admissions_etl_reject if reject else admissions_etl
     trace: dict = {}
     # the stage lives with the run's outputs: one directory per run
-    result = job(raw, batch_id, names=names, trace=trace, staged=f"{output_dir.rstrip('/')}/_stage")
+    stage = f"{output_dir.rstrip('/')}/_stage"
+    options = {"text_maxima": text_maxima, "rounding": rounding, "types": types}
+    if sentinels is not None:
+        options["sentinels"] = tuple(sentinels)
+    if reject:
+        workflow = names is not None and dict(names) == ADMISSIONS_WORKFLOW_HEADERS
+        options["columns"] = ADMISSIONS_WORKFLOW_OUTPUT if workflow else ADMISSIONS_OUTPUT
+    result = job(raw, batch_id, names=names, trace=trace, staged=stage, **options)
     outputs = _sinks(
         spark, result, output_dir, resolve(names, "row_key"), resolve(names, "etl_batch_id"),
         csv, keyed_previous, jdbc,
     )
     outputs.counts = trace_counts(trace)
+    if not keep_stage:
+        delete_path(spark, stage)
     return outputs
 
 
@@ -109,18 +141,27 @@ def run_smart_home(
     keyed_previous: str | None = None,
     jdbc: Mapping[str, str] | None = None,
     raw_copy: bool = False,
+    day_col: str | None = None,
+    sentinels: Collection[str] | None = None,
+    types: Mapping[str, str] | None = None,
+    keep_stage: bool = False,
 ) -> RunOutputs:
     """Smart-home CSV in, cleaned readings with totals and stats out.
 
+    ``day_col``: a date column the input is laid out by (``day=...`` folders
+    count as columns); a ``window`` then skips the other days' files. The
+    stage is deleted once every sink is written, unless ``keep_stage``.
+
     ``raw_copy``: also write the input as read, stamped with the batch id,
     date and row key, to ``<output>/raw`` (CSV), beside the clean table.
     """
     raw = read_text_csv(spark, input_path if isinstance(input_path, str) else list(input_path))
     batch_id = batch_id or new_batch_id()
     trace: dict = {}
+    stage = f"{output_dir.rstrip('/')}/_stage"
+    options = {} if sentinels is None else {"sentinels": tuple(sentinels)}
     result = smart_home_etl(
-        raw, batch_id, names=names, window=window, trace=trace,
-        staged=f"{output_dir.rstrip('/')}/_stage",
+        raw, batch_id, names=names, window=window, trace=trace, staged=stage, day_col=day_col, types=types, **options
     )
     outputs = _sinks(
         spark, result, output_dir, resolve(names, "row_key"), resolve(names, "etl_batch_id"),
@@ -134,9 +175,19 @@ def run_smart_home(
         )
         outputs.raw = f"{output_dir.rstrip('/')}/raw"
         publish(stamped, outputs.raw, fmt="csv")
+    if not keep_stage:
+        delete_path(spark, stage)
     return outputs
 
 
+def jdbc_target(url: str | None, table: str | None) -> dict[str, str] | None:
+    """Arguments of ``write_jdbc``; user and password from the environment."""
+    if not url:
+        return None
+    user, password = os.environ.get("JDBC_USER"), os.environ.get("JDBC_PASSWORD")
+    return {"url": url, "table": table, "user": user, "password": password}
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     from sluice.session import build_session
 
@@ -145,28 +196,41 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--input", required=True, nargs="+")
     parser.add_argument("--output", required=True)
     parser.add_argument("--batch-id")
-    parser.add_argument("--headers", choices=["original", "snake"], default="original")
+    parser.add_argument("--headers", choices=["original", "snake", "workflow"], default="original")
     parser.add_argument("--window", nargs=2, metavar=("FROM", "TO"))
+    parser.add_argument("--day-col", help="smart_home: date column the input is laid out by")
+    parser.add_argument("--sentinels", nargs="*", help="texts that count as missing")
+    parser.add_argument("--text-maxima", nargs="*", choices=["age", "billing"], default=[])
+    parser.add_argument("--rounding", choices=["half_up", "half_even", "binary"])
+    parser.add_argument("--jdbc-url")
+    parser.add_argument("--jdbc-table")
     parser.add_argument("--keyed-previous")
     parser.add_argument("--no-csv", action="store_true")
+    parser.add_argument("--keep-stage", action="store_true")
     parser.add_argument("--raw-copy", action="store_true", help="smart_home: also write the stamped input")
     args = parser.parse_args(argv)
+    if bool(args.jdbc_url) != bool(args.jdbc_table):
+        parser.error("--jdbc-url and --jdbc-table go together")
+    if args.headers == "workflow" and args.job != "admissions_reject":
+        parser.error("--headers workflow is for admissions_reject")
 
     spark = build_session(app_name=f"sluice-{args.job}")
-    original = args.headers == "original"
+    common = {
+        "csv": not args.no_csv, "keyed_previous": args.keyed_previous, "keep_stage": args.keep_stage,
+        "sentinels": args.sentinels, "jdbc": jdbc_target(args.jdbc_url, args.jdbc_table),
+    }
     if args.job == "smart_home":
         outputs = run_smart_home(
             spark, args.input, args.output, args.batch_id,
-            names=SMART_HOME_HEADERS if original else None,
-            window=tuple(args.window) if args.window else None,
-            csv=not args.no_csv, keyed_previous=args.keyed_previous, raw_copy=args.raw_copy,
+            names=SMART_HOME_HEADERS if args.headers == "original" else None,
+            window=tuple(args.window) if args.window else None, day_col=args.day_col,
+            raw_copy=args.raw_copy, **common,
         )
     else:
+        headers = {"original": ADMISSIONS_HEADERS, "workflow": ADMISSIONS_WORKFLOW_HEADERS}
         outputs = run_admissions(
-            spark, args.input, args.output, args.batch_id,
-            names=ADMISSIONS_HEADERS if original else None,
-            reject=args.job == "admissions_reject",
-            csv=not args.no_csv, keyed_previous=args.keyed_previous,
+            spark, args.input, args.output, args.batch_id, names=headers.get(args.headers),
+            reject=args.job == "admissions_reject", text_maxima=args.text_maxima, rounding=args.rounding, **common,
         )
     print(f"table={outputs.table} csv={outputs.csv} keyed={outputs.keyed} rows={outputs.counts}")
     spark.stop()

@@ -11,6 +11,7 @@ from collections.abc import Mapping
 
 # --- Admissions ------------------------------------------------------------
 
+# Source columns in file order.
 ADMISSIONS_SOURCE = (
     "name", "age", "gender", "blood_type", "medical_condition",
     "date_of_admission", "doctor", "hospital", "insurance_provider",
@@ -70,6 +71,22 @@ ADMISSIONS_TYPES = {
 
 ADMISSIONS_OUTPUT = tuple(ADMISSIONS_TYPES)
 
+# The scheduled-workflow job's own names of the columns it adds,
+# and its output order (the added id first).
+ADMISSIONS_WORKFLOW_HEADERS = {
+    **ADMISSIONS_HEADERS,
+    "row_key": "uuid",
+    "etl_batch_id": "ETLBatchID",
+    "etl_batch_date": "ETLBatchDate",
+}
+ADMISSIONS_WORKFLOW_OUTPUT = (
+    "row_key", "etl_batch_id", "etl_batch_date", "name", "age", "gender",
+    "blood_type", "medical_condition", "date_of_admission", "doctor",
+    "hospital", "insurance_provider", "billing_amount", "room_number",
+    "admission_type", "discharge_date", "medication", "test_results",
+    "admission_days", "risk_score",
+)
+
 # Risk score weights (age share, diabetes flag, billing share)
 # and the condition that sets the flag.
 RISK_WEIGHTS = (0.4, 0.3, 0.3)
@@ -77,6 +94,7 @@ RISK_CONDITION = "Diabetes"
 
 # --- Smart home ------------------------------------------------------------
 
+# Source columns (power, weather, all in file order).
 SMART_HOME_POWER_READINGS = (
     "gen", "house_overall", "dishwasher", "furnace_1", "furnace_2",
     "home_office", "fridge", "wine_cellar", "garage_door", "kitchen_12",
@@ -174,7 +192,7 @@ SMART_HOME_OUTPUT = (
     "kitchen_appliances", "max_power", "min_power", "avg_power",
 )
 
-# Power columns left after the totals replace their parts: the candidates of
+# Power columns left after the totals replace their parts: the candidates of
 # the "which circuit draws most" report.
 POWER_FIELDS = (
     "home_office", "wine_cellar", "garage_door", "barn", "well",

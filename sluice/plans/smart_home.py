@@ -22,10 +22,10 @@ from sluice.operators.shape import (
     add_totals,
     cast_by_schema,
     day_prune,
+    epoch_range,
     epoch_to_timestamp,
     reorder_columns,
     replace_with_sum,
-    time_range,
 )
 from sluice.operators.stamp import batch_stamp, row_key
 from sluice.operators.stats import with_global_stats
@@ -39,10 +39,8 @@ from sluice.plans.schemas import (
     resolve,
 )
 
-# The global statistics attached to each row, and the rounding of the
-# average (its last bits depend on the order partial sums are merged in).
+# The global statistics attached to each row.
 POWER_STATS = {"max_power": "max", "min_power": "min", "avg_power": "avg"}
-AVG_SCALE = 6
 
 
 def _n(names: Mapping[str, str] | None):
@@ -57,15 +55,15 @@ def smart_home_timed(
 ) -> DataFrame:
     """Source columns with ``time`` as ``timestamp_ntz``, optionally windowed.
 
-    With ``day_col`` (a date column the input files are laid out by) the
-    window also prunes files before any text is parsed.
+    The window is decided on the raw epoch seconds. With ``day_col`` (a date
+    column the input files are laid out by) it also prunes files before any
+    text is parsed.
     """
     n = _n(names)
-    src = raw if window is None or day_col is None else day_prune(raw, day_col, *window)
-    df = epoch_to_timestamp(src.select(*[n(c) for c in SMART_HOME_SOURCE]), n("time"))
     if window is not None:
-        df = time_range(df, n("time"), *window)
-    return df
+        raw = epoch_range(raw, n("time"), *window)
+        raw = raw if day_col is None else day_prune(raw, day_col, *window)
+    return epoch_to_timestamp(raw.select(*[n(c) for c in SMART_HOME_SOURCE]), n("time"))
 
 
 def smart_home_clean(
@@ -112,7 +110,7 @@ def with_power_stats(df: DataFrame, names: Mapping[str, str] | None = None) -> D
     """Attach max / min / average of the house total to every row."""
     n = _n(names)
     stats = {n(out): fn for out, fn in POWER_STATS.items()}
-    return with_global_stats(df, n("house_overall"), stats, {n("avg_power"): AVG_SCALE})
+    return with_global_stats(df, n("house_overall"), stats)
 
 
 def smart_home_etl(
@@ -124,6 +122,7 @@ def smart_home_etl(
     day_col: str | None = None,
     trace: Trace | None = None,
     types: Mapping[str, str] | None = None,
+    sentinels=BLANK_SENTINELS_SMART_HOME,
 ) -> DataFrame:
     """The whole flow; 33 output columns (``SMART_HOME_OUTPUT``).
 
@@ -135,7 +134,7 @@ def smart_home_etl(
     with a ``window`` it prunes files before any text is parsed.
     """
     n = _n(names)
-    df = smart_home_prepared(raw, batch_id, names, window, day_col, trace, types)
+    df = smart_home_prepared(raw, batch_id, names, window, day_col, trace, types, sentinels)
     if staged:
         df = stage(df, "smart_home_stage", staged if isinstance(staged, str) else None)
     df = with_power_stats(df, names)
@@ -150,12 +149,13 @@ def smart_home_prepared(
     day_col: str | None = None,
     trace: Trace | None = None,
     types: Mapping[str, str] | None = None,
+    sentinels=BLANK_SENTINELS_SMART_HOME,
 ) -> DataFrame:
     """The rows ``smart_home_etl`` stages: cleaned, keyed, stamped, typed,
     with circuit totals and the recomputed house total."""
     n = _n(names)
     src = [n(c) for c in SMART_HOME_SOURCE]
-    df = smart_home_clean(raw, names, window, day_col=day_col, trace=trace)
+    df = smart_home_clean(raw, names, window, sentinels, day_col=day_col, trace=trace)
     df = row_key(df, src, out=n("row_key"))
     df = batch_stamp(df, batch_id, n("etl_batch_id"), n("etl_batch_date"))
     return smart_home_totals(smart_home_typed(df, names, types), names)

@@ -8,7 +8,6 @@ as it is.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -50,7 +49,6 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -79,43 +77,39 @@ def sizing_for(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str,
     }
 
 
-def checkpoint_root(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder the cluster names, if any."""
+def checkpoint_root(spark: SparkSession) -> str:
+    """The folder for staged tables: ``spark.checkpoint.dir``, else the
+    context's checkpoint folder, else a folder of the SQL warehouse.
+
+    A cluster names shared storage in the setting; the warehouse, which
+    every executor reaches as well, serves where nothing is set. Settings
+    are read, never changed.
+    """
     sc = _context(spark)
     current = sc.getCheckpointDir() if sc is not None else None
-    if current:
-        return current
-    return spark.conf.get("spark.checkpoint.dir", None) or None
-
+    named = spark.conf.get("spark.checkpoint.dir", None) or current
+    return (named or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints").rstrip("/")
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, setting a local one only when unset.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is used
-    as it is. Only a session without one (a test on a laptop) gets a folder
-    under the local temp directory.
-    """
-    root = checkpoint_root(spark)
-    sc = _context(spark)
-    if root:
-        if sc is not None and not sc.getCheckpointDir():
-            sc.setCheckpointDir(root)
-        return (sc.getCheckpointDir() if sc is not None else None) or root
-    if sc is None or not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set: staged tables need a folder on "
-            "storage every executor can reach (set spark.checkpoint.dir)"
-        )
-    local = tempfile.mkdtemp(prefix="sluice-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+def delete_path(spark: SparkSession, path: str, at_exit: bool = False) -> None:
+    """Delete a folder of any file system Spark can write to, now or when the
+    session's file system client closes."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if at_exit:
+        fs.deleteOnExit(target)
+    else:
+        fs.delete(target, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint folder for written tables.
 
     Written tables cut lineage the same way ``checkpoint()`` does and
-    survive executor loss, because they live in the shared folder.
+    survive executor loss, because they live in the shared folder. What is
+    written there goes when the session ends.
     """
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/sluice-scratch/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/sluice-scratch/{name}-{uuid.uuid4().hex}"
+    if _context(spark) is not None:
+        delete_path(spark, path, at_exit=True)
+    return path

@@ -14,6 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.session import scratch_path
+from sluice.sources.csv import CSV_OPTIONS
+
+# Separator and quote of the unquoted writer's one column: control characters
+# that text does not hold.
+NO_SEPARATOR, NO_QUOTE = "\x01", "\x02"
 
 
 def write_csv(
@@ -28,14 +33,7 @@ def write_csv(
     Leading and trailing blanks are kept (the writer trims them by default).
     The default mode fails if the directory exists, like the source jobs.
     """
-    (
-        df.write.mode(mode)
-        .option("header", header)
-        .option("sep", sep)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    df.write.mode(mode).options(**{**CSV_OPTIONS, "header": header}).option("sep", sep).csv(path)
 
 
 def unquoted_lines(df: DataFrame, sep: str = ",", null_text: str = "") -> DataFrame:
@@ -56,16 +54,15 @@ def write_unquoted_csv(
     header: bool = True,
     mode: str = "errorifexists",
 ) -> None:
-    """CSV with quoting switched off, header line first.
+    """CSV with quoting switched off, the header first in every part file.
 
-    The header is its own one-row partition placed before the data by the
-    union, so it lands in the first part file.
+    Each line is the one value of a column that is named like the header
+    line and written with a separator and a quote that text does not hold
+    (U+0001 and U+0002; a value holding them would be quoted).
     """
-    lines = unquoted_lines(df, sep)
-    if header:
-        head = spark.createDataFrame([(sep.join(df.columns),)], "value string")
-        lines = head.union(lines)
-    lines.write.mode(mode).text(path)
+    lines = unquoted_lines(df, sep).toDF(sep.join(df.columns))
+    options = {**CSV_OPTIONS, "header": header, "escape": NO_QUOTE, "quote": NO_QUOTE, "sep": NO_SEPARATOR, "emptyValue": ""}
+    lines.write.mode(mode).options(**options).csv(path)
 
 
 def publish(
@@ -92,7 +89,12 @@ def publish(
     large share of the data over several. Only the partitions present in
     ``df`` are replaced (dynamic partition overwrite), so a batch
     republishes its own days without touching others.
-    ``max_records_per_file`` bounds file size.
+    ``max_records_per_file`` bounds file size. CSV takes the options of
+    ``write_csv``.
+
+    Overwriting is not atomic: the old files go before the new ones are
+    committed. Readers that must not see the gap should be pointed at a new
+    directory once it is complete.
     """
     if num_files:
         out = df.repartition(num_files)
@@ -104,7 +106,7 @@ def publish(
         out = df
     writer = out.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**CSV_OPTIONS)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:

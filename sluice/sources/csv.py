@@ -8,6 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 
+# Every CSV reader and writer of the package uses these: values keep their
+# outer blanks, quotes inside a quoted value are doubled, and a header that
+# does not carry the expected names in order is an error, not a relabelling.
+CSV_OPTIONS = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+READ_OPTIONS = {**CSV_OPTIONS, "enforceSchema": False}
+
+
 def text_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
@@ -27,12 +34,13 @@ def read_text_csv(
     keep it off for large inputs whose values are single-line.
 
     With ``columns`` given the reader skips schema inference altogether (one
-    pass, splittable), which is what a large input wants; the header line is
-    still skipped. Without it only the header line is read to name the
-    columns, never the data (``inferSchema`` stays off).
+    pass, splittable), which is what a large input wants; each file's header
+    must name these columns in this order, else the read fails. Without it
+    only the header line is read to name the columns, never the data
+    (``inferSchema`` stays off).
     """
     reader = (
-        spark.read.option("header", True)
+        spark.read.options(**READ_OPTIONS)
         .option("sep", sep)
         .option("encoding", encoding)
         .option("multiLine", multi_line)

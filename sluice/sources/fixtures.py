@@ -19,7 +19,7 @@ from sluice.plans.schemas import (
     SMART_HOME_SOURCE,
     SMART_HOME_WEATHER_READINGS,
 )
-from sluice.sources.tables import read_table, spread
+from sluice.sources.tables import read_table
 
 
 def _cases(key: str, labels: list[str]) -> str:
@@ -41,7 +41,7 @@ ADMISSIONS_EXPRS = {
     "doctor": "concat('Doctor ', CAST(u % 97 AS STRING))",
     "hospital": "concat('Hospital ', CAST(u % 31 AS STRING), ', Group')",
     "insurance_provider": "CASE WHEN k % 23 = 0 THEN '' ELSE concat('Insurer ', CAST(u % 5 AS STRING)) END",
-    "billing_amount": "CAST(CAST(p AS DECIMAL(12,2)) AS STRING)",
+    "billing_amount": "CASE WHEN k % 43 = 0 THEN 'NaN' WHEN k % 53 = 0 THEN 'Infinity' ELSE CAST(CAST(p AS DECIMAL(12,2)) AS STRING) END",
     "room_number": "CAST(101 + k % 400 AS STRING)",
     "admission_type": _cases("k", ["Elective", "Urgent", "Emergency"]),
     "discharge_date": "date_format(date_add(d, CAST(1 + k % 30 AS INT)), 'dd-MM-yyyy')",
@@ -76,19 +76,19 @@ def admissions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Extra copies: every order with key % 10 = 3 appears twice; one all-blank
     row per 500 orders. Sentinels: '' insurer (key % 23), 'Null' medication
-    (key % 29), 'NA' / 'None' / 'null' test results (key % 11, 13, 17).
+    (key % 29), 'NA' / 'None' / 'null' test results (key % 11, 13, 17), and
+    the billing texts 'NaN' (key % 43) and 'Infinity' (key % 53).
     """
-    orders = spread(
-        read_table(spark, sf_dir, "orders").selectExpr(
-            "o_orderkey AS k", "o_custkey AS u", "CAST(o_orderdate AS DATE) AS d", "o_totalprice AS p"
-        )
+    orders = read_table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS k", "o_custkey AS u", "CAST(o_orderdate AS DATE) AS d", "o_totalprice AS p"
     )
     return _with_copies(orders, "k", 10, 3, 500, ADMISSIONS_EXPRS)
 
 
 def _smart_home_exprs() -> dict[str, str]:
     exprs = {
-        "time": "CAST(timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS STRING)",
+        "time": "CASE WHEN event_id % 1009 = 500 THEN '99999999999999999' "
+        "ELSE CAST(timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS STRING) END",
         "use_kw": "CAST(CAST(value AS DECIMAL(12,2)) AS STRING)",
     }
     for n, name in enumerate(SMART_HOME_POWER_READINGS):
@@ -96,6 +96,7 @@ def _smart_home_exprs() -> dict[str, str]:
     for n, name in enumerate(SMART_HOME_WEATHER_READINGS):
         exprs[name] = f"CAST(event_id * {43 + 2 * n} % 1009 AS STRING)"
     exprs["cloud_cover"] = f"CASE WHEN event_id % 53 = 0 THEN 'cloudy' ELSE {exprs['cloud_cover']} END"
+    exprs["well"] = f"CASE WHEN event_id % 61 = 0 THEN 'NaN' WHEN event_id % 67 = 0 THEN '-Infinity' ELSE {exprs['well']} END"
     exprs["temperature"] = "CASE WHEN event_id % 37 = 0 THEN 'NA' ELSE CAST(event_id % 101 AS STRING) END"
     exprs["icon"] = "event_type"
     exprs["summary"] = "CASE WHEN event_id % 41 = 0 THEN 'Null' WHEN event_id % 43 = 0 THEN '' ELSE event_type END"
@@ -111,10 +112,11 @@ def smart_home_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``time`` is epoch seconds as text. Extra copies: event_id % 9 = 4 rows
     twice; one all-blank row per 400 events. Sentinels: 'NA' temperature
     (id % 37), 'Null' / '' summary (id % 41, 43), 'cloudy' cloud cover
-    (id % 53) for the failed numeric cast.
+    (id % 53) for the failed numeric cast, 'NaN' and '-Infinity' well readings
+    (id % 61, 67), and an epoch beyond every calendar (id % 1009).
 
     Power columns use odd multipliers from 7 upwards (mod 1000, shown as
     0.xxx kW); weather columns continue from 43 (mod 1009).
     """
-    events = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value"))
+    events = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     return _with_copies(events, "event_id", 9, 4, 400, SMART_HOME_EXPRS)

@@ -19,23 +19,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy Parquet scan; later selects and filters prune and push down."""
     return spark.read.parquet(table_path(sf_dir, name))
 
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan over the cores when it yields too few partitions.
-
-    A file with a single row group is read by one task however many cores
-    there are, and every narrow step after it (text building, filters,
-    partial aggregation) runs in that task. When the scan has fewer
-    partitions than ``min_partitions`` (default: the session's default
-    parallelism) the rows are spread evenly. A large input on a cluster
-    already has far more splits than cores, so this adds no shuffle there.
-    Call it on the narrow projection of the scan, before rows are widened.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # a session without RDD access (Spark Connect): leave as is
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target)

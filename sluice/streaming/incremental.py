@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.operators.stamp import new_batch_id
-from sluice.sources.csv import text_schema
+from sluice.session import delete_path
+from sluice.sources.csv import READ_OPTIONS, text_schema
 
 EPOCH_COLUMN = "epoch"
 
-BatchJob = Callable[[DataFrame, str], DataFrame]
+BatchJob = Callable[..., DataFrame]
 
 
 def csv_file_stream(
@@ -32,8 +33,11 @@ def csv_file_stream(
     columns: Sequence[str],
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Header CSV files of ``input_dir`` as a stream of text rows."""
-    reader = spark.readStream.schema(text_schema(columns)).option("header", True)
+    """Header CSV files of ``input_dir`` as a stream of text rows.
+
+    A file whose header does not name ``columns`` in order fails the stream.
+    """
+    reader = spark.readStream.schema(text_schema(columns)).options(**READ_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(input_dir)
@@ -43,15 +47,22 @@ def _writer(
     job: BatchJob,
     output_dir: str,
     batch_id_for: Callable[[int], str],
+    stage_dir: str | None,
 ) -> Callable[[DataFrame, int], None]:
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        out = job(batch, batch_id_for(epoch_id)).withColumn(EPOCH_COLUMN, F.lit(epoch_id))
+        stage = None if stage_dir is None else f"{stage_dir.rstrip('/')}/epoch={epoch_id}"
+        if stage:  # what an attempt that failed may have left
+            delete_path(batch.sparkSession, stage)
+        staging = {} if stage is None else {"staged": stage}
+        out = job(batch, batch_id_for(epoch_id), **staging).withColumn(EPOCH_COLUMN, F.lit(epoch_id))
         (
             out.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(EPOCH_COLUMN)
             .parquet(output_dir)
         )
+        if stage:
+            delete_path(batch.sparkSession, stage)
 
     return write_batch
 
@@ -67,6 +78,7 @@ def run_incremental(
     max_files_per_trigger: int | None = None,
     wait: bool | None = None,
     trigger: dict | None = None,
+    stage_dir: str | None = None,
 ) -> StreamingQuery:
     """Process every file not yet seen in ``input_dir`` with ``job``, then stop.
 
@@ -78,13 +90,18 @@ def run_incremental(
     ``trigger`` defaults to ``{"availableNow": True}`` (drain and stop, the
     scheduled-run form, waited for); ``{"processingTime": "5 minutes"}``
     keeps the query running and returns it at once (``wait`` overrides).
+
+    ``stage_dir``: where ``job`` stages a micro-batch (it is called with
+    ``staged=<stage_dir>/epoch=<n>``); the folder is deleted once the
+    micro-batch's output is committed, so a query that runs for ever keeps
+    none. Without it the job stages as it was told to.
     """
     trigger = trigger or {"availableNow": True}
     if wait is None:
         wait = bool(trigger.get("availableNow") or trigger.get("once"))
     stream = csv_file_stream(spark, input_dir, columns, max_files_per_trigger)
     query = (
-        stream.writeStream.foreachBatch(_writer(job, output_dir, batch_id_for or (lambda _: new_batch_id())))
+        stream.writeStream.foreachBatch(_writer(job, output_dir, batch_id_for or (lambda _: new_batch_id()), stage_dir))
         .option("checkpointLocation", checkpoint_dir)
         .trigger(**trigger)
         .start()
@@ -98,11 +115,11 @@ def admissions_job(names: Mapping[str, str] | None = None, **options) -> BatchJo
     """The admissions flow as a micro-batch job."""
     from sluice.plans.admissions import admissions_etl
 
-    return lambda df, batch_id: admissions_etl(df, batch_id, names=names, **options)
+    return lambda df, batch_id, **staging: admissions_etl(df, batch_id, names=names, **{**options, **staging})
 
 
 def smart_home_job(names: Mapping[str, str] | None = None, **options) -> BatchJob:
     """The smart-home flow as a micro-batch job."""
     from sluice.plans.smart_home import smart_home_etl
 
-    return lambda df, batch_id: smart_home_etl(df, batch_id, names=names, **options)
+    return lambda df, batch_id, **staging: smart_home_etl(df, batch_id, names=names, **{**options, **staging})

@@ -116,7 +116,7 @@ def test_smart_home_etl_on_original_headers(spark, smart_csv, tmp_path):
     assert rows[1]["summary"] is None and rows[2]["temperature"] is None
     for r in rows:
         assert r["max_power"] == pytest.approx(4.2) and r["min_power"] == pytest.approx(1.4)
-        assert r["avg_power"] == 2.8
+        assert r["avg_power"] == pytest.approx(2.8, abs=1e-12)
     assert "Furnace 1 [kW]" not in out.columns and "Fridge [kW]" not in out.columns
 
 
@@ -184,20 +184,10 @@ def test_binary_rounding_reproduces_the_python_score(spark, admissions_csv):
     raw = read_text_csv(spark, admissions_csv)
     out = admissions_etl(raw, "20230401120000000", names=ADMISSIONS_HEADERS, text_maxima=True,
                          rounding="binary", staged=False)
-    rows = [r for r in read_text_csv(spark, admissions_csv).collect() if r["Name"]]
-    ages = [r["Age"] for r in rows if r["Age"] not in ("", "NA", "None", None)]
-    bills = [r["Billing Amount"] for r in rows if r["Billing Amount"] not in ("", "NA", "None", None)]
-    max_age, max_bill = max(ages), max(bills)  # text maxima, as the source took them
-
-    def score(age, cond, bill):  # the source's per-row function
-        a = float(age) / float(max_age) * 0.4
-        d = float(1 if cond == "Diabetes" else 0) * 0.3
-        b = round(float(bill), 2) / round(float(max_bill), 2) * 0.3
-        return round(a + d + b, 2)
-
-    want = {r["Name"]: score(r["Age"], r["Medical Condition"], r["Billing Amount"]) for r in rows}
     got = {r["Name"]: r["Risk Score"] for r in out.collect()}
-    assert got == want
+    # text maxima '9' and '500'; by hand 0.4*30/9 + 0.3 + 0.3*1000/500 = 2.2333,
+    # 0.4*60/9 + 0.3*2000.5/500 = 3.8669... and 0.4 + 0.3 = 0.7
+    assert got == {"Ada Stone": 2.23, "Ben Cole": 3.87, "Cy Park": 0.7}
 
 
 def test_jobs_never_raise_on_bad_text_under_ansi(spark, tmp_path):
@@ -207,6 +197,10 @@ def test_jobs_never_raise_on_bad_text_under_ansi(spark, tmp_path):
         "Yan,-0,Female,B-,Asthma,2023-01-05,Dr,H,Acme,NaN,12.5,Urgent,05-01-2023,X,Normal",
         "Xi,40,Female,B-,Asthma,01-01-2023,Dr,H,Acme,100,7,Urgent,00-00-0000,X,Normal",
     ]
+    bad_adm += [
+        "Wim,NaN,Male,B-,Asthma,01-01-2023,Dr,H,Acme,Infinity,7,Urgent,03-01-2023,X,Normal",
+        "Vic,20,Male,B-,Asthma,01-01-2023,Dr,H,Acme,-inf,7,Urgent,03-01-2023,X,Normal",
+    ]
     path = tmp_path / "bad.csv"
     path.write_text(",".join(ADM_HEADER) + "\n" + "\n".join(bad_adm) + "\n", encoding="utf-8")
     out = admissions_etl(read_text_csv(spark, str(path)), "20230401120000000", names=ADMISSIONS_HEADERS, staged=False)
@@ -216,13 +210,19 @@ def test_jobs_never_raise_on_bad_text_under_ansi(spark, tmp_path):
     assert zed["Billing Amount"] is None and zed["Risk Score"] is None and zed["Admission Days"] is None
     assert yan["Date of Admission"] is None and yan["Room Number"] is None  # ISO text, '12.5' as int
     assert xi["Discharge Date"] is None and xi["Admission Days"] is None
+    # NaN and the infinities are no numbers, and no maximum of other rows
+    assert yan["Billing Amount"] is None and rows["Wim"]["Risk Score"] is None and rows["Vic"]["Billing Amount"] is None
+    assert xi["Risk Score"] == 0.4 + 0.3
 
     bad_home = ",".join(["abc"] + ["1e400"] * (len(SMART_HOME_SOURCE) - 1))
+    bad_home += "\n" + ",".join(["99999999999999999"] + ["NaN"] * (len(SMART_HOME_SOURCE) - 1))
+    bad_home += "\n" + ",".join(["1451624400"] + ["0.5"] * (len(SMART_HOME_SOURCE) - 1))
     hpath = tmp_path / "bad_home.csv"
     hpath.write_text(",".join(SMART_HEADER) + "\n" + bad_home + "\n", encoding="utf-8")
     home = smart_home_etl(read_text_csv(spark, str(hpath)), "20230401120000000", names=SMART_HOME_HEADERS, staged=False)
-    row = home.first()
-    assert row["time"] is None  # 'abc' is no epoch
+    by_time = {r["time"]: r for r in home.collect()}
+    assert set(by_time) == {None, dt.datetime(2016, 1, 1, 5)}  # 'abc' and an epoch past every calendar are no times
+    assert {(r["max_power"], r["min_power"], r["avg_power"]) for r in by_time.values()} == {(7.0, 7.0, 7.0)}
 
 
 def test_output_types_can_be_overridden(spark, admissions_csv):
@@ -234,10 +234,69 @@ def test_output_types_can_be_overridden(spark, admissions_csv):
     assert dtypes["Age"] == "int" and dtypes["ETL_batch_id"] == "bigint"
 
 
-def test_complete_run_keeps_its_stage_with_its_outputs(spark, admissions_csv, tmp_path):
-    import os
+def test_complete_run_deletes_its_stage_unless_asked_to_keep_it(spark, admissions_csv, smart_csv, tmp_path):
+    from sluice.plans.runs import run_admissions, run_smart_home
+
+    for keep, left in ((False, ["table"]), (True, ["_stage", "table"])):
+        out = tmp_path / f"adm{keep}"
+        run_admissions(spark, admissions_csv, str(out), batch_id="20230401120000000", csv=False, keep_stage=keep)
+        assert sorted(os.listdir(out)) == left
+        out = tmp_path / f"sh{keep}"
+        run_smart_home(spark, smart_csv, str(out), batch_id="20230401120000000", csv=False, keep_stage=keep)
+        assert sorted(os.listdir(out)) == left
+        assert spark.read.parquet(str(out / "table")).count() == 4
+
 
+def test_values_with_outer_blanks_survive_a_run(spark, tmp_path):
     from sluice.plans.runs import run_admissions
 
-    run_admissions(spark, admissions_csv, str(tmp_path / "run"), batch_id="20230401120000000", csv=False)
-    assert sorted(os.listdir(tmp_path / "run")) == ["_stage", "table"]
+    path = tmp_path / "blanks.csv"
+    row = '" Ada ",30,Female,A+,Diabetes,01-02-2023,Dr One,"say ""x"" \\",Acme,1000,101,Urgent,05-02-2023,Aspirin,Normal'
+    path.write_text(",".join(ADM_HEADER) + "\n" + row + "\n", encoding="utf-8")
+    out = run_admissions(spark, str(path), str(tmp_path / "run"), batch_id="20230401120000000")
+    for rows in (spark.read.parquet(out.table), read_text_csv(spark, out.csv)):
+        assert [(r["Name"], r["Hospital"]) for r in rows.collect()] == [(" Ada ", 'say "x" \\')]
+
+
+def test_reject_run_in_the_workflow_layout(spark, admissions_csv, tmp_path):
+    from sluice.plans.runs import run_admissions
+    from sluice.plans.schemas import ADMISSIONS_WORKFLOW_HEADERS
+
+    out = run_admissions(
+        spark, admissions_csv, str(tmp_path / "run"), batch_id="20230401120000000", reject=True, csv=False,
+        names=ADMISSIONS_WORKFLOW_HEADERS, text_maxima={"age"}, rounding="binary",
+    )
+    table = spark.read.parquet(out.table)
+    assert table.columns == [
+        "uuid", "ETLBatchID", "ETLBatchDate", "Name", "Age", "Gender", "Blood Type", "Medical Condition",
+        "Date of Admission", "Doctor", "Hospital", "Insurance Provider", "Billing Amount", "Room Number",
+        "Admission Type", "Discharge Date", "Medication", "Test Results", "Admission Days", "Risk Score",
+    ]
+    # ages as text: '9' is the largest; billing as numbers: 1000
+    assert {r["Name"]: r["Risk Score"] for r in table.collect()} == {"Ada Stone": 1.93, "Cy Park": 0.55}
+
+
+def test_runs_take_a_jdbc_target(spark, admissions_csv, tmp_path, monkeypatch):
+    from sluice.plans import runs
+
+    seen = []
+    monkeypatch.setattr(runs, "write_jdbc", lambda df, **options: seen.append((df.count(), options)))
+    monkeypatch.setenv("JDBC_USER", "u")
+    monkeypatch.setenv("JDBC_PASSWORD", "p")
+    target = runs.jdbc_target("jdbc:x:y", "t")
+    runs.run_admissions(spark, admissions_csv, str(tmp_path / "run"), jdbc=target, csv=False)
+    assert seen == [(3, {"url": "jdbc:x:y", "table": "t", "user": "u", "password": "p"})]
+    assert runs.jdbc_target(None, None) is None
+
+
+def test_smart_home_run_prunes_by_day_column(spark, tmp_path):
+    from sluice.plans.runs import run_smart_home
+
+    base = tmp_path / "in"
+    for day, epoch in (("2016-01-01", 1451624400), ("2016-01-02", 1451710800)):
+        (base / f"day={day}").mkdir(parents=True)
+        text = ",".join(SMART_HEADER) + "\n" + _reading(epoch, 0.1) + "\n"
+        (base / f"day={day}" / "a.csv").write_text(text, encoding="utf-8")
+    window = ("2016-01-01 05:00:00", "2016-01-01 06:00:00")
+    out = run_smart_home(spark, str(base), str(tmp_path / "run"), window=window, day_col="day", csv=False)
+    assert spark.read.parquet(out.table).count() == 1

@@ -154,7 +154,7 @@ def test_row_key_is_deterministic_and_null_aware(spark):
     assert keys == again
     import hashlib
 
-    assert keys[0] == hashlib.md5(b"a|<null>|b").hexdigest()
+    assert keys[0] == hashlib.md5(b"1:aN1:b").hexdigest()
 
 
 def test_rounding_is_on_decimal_digits(spark):
@@ -162,6 +162,9 @@ def test_rounding_is_on_decimal_digits(spark):
     out = df.select(round_half_up("x", 2).alias("u"), round_half_even("x", 2).alias("e")).collect()
     assert [r.u for r in out] == [1.01, 2.68, 0.13, 0.14, None]
     assert [r.e for r in out] == [1.0, 2.68, 0.12, 0.14, None]
+    # one rounding at any size: no intermediate scale, no overflow to null
+    df = spark.createDataFrame([(0.0049999999996,), (1e30,), (1e300,), (-0.125,)], "x double")
+    assert [r[0] for r in df.select(round_half_up("x", 2)).collect()] == [0.0, 1e30, 1e300, -0.13]
 
 
 def test_format_amount(spark):
@@ -173,10 +176,10 @@ def test_epoch_round_trip_ignores_session_zone(spark):
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-        df = spark.createDataFrame([("1704067798",), ("oops",), (None,)], "t string")
+        df = spark.createDataFrame([("1704067798",), ("oops",), (None,), ("99999999999999999",), ("-99999999999999999",)], "t string")
         out = df.select(epoch_seconds_to_ntz("t").alias("ts")).collect()
         assert out[0].ts == dt.datetime(2024, 1, 1, 0, 9, 58)
-        assert out[1].ts is None and out[2].ts is None
+        assert [r.ts for r in out[1:]] == [None] * 4
         back = df.select(ntz_to_epoch_seconds(epoch_seconds_to_ntz("t")).alias("e")).first().e
         assert back == 1704067798
     finally:
@@ -209,8 +212,9 @@ def test_totals_and_house_overall(spark):
 
 def test_with_global_stats(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (4.0,)], "v double")
-    out = with_global_stats(df, "v", {"mx": "max", "mn": "min", "av": "avg"}, {"av": 2}).collect()
-    assert {(r.v, r.mx, r.mn, r.av) for r in out} == {(1.0, 4.0, 1.0, 2.33), (2.0, 4.0, 1.0, 2.33), (4.0, 4.0, 1.0, 2.33)}
+    df = df.union(spark.createDataFrame([(float("nan"),), (float("inf"),), (None,)], "v double"))
+    out = with_global_stats(df, "v", {"mx": "max", "mn": "min", "av": "avg"}).collect()
+    assert len(out) == 6 and {(r.mx, r.mn, r.av) for r in out} == {(4.0, 1.0, 7 / 3)}  # unrounded, finite values only
 
 
 def test_risk_score_typed_and_text_maxima(spark):
@@ -278,6 +282,49 @@ def test_keyed_upsert(spark):
     assert sorted(map(tuple, keyed_upsert(once, stale, ["key"], "batch").collect())) == out
 
 
+def test_upsert_rewrites_only_touched_buckets(spark, tmp_path):
+    from sluice.operators.upsert import BUCKET_COLUMN, create_keyed_table, key_bucket, upsert_buckets
+
+    path, buckets = str(tmp_path / "keyed"), 8
+    old = spark.range(400).selectExpr("id AS key", "'old' AS v", "1 AS batch")
+    create_keyed_table(old.union(old), path, ["key"], "batch", buckets)
+    files = lambda: {str(p.relative_to(path)) for p in (tmp_path / "keyed").glob("*/part-*")}
+    before = files()
+    keys = [(5,), (405,)]
+    batch = spark.createDataFrame(keys, "key long").selectExpr("key", "'new' AS v", "2 AS batch")
+    touched = {r[0] for r in batch.select(key_bucket(["key"], buckets)).collect()}
+    for _ in range(2):  # a retry changes nothing
+        upsert_buckets(spark, path, batch, ["key"], "batch", buckets)
+    rows = spark.read.parquet(path)
+    assert rows.count() == 401 and rows.where("v = 'new'").count() == 2
+    assert rows.where(F.col(BUCKET_COLUMN) != key_bucket(["key"], buckets)).count() == 0
+    untouched = {f for f in before if int(f.split("/")[0].split("=")[1]) not in touched}
+    assert untouched and untouched <= files() and not (before - untouched) & files()
+
+
+def test_describe_covers_text_and_all_columns(spark):
+    df = spark.createDataFrame([("x", 1, 2.0), ("y", 3, float("nan")), (None, None, 4.0)], "t string, i int, d double")
+    out = {r.column: r.asDict() for r in describe_columns(df).collect()}
+    assert list(out) == ["t", "i", "d"]
+    assert out["t"] == {"column": "t", "count": 2, "mean": None, "stddev": None, "min": None, "max": None, "min_text": "x", "max_text": "y"}
+    assert (out["i"]["count"], out["i"]["mean"], out["i"]["max"]) == (2, 2.0, 3.0)
+    assert (out["d"]["count"], out["d"]["max"], out["d"]["max_text"]) == (2, 4.0, None)
+
+
+def test_one_nan_cell_changes_no_other_score(spark):
+    rows = [("100", "Diabetes", "1000.00"), ("50", "Asthma", "500.00"), ("NaN", "Asthma", "Infinity")]
+    df = spark.createDataFrame(rows, "age string, cond string, bill string")
+    for rounding in ("half_up", "half_even", "binary"):
+        scores = [r.risk_score for r in risk_score(df, "age", "cond", "bill", rounding=rounding).collect()]
+        assert scores == [1.0, 0.35, None]
+    text = [r.risk_score for r in risk_score(df, "age", "cond", "bill", text_maxima=True).collect()]
+    assert text == [1.7, 0.7, None]  # text maxima '50' and '500.00'
+    mixed = [r.risk_score for r in risk_score(df, "age", "cond", "bill", text_maxima={"age"}).collect()]
+    assert mixed == [1.4, 0.55, None]  # '50' as text, 1000 as a number
+    with pytest.raises(ValueError):
+        risk_score(df, "age", "cond", "bill", text_maxima={"bill"})
+
+
 def test_content_key_matches_row_key(spark):
     df = spark.createDataFrame([("x", 1)], "a string, b int")
     assert df.select(content_key(["a", "b"])).first()[0] == row_key(df).first().row_key
@@ -292,19 +339,6 @@ def test_sizing_for_large_inputs():
     assert sizing_for(1)["spark.sql.shuffle.partitions"] == "1"
 
 
-def test_spread_only_when_under_partitioned(spark, tmp_path):
-    from sluice.sources.tables import spread
-
-    path = str(tmp_path / "one")
-    spark.range(1000).coalesce(1).write.parquet(path)
-    one = spark.read.parquet(path)
-    assert one.rdd.getNumPartitions() == 1
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(0, 1000, 1, 8)
-    assert spread(many, 4) is many  # enough splits already: no shuffle added
-    assert sorted(r.id for r in spread(one, 4).collect()) == list(range(1000))
-
-
 def test_binary_rounding_matches_python_round(spark):
     import random
 
@@ -333,7 +367,7 @@ def test_describe_columns_agrees_with_spark_describe(spark):
     rng = random.Random(3)
     rows = [(rng.uniform(0, 10), None if i % 7 == 0 else rng.uniform(-5, 5)) for i in range(500)]
     df = spark.createDataFrame(rows, "a double, b double")
-    ours = {r.column: r for r in describe_columns(df, ["a", "b"], scale=6).collect()}
+    ours = {r.column: r for r in describe_columns(df, ["a", "b"]).collect()}
     theirs = {r.summary: r for r in df.describe("a", "b").collect()}
     for c in ("a", "b"):
         assert ours[c]["count"] == int(theirs["count"][c])

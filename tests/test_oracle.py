@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as E
+from sluice.plans.catalog import QUERIES
+from sluice.plans.oracle import oracle_queries
 from tools.oracle_check import SAME_TYPE, canon, duck
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+ORACLE = oracle_queries()
 
 
 def test_every_query_has_an_oracle():

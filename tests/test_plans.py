@@ -3,20 +3,49 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as E
 from sluice.operators import reject_sentinel_rows, top_k_counts, with_global_stats
-from sluice.plans.inspect import plan_problems, plan_text, single_partition_windows
+from sluice.plans.catalog import EXTREMES_DAY, QUERIES
+from sluice.plans.inspect import plan_problems, plan_text
 
 
-# The daily series of the day-over-day report has one row per calendar day
-# (bounded by the span of the data, not its volume); only it is windowed.
-BOUNDED_WINDOW = {"day_over_day_delta"}
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_python_cross_product_or_single_task_window(spark, sf_small, name):
+    assert plan_problems(QUERIES[name](spark, sf_small)) == []
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
-def test_no_python_cross_product_or_single_task_window(spark, sf_small, name):
-    df = E.queries()[name](spark, sf_small)
-    assert plan_problems(df, allow_small_window=name in BOUNDED_WINDOW) == []
+@pytest.mark.parametrize("name", ["batch_stamp", "dedup_rows", "format_amount", "time_range", "house_overall"])
+def test_views_add_no_shuffle_to_the_scan(spark, sf_small, name):
+    assert "RoundRobinPartitioning" not in plan_text(QUERIES[name](spark, sf_small), "simple")
+
+
+def test_day_over_day_delta_reads_the_stage_without_a_window(spark, sf_small):
+    text = plan_text(QUERIES["day_over_day_delta"](spark, sf_small))
+    assert "Window" not in text and "SinglePartition" not in text
+    assert "ReadSchema: struct<time:timestamp_ntz,house_overall:double>" in text
+
+
+def test_attached_day_is_pushed_to_the_scan(spark, sf_small):
+    text = plan_text(QUERIES["day_extremes_attached"](spark, sf_small))
+    sub = text[text.index("===== Subqueries =====") :]
+    pushed = [line for line in sub.splitlines() if "PushedFilters" in line][0]
+    assert f"GreaterThanOrEqual(time,{EXTREMES_DAY}" in pushed and "LessThan(time," in pushed
+
+
+@pytest.mark.parametrize("name", ["risk_score", "risk_score_text_max", "risk_score_binary", "risk_score_mixed_max"])
+def test_scores_read_their_source_once(spark, sf_small, name):
+    text = plan_text(QUERIES[name](spark, sf_small))
+    scans = [line for line in text.splitlines() if line.startswith("Location:")]
+    assert scans and all(name.split("_max")[0][:10] in line and "orders" not in line for line in scans)
+
+
+def test_window_is_decided_on_numeric_epochs_in_the_scan(spark, tmp_path):
+    from sluice.operators.shape import epoch_range
+
+    path = str(tmp_path / "e")
+    spark.range(10).selectExpr("id + 1451624400 AS time").write.parquet(path)
+    df = epoch_range(spark.read.parquet(path), "time", "2016-01-01 05:00:02", "2016-01-01 05:00:04")
+    assert df.count() == 3
+    assert "GreaterThanOrEqual(time,1451624402)" in plan_text(df)
 
 
 def test_window_check_sees_keyless_windows(spark, sf_small):
@@ -25,8 +54,6 @@ def test_window_check_sees_keyless_windows(spark, sf_small):
 
     df = spark.range(100).withColumn("m", F.max("id").over(Window.partitionBy()))
     assert "Window over SinglePartition" in plan_problems(df)
-    delta = E.queries()["day_over_day_delta"](spark, sf_small)
-    assert single_partition_windows(delta) == 1
 
 
 def test_reject_filter_reaches_parquet_scan(spark, tmp_path):
@@ -57,7 +84,7 @@ def test_top_k_never_sorts_everything(spark):
 
 def test_jobs_plan_a_single_stats_subquery(spark, sf_small):
     for name in ("admissions_etl", "smart_home_etl"):
-        text = plan_text(E.queries()[name](spark, sf_small))
+        text = plan_text(QUERIES[name](spark, sf_small))
         assert text.count("Subquery:") == 1, name
         assert "Window" not in text
 
@@ -127,7 +154,7 @@ def test_window_prunes_day_partitions(spark, tmp_path):
 
 def test_after_the_stage_the_jobs_do_not_shuffle(spark, sf_small):
     for name in ("admissions_etl", "smart_home_etl", "global_power_stats"):
-        text = plan_text(E.queries()[name](spark, sf_small), "simple")
+        text = plan_text(QUERIES[name](spark, sf_small), "simple")
         assert "Exchange hashpartitioning" not in text, name
         assert "Exchange RoundRobinPartitioning" not in text, name
         # only the statistics subquery's one-row merge crosses tasks

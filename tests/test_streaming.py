@@ -69,3 +69,36 @@ def test_processing_time_trigger_keeps_running(spark, tmp_path):
         assert spark.read.parquet(out).count() == 1
     finally:
         query.stop()
+
+
+def test_a_stream_keeps_no_staged_folder(spark, tmp_path):
+    """Each micro-batch stages its rows; after its output is committed the
+    stage is gone, however many have run."""
+    landing, out, ckpt, stage = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ckpt"), tmp_path / "stage"
+    job, seen = admissions_job(names=ADMISSIONS_HEADERS), []
+
+    def watching(batch, batch_id, **staging):
+        seen.append(staging["staged"])
+        return job(batch, batch_id, **staging)
+
+    for n in range(3):
+        _land(landing, f"{n}.csv", [_row(f"P{n}", 40, "100.00")])
+    run_incremental(
+        spark, watching, str(landing), HEADER, out, ckpt, batch_id_for=lambda e: f"2024010100000{e:04d}",
+        max_files_per_trigger=1, stage_dir=str(stage),
+    )
+    assert spark.read.parquet(out).count() == 3
+    assert seen == [f"{stage}/epoch={n}" for n in range(3)] and not list(stage.glob("*"))
+
+
+def test_a_file_with_other_headers_fails_the_stream(spark, tmp_path):
+    import pytest
+
+    landing = tmp_path / "in"
+    _land(landing, "a.csv", [_row("Ann", 40, "100.00")])
+    (landing / "b.csv").write_text(",".join(reversed(HEADER)) + "\n" + _row("Bo", 20, "50") + "\n", encoding="utf-8")
+    with pytest.raises(Exception, match="CSV header"):
+        run_incremental(
+            spark, admissions_job(names=ADMISSIONS_HEADERS, staged=False), str(landing), HEADER,
+            str(tmp_path / "out"), str(tmp_path / "ckpt"),
+        )
