@@ -17,7 +17,7 @@ MAX_LINE = 180
 
 def main(argv):
     sys.path.insert(0, ".")
-    import __spark_entry__ as E
+    from sluice.plans.catalog import BATCH_ID, QUERIES
     from sluice.plans.inspect import plan_text
     from sluice.session import build_session
 
@@ -34,13 +34,13 @@ def main(argv):
     from sluice.plans.smart_home import smart_home_prepared
     from sluice.sources.fixtures import admissions_raw, smart_home_raw
 
-    frames = {name: fn for name, fn in sorted(E.queries().items())}
+    frames = {name: fn for name, fn in sorted(QUERIES.items())}
     # what the two jobs write to their stage (the plans above show the read)
     frames["admissions_etl: stage written"] = lambda s, d: admissions_prepared(
-        admissions_raw(s, d), E.BATCH_ID
+        admissions_raw(s, d), BATCH_ID
     )
     frames["smart_home_etl: stage written"] = lambda s, d: smart_home_prepared(
-        smart_home_raw(s, d), E.BATCH_ID
+        smart_home_raw(s, d), BATCH_ID
     )
     for name, fn in frames.items():
         text = plan_text(fn(spark, sf_dir), "simple")

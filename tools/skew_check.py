@@ -2,7 +2,7 @@
 
 Usage: python -m tools.skew_check [sf_dir]
 
-Writes Spark's event log to a fresh local temp folder (this is a local
+Writes Spark's event log to a fresh folder under ``/tmp`` (this is a local
 measurement tool, not a job) and prints, per shuffle-reading stage, the
 records read in total and by the busiest task.
 """
