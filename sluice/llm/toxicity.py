@@ -169,13 +169,14 @@ def train(
     label_col: str = "toxic",
     lexicon_size: int = 20_000,
     min_docs: int = 8,
-    min_weight: float = 2.0,
+    min_weight: float = 3.0,
     exceptions: tuple[str, ...] = EXCEPTIONS,
 ) -> ToxicityModel:
     """Lexicon and calibration from rows labelled 0 or 1.
 
     A feature is a folded word or a word's beginning; its weight is the
-    logarithm of how much more often toxic documents hold it. The lexicon
+    logarithm of how much more often, at the least, toxic documents hold it
+    (counts two standard errors against it). The lexicon
     keeps the ``lexicon_size`` features with most evidence of those that
     ``min_docs`` toxic documents hold, with a weight of ``min_weight`` at
     least. Counts come to the driver for these only. Without toxic or without
@@ -217,7 +218,11 @@ def train(
     if total is None or not total["clean"] or not total["toxic"]:
         share = (total["toxic"] + 0.5) / (total["toxic"] + total["clean"] + 1) if total else 0.02
         return ToxicityModel({}, exceptions, 0.0, math.log(share / (1 - share)))
-    weight = F.log((F.col("toxic") + 0.5) / (total["toxic"] + 1)) - F.log((F.col("clean") + 0.5) / (total["clean"] + 1))
+    # Counts are taken two standard errors against the feature, so that words
+    # which are merely rare don't add up in long texts.
+    least_toxic = F.greatest(F.col("toxic") - 2 * F.sqrt("toxic"), F.lit(0.5))
+    most_clean = F.col("clean") + 2 * F.sqrt("clean") + 2
+    weight = F.log(least_toxic / total["toxic"]) - F.log(most_clean / total["clean"])
     chosen = (
         counts.where("feature <> ''").withColumn("weight", weight).where(F.col("weight") >= min_weight)
         .orderBy((F.col("weight") * F.log1p("toxic")).desc(), "feature").limit(lexicon_size)
