@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,3 +57,16 @@ def connected_components(links: DataFrame) -> DataFrame:
     labels = stage(reduce(follow, steps[1:], steps[0].toDF("node", "label")), "labels")
     smallest = labels.groupBy("label").agg(F.min("node").alias("component"))
     return stage(labels.join(smallest, "label").select("node", "component"), "components")
+
+
+def local_components(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest of the ``n`` points that the links (i, j) connect each with."""
+    label = np.arange(n)
+    while True:
+        before = label.copy()
+        least = np.minimum(label[i], label[j])
+        np.minimum.at(label, i, least)
+        np.minimum.at(label, j, least)
+        label = label[label]
+        if (label == before).all():
+            return label

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.components import connected_components
+from sluice.llm.components import connected_components, local_components
 from sluice.llm.store import col, stage
 
 #: Vectors in a block, about; a tile compares two blocks.
@@ -62,18 +62,6 @@ def unit_rows(values: np.ndarray) -> np.ndarray:
     return values / np.linalg.norm(values, axis=1, keepdims=True)
 
 
-def _local_components(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    label = np.arange(n)
-    while True:
-        before = label.copy()
-        least = np.minimum(label[i], label[j])
-        np.minimum.at(label, i, least)
-        np.minimum.at(label, j, least)
-        label = label[label]
-        if (label == before).all():
-            return label
-
-
 def near_duplicate_vectors(
     vectors: DataFrame,
     threshold: float = 0.93,
@@ -132,7 +120,7 @@ def near_duplicate_vectors(
             i, j = tile_links(unit[:n_low], unit[n_low:], threshold)
             j = j + n_low
         n_links = np.bincount(i, copies[j], len(own)) + np.bincount(j, copies[i], len(own))
-        label = _local_components(len(own), i, j)
+        label = local_components(len(own), i, j)
         linked = np.flatnonzero(n_links)
         nodes = group["node"].combine_chunks()
         return pa.table({

@@ -12,12 +12,12 @@ pairs are confirmed on their full sets.
 Documents of equal sets meet once, as a class. Within a group that shares a
 key, pairs are not emitted: members are first compared with the smallest one,
 those not yet connected with a hub that differs from key to key, and only what
-is still apart is compared in full.
+is still apart is compared in full, in tiles of bounded size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,15 +25,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.components import connected_components
+from sluice.llm.components import connected_components, local_components
 from sluice.llm.store import col, stage
 
 CHUNKS, CHUNK = 8, 4
 HASHES = CHUNKS * CHUNK
 #: Pairs that differ in at most so many positions are always compared.
 GUARANTEED_DISTANCE = CHUNKS * 2 - 1
+#: Members from which on a group's remaining comparisons are tiles, not pairs.
+LARGE_GROUP = 16
+#: Shingles in a block of such a group, about; a set counts as 200 at least, so
+#: that a block has at most a thousand sets.
+TILE_SHINGLES = 200_000
 #: Distinct words a task remembers the hashes of.
-REMEMBERED_WORDS = 1 << 20
+REMEMBERED_WORDS = 1 << 17
 
 _MULTIPLIERS = np.random.default_rng(20240229).integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _WORD_STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -122,6 +127,56 @@ def _sets(docs: DataFrame, n_words: int, kind: str) -> DataFrame:
     return docs.mapInArrow(shingle, f"id {kind}, shingles array<long>")
 
 
+def _tile_links(members: DataFrame, sets: DataFrame, percent: int, kind: str) -> DataFrame:
+    """(a, b) in one component by links between members outside and all
+    members of large groups.
+
+    Both sides are dealt into blocks of bounded total size, and every pair of
+    blocks is a task's work: the sizes of all intersections are one product
+    of 0/1 matrices. A tile returns one edge per linked member, not its pairs.
+    """
+    outside, weight = F.expr("component <> largest"), F.greatest("n", F.lit(200))
+    blocks = members.groupBy("key").agg(
+        F.ceil(F.sum(weight) / TILE_SHINGLES).cast("int").alias("columns"),
+        F.ceil(F.sum(F.when(outside, weight)) / TILE_SHINGLES).cast("int").alias("rows"),
+    )
+    dealt = members.join(blocks, "key").join(sets.toDF("node", "shingles"), "node").withColumn("h", F.xxhash64("node"))
+    every = dealt.selectExpr(
+        "key", "explode(sequence(0, rows - 1)) AS i", "int(pmod(h, columns)) AS j", "false AS outside", "node", "shingles"
+    )
+    some = dealt.where(outside).selectExpr(
+        "key", "int(pmod(h, rows)) AS i", "explode(sequence(0, columns - 1)) AS j", "true AS outside", "node", "shingles"
+    )
+
+    def link(tile: pa.Table) -> pa.Table:
+        tile = tile.combine_chunks()
+        outside = tile["outside"].to_numpy()
+        shingles = tile["shingles"].combine_chunks()
+        size = shingles.value_lengths().to_numpy().astype(np.int64)
+        ids, column, count = np.unique(shingles.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        row, shared = np.repeat(np.arange(len(size)), size), count[column] > 1
+        row, column = row[shared], (np.cumsum(count > 1) - 1)[column[shared]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        some, every = np.flatnonzero(outside), np.flatnonzero(~outside)
+        common = np.zeros((len(some), len(every)), dtype=np.float32)
+        for first in range(0, int((count > 1).sum()), 2048):
+            part = slice(*np.searchsorted(column, (first, first + 2048)))
+            held = np.zeros((len(size), 2048), dtype=np.float32)
+            held[row[part], column[part] - first] = 1
+            common += held[some] @ held[every].T
+        union = size[some][:, None] + size[every][None, :] - common
+        i, j = np.nonzero(100 * common.astype(np.float64) >= percent * union)
+        nodes = tile["node"].combine_chunks()
+        first, second = nodes.take(pa.array(some[i])), nodes.take(pa.array(every[j]))
+        names, place = np.unique(np.concatenate([first.to_numpy(False), second.to_numpy(False)]), return_inverse=True)
+        label = local_components(len(names), place[: len(i)], place[len(i) :])
+        linked = np.flatnonzero(label != np.arange(len(names)))
+        return pa.table({"a": pa.array(names[linked], nodes.type), "b": pa.array(names[label[linked]], nodes.type)})
+
+    return some.union(every).groupBy("key", "i", "j").applyInArrow(link, f"a {kind}, b {kind}")
+
+
 def near_duplicates(
     docs: DataFrame,
     n_words: int = 5,
@@ -155,7 +210,7 @@ def near_duplicates(
         F.min("node").alias("hub"),
         F.expr("min_by(node, xxhash64(key, node))").alias("other_hub"),
     )
-    groups = stage(rows.join(alike.where("members > 1"), "key").drop("members"), "groups")
+    groups = stage(rows.join(alike.where("members > 1"), "key"), "groups")
 
     wanted = groups.select(F.col("node").alias("id")).distinct()
     sets = stage(_sets(docs.join(wanted, "id", "left_semi"), n_words, kind), "sets")
@@ -171,48 +226,48 @@ def near_duplicates(
             .select("a", "b")
         )
 
-    def against(hub: str) -> Callable[[DataFrame], DataFrame]:
-        def pairs(state: DataFrame) -> DataFrame:
-            hubs = sizes.toDF(hub, "hub_n")
-            return (
-                state.where(f"node <> {hub}").select(F.col(hub), "node", "n", "component").distinct()
-                .join(hubs, hub).where(f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)")
-                .select(F.col(hub).alias("a"), F.col("node").alias("b"))
-            )
-        return pairs
-
-    links = stage(confirm(against("hub")(groups.withColumn("component", F.col("node")))), "confirmed")
-    labels = connected_components(links)
+    def against(hub: str, members: DataFrame) -> DataFrame:
+        """Pairs of a member and its group's hub whose sizes allow a link."""
+        return (
+            members.where(f"node <> {hub}").select(hub, "node", "n").distinct()
+            .join(sizes.toDF(hub, "hub_n"), hub).where(f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)")
+            .select(F.col(hub).alias("a"), F.col("node").alias("b"))
+        )
 
-    def with_component(frame: DataFrame, node: str, name: str) -> DataFrame:
+    def with_component(frame: DataFrame, labels: DataFrame, node: str = "node", name: str = "component") -> DataFrame:
         found = frame.join(labels.toDF(node, name), node, "left")
         return found.withColumn(name, F.coalesce(name, node))
 
-    state = with_component(groups, "node", "component")
-    apart = with_component(state, "other_hub", "hub_component").where("component <> hub_component")
-    more = stage(confirm(against("other_hub")(apart)), "confirmed")
-    links = links.union(more)
-    labels = connected_components(links)
+    def not_joined(members: DataFrame) -> DataFrame:
+        """Members of groups of more than one component, with the largest one."""
+        largest = (
+            members.groupBy("key", "component").agg(F.count("*").alias("c"))
+            .groupBy("key")
+            .agg(F.expr("max_by(component, struct(c, component))").alias("largest"), F.count("*").alias("parts"))
+            .where("parts > 1").drop("parts")
+        )
+        return members.drop("largest").join(largest, "key")
+
+    links = stage(confirm(against("hub", groups)), "confirmed")
+    split = stage(not_joined(with_component(groups, connected_components(links))), "split")
+
+    apart = with_component(split, connected_components(links), "other_hub", "hub_component")
+    links = links.union(stage(confirm(against("other_hub", apart.where("component <> hub_component"))), "confirmed"))
 
     # What is still apart within a group: members outside of the group's
     # largest component, against all members of other components.
-    state = stage(with_component(groups, "node", "component").select("key", "node", "n", "component"), "state")
-    largest = (
-        state.groupBy("key", "component").agg(F.count("*").alias("c"))
-        .groupBy("key").agg(F.expr("max_by(component, struct(c, component))").alias("largest"), F.count("*").alias("parts"))
-        .where("parts > 1").drop("parts")
-    )
-    split = stage(state.join(largest, "key"), "split")
-    few = split.where("component <> largest").selectExpr("key", "node AS a", "n AS m", "component AS x")
+    split = stage(not_joined(with_component(split.drop("component"), connected_components(links))), "split")
+    small, large = split.where(f"members < {LARGE_GROUP}"), split.where(f"members >= {LARGE_GROUP}")
+    few = small.where("component <> largest").selectExpr("key", "node AS a", "n AS m", "component AS x")
     pairs = (
-        few.join(split.selectExpr("key", "node AS b", "n", "component AS y", "largest"), "key")
+        few.join(small.selectExpr("key", "node AS b", "n", "component AS y", "largest"), "key")
         .where("x <> y AND (y = largest OR a < b)")
         .where(f"100 * least(m, n) >= {percent} * greatest(m, n)")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
-    last = stage(confirm(pairs), "confirmed")
-    labels = connected_components(links.union(last))
+    tiled = stage(_tile_links(large, sets, percent, kind), "tiles")
+    labels = connected_components(links.union(stage(confirm(pairs), "confirmed")).union(tiled))
 
     named = (
         classes.select("set_1", "set_2", "node").join(labels, "node", "left")
