@@ -45,7 +45,7 @@ FURNITURE_ROLE = frozenset(
     "navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar note".split()
 )
 _FURNITURE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adslot|sponsor\w*|promo\w*|banners?|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|"
+    r"(?:^|[\s_-])(?:ads?|adsby\w+|advert\w*|adsense|adslot|sponsor\w*|promo\w*|banners?|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|"
     r"overlay|newsletter|subscri\w*|signup|login|sidebars?|side|widgets?|nav|navbar|navigation|menus?|breadcrumbs?|"
     r"footers?|masthead|topbar|toolbar|comments?|commentlist|disqus\w*|respond|repl(?:y|ies)|responses|discussion|"
     r"related|recommend\w*|share|sharing|social|pagination|pager|paging|skip|outbrain|taboola|paywall|tags|"
@@ -57,17 +57,18 @@ _MAIN_NAME = re.compile(r"(?:^|[\s_-])(?:article|post|entry|content|story|main|t
 
 
 class Element:
-    __slots__ = ("name", "parent", "children", "furniture", "bonus", "score", "main")
+    __slots__ = ("name", "parent", "children", "furniture", "bonus", "score", "main", "head")
 
     def __init__(self, name: str, parent: "Element | None", attrs: str = ""):
         self.name, self.parent = name, parent
         self.children: list[Element | tuple[str, int]] = []
         self.score, self.bonus, self.main = 0.0, 0.0, name in ("article", "main")
-        self.furniture = name in FURNITURE
+        self.furniture, self.head = name in FURNITURE, name == "header"
         if attrs and not attrs.isspace():
             given = {k.lower(): unescape(v.strip("\"'")) for k, v in _ATTR.findall(attrs)}
             label = f"{given.get('class', '')} {given.get('id', '')}"
             role = given.get("role", "").lower()
+            self.head = self.head or "header" in label.lower().split()
             self.main = self.main or role in ("main", "article")
             if name not in ("html", "body") and not self.main:
                 self.furniture = self.furniture or bool(_FURNITURE_NAME.search(label))
@@ -79,7 +80,7 @@ class Element:
             )
             if name not in ("html", "body") and _MAIN_NAME.search(label):
                 self.bonus = 5.0
-        if name == "header" and not self.furniture:
+        if self.head and not self.furniture:  # of the site, unless the article's own
             self.furniture = not any(e.main for e in _above(parent))
         if self.main:
             self.bonus += 10.0

@@ -113,6 +113,10 @@ def test_sampled_labels_are_bounded(spark):
     ('<div id="menu"><a>A</a></div><div class="post"><p>One, two, three and some more words here.</p><p>End.</p></div>'
      '<div class="cookie-notice">Cookies, cookies, cookies, all of them, and many more</div>', "One, two, three and some more words here.\nEnd."),
     ("<main><p>x<script>var a='</p>';</script> y<style>p{}</style></p><form><input><p>Sign</p></form><ul><li>a<li>b</ul></main>", "x y\na\nb"),
+    ('<div class="header">Site, name, and a slogan</div><div id="content"><div class="header"><p>Also no text</p></div>'
+     '<p>Text, of, the, page, which goes on for a while.</p><ins class="adsbygoogle">Ad</ins></div>',
+     "Text, of, the, page, which goes on for a while."),
+    ('<main><div class="header"><h1>Own</h1></div><p>a, b</p><p hidden>c</p><p style="display: none">d</p></main>', "Own\na, b"),
     ("<article><p>&lt;b&gt; &eacute;&#8212;&#x41;</article>", "<b> é—A"),
     ('<article><p>Body, of, it.</p><article class="comment"><p>Not, this, one</p></article></article>', "Body, of, it."),
 ])
