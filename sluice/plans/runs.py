@@ -39,7 +39,7 @@ from sluice.plans.schemas import (
     resolve,
 )
 from sluice.plans.smart_home import smart_home_etl
-from sluice.session import delete_path
+from sluice.session import delete_path, warn_of_interpreted_stages
 from sluice.sinks.files import publish, write_jdbc, write_once
 from sluice.sources.csv import read_text_csv
 
@@ -107,6 +107,7 @@ def run_admissions(
     order as well. The stage is deleted once every sink is written, unless
     ``keep_stage``.
     """
+    warn_of_interpreted_stages(spark)
     raw = read_text_csv(spark, input_path if isinstance(input_path, str) else list(input_path))
     batch_id = batch_id or new_batch_id()
     job = admissions_etl_reject if reject else admissions_etl
@@ -155,6 +156,7 @@ def run_smart_home(
     ``raw_copy``: also write the input as read, stamped with the batch id,
     date and row key, to ``<output>/raw`` (CSV), beside the clean table.
     """
+    warn_of_interpreted_stages(spark)
     raw = read_text_csv(spark, input_path if isinstance(input_path, str) else list(input_path))
     batch_id = batch_id or new_batch_id()
     trace: dict = {}

@@ -9,10 +9,15 @@ from __future__ import annotations
 
 import os
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
 
+#: Bytecodes of a method over which HotSpot does not compile it (fixed value).
+HOTSPOT_METHOD_LIMIT = 8000
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "sluice",
@@ -40,7 +45,7 @@ def build_session(
         # 30-column cleaning stage generates one, which then runs
         # interpreted. At this limit Spark splits such a stage into
         # per-operator code instead (3.6x faster on the smart-home cleaning).
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.sql.codegen.hugeMethodLimit", str(HOTSPOT_METHOD_LIMIT))
         .config("spark.driver.memory", driver_memory)
     )
     if shuffle_partitions is not None:
@@ -77,6 +82,23 @@ def sizing_for(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str,
     }
 
 
+def warn_of_interpreted_stages(spark: SparkSession) -> bool:
+    """Warn if fused stages may exceed what HotSpot compiles (and return that).
+
+    Over ``spark.sql.codegen.hugeMethodLimit`` Spark runs a stage operator by
+    operator; a limit above 8000 bytecodes leaves a fused 30-column stage to
+    the interpreter.
+    """
+    limit = int(spark.conf.get("spark.sql.codegen.hugeMethodLimit", "65535"))
+    if limit > HOTSPOT_METHOD_LIMIT:
+        warnings.warn(
+            f"spark.sql.codegen.hugeMethodLimit is {limit}: set it to {HOTSPOT_METHOD_LIMIT}, or the wide "
+            "cleaning stage runs interpreted, several times slower",
+            stacklevel=3,
+        )
+    return limit > HOTSPOT_METHOD_LIMIT
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder for staged tables: ``spark.checkpoint.dir``, else the
     context's checkpoint folder, else a folder of the SQL warehouse.

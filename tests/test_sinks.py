@@ -105,3 +105,15 @@ def test_multi_line_values_need_the_option(spark, tmp_path):
     path.write_text('k,v\na,"line one\nline two"\nb,x\n', encoding="utf-8")
     assert read_text_csv(spark, str(path), multi_line=True).count() == 2
     assert read_text_csv(spark, str(path)).count() == 3  # split, splittable default
+
+
+def test_runs_warn_of_interpreted_stages(spark):
+    from sluice.session import warn_of_interpreted_stages
+
+    assert not warn_of_interpreted_stages(spark)
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    try:
+        with pytest.warns(UserWarning, match="hugeMethodLimit"):
+            assert warn_of_interpreted_stages(spark)
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
