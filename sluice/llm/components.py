@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from sluice.llm.store import stage
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+def connected_components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(node, component) for every node of ``links`` (columns ``a``, ``b``);
     ``component`` is the smallest node of its component.
 
+    ``known`` is an earlier result for other links of the same graph: its
+    components are joined by ``links``, and its nodes are part of the result.
+
     Each round points every node at its first neighbour, or itself, in an
     order, replaces links by links between the nodes pointed at, and drops
     those that became loops. The first order is the ids' own, which folds a
@@ -22,6 +25,17 @@ def connected_components(links: DataFrame) -> DataFrame:
     long chain also loses a constant share of its nodes in each round. Rows
     with a null are ignored, repeated links and loops do no harm.
     """
+    if known is not None:
+        for end in ("a", "b"):
+            found = links.join(known.toDF(end, "component"), end, "left")
+            links = found.withColumn(end, F.coalesce("component", end)).select("a", "b")
+        joined = connected_components(links).toDF("component", "whole")
+        return stage(
+            known.union(joined.join(known, joined["component"] == known["node"], "left_anti").selectExpr("component", "component"))
+            .join(joined, "component", "left")
+            .select("node", F.coalesce("whole", "component").alias("component")),
+            "components",
+        )
     edges = stage(
         links.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

@@ -11,8 +11,8 @@ pairs are confirmed on their full sets.
 
 Documents of equal sets meet once, as a class. Within a group that shares a
 key, pairs are not emitted: members are first compared with the smallest one,
-those not yet connected with a hub that differs from key to key, and only what
-is still apart is compared in full, in tiles of bounded size.
+and only what is then still apart is compared in full, large groups in tiles
+of bounded size.
 """
 
 from __future__ import annotations
@@ -34,9 +34,9 @@ HASHES = CHUNKS * CHUNK
 GUARANTEED_DISTANCE = CHUNKS * 2 - 1
 #: Members from which on a group's remaining comparisons are tiles, not pairs.
 LARGE_GROUP = 16
-#: Shingles in a block of such a group, about; a set counts as 200 at least, so
-#: that a block has at most a thousand sets.
-TILE_SHINGLES = 200_000
+#: Shingles in a block of such a group, about, and what a set counts as at least,
+#: so that a block has at most a thousand sets.
+TILE_SHINGLES, LEAST_WEIGHT = 200_000, 200
 #: Distinct words a task remembers the hashes of.
 REMEMBERED_WORDS = 1 << 17
 
@@ -131,20 +131,16 @@ def _tile_links(members: DataFrame, sets: DataFrame, percent: int, kind: str) ->
     """(a, b) in one component by links between members outside and all
     members of large groups.
 
-    Both sides are dealt into blocks of bounded total size, and every pair of
-    blocks is a task's work: the sizes of all intersections are one product
+    ``members`` says by how many blocks of bounded total size the members
+    outside (``rows``) and all members (``columns``) of its key are dealt
+    out; every pair of such blocks is a tile: the sizes of all intersections are one product
     of 0/1 matrices. A tile returns one edge per linked member, not its pairs.
     """
-    outside, weight = F.expr("component <> largest"), F.greatest("n", F.lit(200))
-    blocks = members.groupBy("key").agg(
-        F.ceil(F.sum(weight) / TILE_SHINGLES).cast("int").alias("columns"),
-        F.ceil(F.sum(F.when(outside, weight)) / TILE_SHINGLES).cast("int").alias("rows"),
-    )
-    dealt = members.join(blocks, "key").join(sets.toDF("node", "shingles"), "node").withColumn("h", F.xxhash64("node"))
+    dealt = members.join(sets.toDF("node", "shingles"), "node").withColumn("h", F.xxhash64("node"))
     every = dealt.selectExpr(
         "key", "explode(sequence(0, rows - 1)) AS i", "int(pmod(h, columns)) AS j", "false AS outside", "node", "shingles"
     )
-    some = dealt.where(outside).selectExpr(
+    some = dealt.where("component <> largest").selectExpr(
         "key", "int(pmod(h, rows)) AS i", "explode(sequence(0, columns - 1)) AS j", "true AS outside", "node", "shingles"
     )
 
@@ -205,16 +201,16 @@ def near_duplicates(
         "classes",
     )
     rows = classes.select("node", "n", F.explode("keys").alias("key"))
-    alike = rows.groupBy("key").agg(
-        F.count("*").alias("members"),
-        F.min("node").alias("hub"),
-        F.expr("min_by(node, xxhash64(key, node))").alias("other_hub"),
+    # What is joined by a key that very many rows have is staged first: only
+    # between plain exchanges can AQE split such a key's partition.
+    alike = stage(
+        rows.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("hub")).where("members > 1"),
+        "shared-keys",
     )
-    groups = stage(rows.join(alike.where("members > 1"), "key"), "groups")
+    groups = stage(rows.join(alike, "key"), "groups")
 
     wanted = groups.select(F.col("node").alias("id")).distinct()
     sets = stage(_sets(docs.join(wanted, "id", "left_semi"), n_words, kind), "sets")
-    sizes = groups.select("node", "n").distinct()
 
     def confirm(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are links, on their full sets."""
@@ -226,37 +222,31 @@ def near_duplicates(
             .select("a", "b")
         )
 
-    def against(hub: str, members: DataFrame) -> DataFrame:
-        """Pairs of a member and its group's hub whose sizes allow a link."""
-        return (
-            members.where(f"node <> {hub}").select(hub, "node", "n").distinct()
-            .join(sizes.toDF(hub, "hub_n"), hub).where(f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)")
-            .select(F.col(hub).alias("a"), F.col("node").alias("b"))
-        )
-
-    def with_component(frame: DataFrame, labels: DataFrame, node: str = "node", name: str = "component") -> DataFrame:
-        found = frame.join(labels.toDF(node, name), node, "left")
-        return found.withColumn(name, F.coalesce(name, node))
-
-    def not_joined(members: DataFrame) -> DataFrame:
-        """Members of groups of more than one component, with the largest one."""
-        largest = (
-            members.groupBy("key", "component").agg(F.count("*").alias("c"))
-            .groupBy("key")
-            .agg(F.expr("max_by(component, struct(c, component))").alias("largest"), F.count("*").alias("parts"))
-            .where("parts > 1").drop("parts")
-        )
-        return members.drop("largest").join(largest, "key")
-
-    links = stage(confirm(against("hub", groups)), "confirmed")
-    split = stage(not_joined(with_component(groups, connected_components(links))), "split")
-
-    apart = with_component(split, connected_components(links), "other_hub", "hub_component")
-    links = links.union(stage(confirm(against("other_hub", apart.where("component <> hub_component"))), "confirmed"))
+    sizes = groups.select("node", "n").distinct()
+    against_hub = (
+        groups.where("node <> hub").select("hub", "node", "n").distinct()
+        .join(sizes.toDF("hub", "hub_n"), "hub").where(f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)")
+        .select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    )
+    links = stage(confirm(against_hub), "confirmed")
+    labels = connected_components(links)
 
     # What is still apart within a group: members outside of the group's
     # largest component, against all members of other components.
-    split = stage(not_joined(with_component(split.drop("component"), connected_components(links))), "split")
+    members = groups.select("key", "node", "n", "members").join(labels, "node", "left")
+    members = stage(members.withColumn("component", F.coalesce("component", "node")), "members")
+    weight = F.greatest("n", F.lit(LEAST_WEIGHT))
+    of_key = stage(
+        members.groupBy("key", "component").agg(F.struct(F.count("*").alias("c"), "component").alias("size"), F.sum(weight).alias("w"))
+        .groupBy("key").agg(
+            F.max_by("component", "size").alias("largest"),
+            F.ceil(F.sum("w") / TILE_SHINGLES).cast("int").alias("columns"),
+            F.ceil((F.sum("w") - F.max_by("w", "size")) / TILE_SHINGLES).cast("int").alias("rows"),
+            F.count("*").alias("parts"),
+        ).where("parts > 1").drop("parts"),
+        "split-keys",
+    )
+    split = stage(members.join(of_key, "key"), "split")
     small, large = split.where(f"members < {LARGE_GROUP}"), split.where(f"members >= {LARGE_GROUP}")
     few = small.where("component <> largest").selectExpr("key", "node AS a", "n AS m", "component AS x")
     pairs = (
@@ -266,14 +256,14 @@ def near_duplicates(
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
-    tiled = stage(_tile_links(large, sets, percent, kind), "tiles")
-    labels = connected_components(links.union(stage(confirm(pairs), "confirmed")).union(tiled))
+    more = confirm(pairs).union(_tile_links(large, sets, percent, kind))
+    labels = connected_components(more, labels)
 
     named = (
         classes.select("set_1", "set_2", "node").join(labels, "node", "left")
         .select("set_1", "set_2", F.coalesce("component", "node").alias("component_id"))
     )
-    out = signed.drop("keys").join(named, ["set_1", "set_2"], "left")
+    out = signed.drop("keys").join(stage(named, "classes"), ["set_1", "set_2"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select(
         F.col("id").alias(id_col),
