@@ -99,7 +99,7 @@ def near_duplicate_vectors(
         "vectors",
     )
     blocks = classes.groupBy("label", "dim").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    dealt = classes.join(blocks, ["label", "dim"]).withColumn("own", F.expr("int(pmod(xxhash64(h1, h2), blocks))"))
+    dealt = classes.join(stage(blocks, "blocks"), ["label", "dim"]).withColumn("own", F.expr("int(pmod(xxhash64(h1, h2), blocks))"))
     tiles = dealt.select(
         "label", "dim", "own", "node", "copies", "v", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
     ).select("label", "dim", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
@@ -140,7 +140,8 @@ def near_duplicate_vectors(
         .select(*key, F.expr("coalesce(links, 0) + copies - 1").alias("links"),
                 F.coalesce("component", "node").alias("component"))
     )
-    out = rows.drop("v").join(named, key, "left")
+    # Staged, so that AQE can split the partition of a vector of very many copies.
+    out = rows.drop("v").join(stage(named, "classes"), key, "left")
     component = F.when(F.col("sound"), F.col("component")).otherwise(F.col("id"))
     return out.select(
         F.col("id").alias(id_col),
