@@ -98,7 +98,7 @@ def fit(
     rejected_share: float = 0.001,
     seed: int = 11,
 ) -> LanguageModel:
-    """Train on (buckets, counts, language) rows.
+    """Train on rows of (buckets, their shares of the text, language).
 
     Every ``held_back``-th row, in the given order, only calibrates: the
     temperature minimises its log loss, and a text is rejected if its
@@ -110,7 +110,7 @@ def fit(
     if not languages:
         return LanguageModel((), np.zeros((1 << BUCKET_BITS, 1), np.float32), np.zeros(0), 1.0, 0.0, 0.0)
     rng = np.random.default_rng(seed)
-    embedding = rng.normal(0, 1 / dim, (1 << BUCKET_BITS, dim))
+    embedding = rng.normal(0, 1 / dim, (1 << BUCKET_BITS, dim)).astype(np.float32)
     weight, bias = np.zeros((dim, len(languages))), np.zeros(len(languages))
     seen = np.zeros(1 << BUCKET_BITS, dtype=np.float32)
     held = samples[::held_back] if len(samples) >= 10 * held_back else []
@@ -118,8 +118,7 @@ def fit(
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
         for i in rng.permutation(len(used)):
-            buckets, counts, language = used[i]
-            share = counts / counts.sum()
+            buckets, share, language = used[i]
             hidden = share @ embedding[buckets]
             error = _softmax(hidden @ weight + bias)
             error[languages.index(language)] -= 1
@@ -131,7 +130,7 @@ def fit(
     table = np.column_stack([embedding @ weight, seen]).astype(np.float32)
     if not held:
         return LanguageModel(languages, table, bias, 1.0, 0.0, 0.0)
-    means = np.array([(c / c.sum()) @ table[b] for b, c, _ in held])
+    means = np.array([share @ table[buckets] for buckets, share, _ in held])
     logits, known = means[:, :-1] + bias, means[:, -1]
     truth = np.array([languages.index(language) for *_, language in held])
 
@@ -178,23 +177,28 @@ def train(
                     total += np.bincount(buckets, minlength=1 << BUCKET_BITS)
                 found = np.flatnonzero(total)
                 if len(found):
-                    for values, value in zip(out, (found.astype(np.int32), total[found].astype(np.int32), lang, at)):
+                    shares = (total[found] / total.sum()).astype("<f4")
+                    row = found.astype("<u2").tobytes(), shares.tobytes(), lang.as_py(), at.as_py()
+                    for values, value in zip(out, row):
                         values.append(value)
+            kinds = (pa.binary(), pa.binary(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.list_(pa.int32())), pa.array(out[1], pa.list_(pa.int32())),
-                 pa.array([x.as_py() for x in out[2]], pa.string()), pa.array([x.as_py() for x in out[3]], pa.int64())],
-                names=["buckets", "counts", "lang", "at"],
+                [pa.array(v, kind) for v, kind in zip(out, kinds)], names=["buckets", "shares", "lang", "at"]
             )
 
+    # Six bytes a bucket; the training rows are views of the collected columns.
     sample = chosen.select("text", "lang", "order").mapInArrow(
-        count, "buckets array<int>, counts array<int>, lang string, at long"
-    ).toArrow().sort_by([("at", "ascending"), ("lang", "ascending")])
-    columns = [sample.column(c).combine_chunks() for c in ("buckets", "counts", "lang")]
-    return fit(
-        [(b.values.to_numpy().astype(np.int64), c.values.to_numpy().astype(np.float64), lang.as_py())
-         for b, c, lang in zip(*columns)],
+        count, "buckets binary, shares binary, lang string, at long"
+    ).toArrow().combine_chunks()
+    langs, places = sample["lang"].to_pylist(), sample["at"].to_pylist()
+    model = fit(
+        [(np.frombuffer(sample["buckets"][i].as_buffer(), "<u2"), np.frombuffer(sample["shares"][i].as_buffer(), "<f4"), langs[i])
+         for i in sorted(range(len(places)), key=lambda i: (places[i], langs[i]))],
         **options,
     )
+    del sample
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
