@@ -50,8 +50,9 @@ def dedup_lines(
         .where(F.char_length(stripped) >= min_chars)
         .select("id", "version", "pos", h1.alias("h1"), h2.alias("h2"))
     )
-    # Staged, so that both sides of the next join are plain exchanges: only
-    # then can AQE split the partition of a hash that very many rows have.
+    # Staged, as are the drops below, so that both sides of the next join are
+    # plain exchanges: only then can AQE split the partition of a hash, or an
+    # id, that very many rows have.
     shared = stage(
         lines.groupBy("h1", "h2")
         .agg(F.count_distinct("id").alias("n_docs"), F.min("id").alias("first_id"))
@@ -59,11 +60,12 @@ def dedup_lines(
         .drop("n_docs"),
         "shared-lines",
     )
-    drops = (
+    drops = stage(
         lines.join(shared, ["h1", "h2"])
         .where("id <> first_id")
         .groupBy("id", "version")
-        .agg(F.collect_set("pos").alias("drops"))
+        .agg(F.collect_set("pos").alias("drops")),
+        "dropped-lines",
     )
     lines_of = F.split("text", "\n")
     kept_at = F.array_except(F.sequence(F.lit(0), F.size(lines_of) - 1), F.col("drops"))
