@@ -9,6 +9,7 @@ of its length, so no task sees more than its share of the pieces.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -49,6 +50,27 @@ def load_encoder(tokenizer_path: str):
     return tiktoken.Encoding("byte_bpe", pat_str=PIECE_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+#: White space as the pattern's ``\\s`` has it, in runs that its backtracking
+#: ``\\s+(?!\\S)`` should not walk: about a million characters overflow its stack.
+LONG_SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{1000,}")
+
+
+def encode(encoder, text: str) -> list[int]:
+    """The ids of ``text``, however long its runs of white space are.
+
+    A long run is one match of the pattern, but for its last character if
+    text follows, which belongs to the next match; it is merged as such.
+    """
+    ids: list[int] = []
+    at = 0
+    for run in LONG_SPACE.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        ids += encoder.encode_ordinary(text[at : run.start()])
+        ids += encoder._encode_single_piece(text[run.start() : end])
+        at = end
+    return ids + encoder.encode_ordinary(text[at:])
+
+
 def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, end) of the pieces of ``n`` ids: full ones, the rest first."""
     first = n % capacity or min(n, capacity)
@@ -81,7 +103,7 @@ def tokenize_pieces(
             owners = batch.column(0)
             take = []
             for row, text in enumerate(batch.column(1)):
-                ids = np.array([*encoder.encode_ordinary(text.as_py() or ""), end_id], dtype="<u4")
+                ids = np.array([*encode(encoder, text.as_py() or ""), end_id], dtype="<u4")
                 for piece, (start, end) in enumerate(piece_bounds(len(ids), capacity)):
                     part = ids[start:end]
                     take.append(row)

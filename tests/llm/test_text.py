@@ -150,6 +150,17 @@ def test_tokens_equal_the_tokenizers_library(documents):
     assert [ours.encode_ordinary(t) for t in texts] == [e.ids for e in reference.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_tokens_of_very_long_white_space():
+    from tokenizers import Tokenizer
+
+    reference, ours = Tokenizer.from_file(tokenizer_path()), packing.load_encoder(tokenizer_path())
+    texts = [before + run + after for before in ("", "a", "a. ") for after in ("", "b", "\n.", " 1")
+             for run in (" " * 999, " " * 1001, "\n" * 1500, " \t\r\n\x0b\x0c\x85\xa0\u2003\u2028\u3000" * 200, "\x1c" * 1200)]
+    texts += [" " * 3_000_000 + "a", "a" + "\n" * 3_000_000, "a" + "\n" * 2_000_000 + " " * 1_000_000 + "\nb"]
+    for text in texts:
+        assert packing.encode(ours, text) == reference.encode(text, add_special_tokens=False).ids
+
+
 def test_packing_round_trip(spark, documents):
     out = pack_documents(documents, tokenizer_path(), with_ids=True).toPandas()
     encoder = packing.load_encoder(tokenizer_path())
