@@ -37,7 +37,9 @@ def load_encoder(tokenizer_path: str):
     import tiktoken
 
     with open(tokenizer_path, encoding="utf-8") as f:
-        vocabulary = json.load(f)["model"]["vocab"]
+        tokenizer = json.load(f)
+    vocabulary = tokenizer["model"]["vocab"]
+    added = {t["content"]: t["id"] for t in tokenizer["added_tokens"]}
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     byte_of = {chr(b): b for b in printable}
     hidden = [b for b in range(256) if b not in set(printable)]
@@ -45,9 +47,9 @@ def load_encoder(tokenizer_path: str):
     ranks = {
         bytes(byte_of[c] for c in token): i
         for token, i in vocabulary.items()
-        if all(c in byte_of for c in token) and token != "<|endoftext|>"
+        if all(c in byte_of for c in token) and token not in added
     }
-    return tiktoken.Encoding("byte_bpe", pat_str=PIECE_PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte_bpe", pat_str=PIECE_PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
 #: White space as the pattern's ``\\s`` has it, in runs that its backtracking
@@ -56,7 +58,18 @@ LONG_SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029
 
 
 def encode(encoder, text: str) -> list[int]:
-    """The ids of ``text``, however long its runs of white space are.
+    """The ids of ``text``; an added token's text gives its id, as in ``tokenizers``."""
+    if not any(token in text for token in encoder.special_tokens_set):
+        return encode_part(encoder, text)
+    ids: list[int] = []
+    longest_first = sorted(encoder.special_tokens_set, key=len, reverse=True)
+    for n, part in enumerate(re.split(f"({'|'.join(map(re.escape, longest_first))})", text)):
+        ids += [encoder.encode_single_token(part)] if n % 2 else encode_part(encoder, part)
+    return ids
+
+
+def encode_part(encoder, text: str) -> list[int]:
+    """The ids of a text between added tokens, however long its white space is.
 
     A long run is one match of the pattern, but for its last character if
     text follows, which belongs to the next match; it is merged as such.
@@ -246,7 +259,8 @@ def pack_documents(
 ) -> DataFrame:
     """Tokenize, cut and pack ``docs`` into sequences of ``capacity`` ids.
 
-    A document is its ids and then ``end_id``; only documents over
+    A document is its ids and then ``end_id`` (the text of an added token of
+    the vocabulary counts as that token, as ``tokenizers`` has it); only documents over
     ``capacity`` are cut, into full pieces with the shorter rest first.
     Returns one row per piece: id, piece, start, length, ids_crc32,
     sequence_id, offset (and ``ids``). Pieces are staged, so texts are

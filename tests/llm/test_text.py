@@ -161,6 +161,20 @@ def test_tokens_of_very_long_white_space():
         assert packing.encode(ours, text) == reference.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_equal_the_unaltered_library(spark):
+    from tokenizers import Tokenizer
+
+    reference, ours = Tokenizer.from_file(tokenizer_path()), packing.load_encoder(tokenizer_path())
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f" {end}\n\n{end}  x", f"{end[:-1]} >{end}>", f"<{end}", f"a{end.upper()}",
+             f"{' ' * 1200}{end}{chr(10) * 1200}b"]
+    want = [reference.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [packing.encode(ours, t) for t in texts] == want and want[0] == [64, 220, 50256, 275]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["ids"] for r in pack_documents(rows, tokenizer_path(), with_ids=True).where("piece = 0").collect()}
+    assert all(got[n] == [*ids, 0] for n, ids in enumerate(want) if len(ids) < 2048)
+
+
 def test_packing_round_trip(spark, documents):
     out = pack_documents(documents, tokenizer_path(), with_ids=True).toPandas()
     encoder = packing.load_encoder(tokenizer_path())
