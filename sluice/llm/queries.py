@@ -44,8 +44,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = toxicity.held_out()
     labels = toxicity.sample_labels(read_table(spark, sf_dir, "labels").where(~held_out))
-    labelled = docs.join(F.broadcast(labels.toDF("doc_id", "toxic")), "doc_id")
-    scored = toxicity.score_toxicity(docs, toxicity.train(labelled))
+    labelled = docs.join(F.broadcast(labels.toDF("doc_id", "toxic", "weight")), "doc_id")
+    scored = toxicity.score_toxicity(docs, toxicity.train(labelled, weight_col="weight"))
     predicted = (F.col("score") >= TOXIC_SCORE).cast("int")
     return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
 

@@ -171,6 +171,7 @@ def train(
     min_docs: int = 8,
     min_weight: float = 3.0,
     exceptions: tuple[str, ...] = EXCEPTIONS,
+    weight_col: str | None = None,
 ) -> ToxicityModel:
     """Lexicon and calibration from rows labelled 0 or 1.
 
@@ -181,10 +182,15 @@ def train(
     ``min_docs`` toxic documents hold, with a weight of ``min_weight`` at
     least. Counts come to the driver for these only. Without toxic or without
     clean rows the lexicon is empty and every text has the same score.
+
+    ``weight_col`` tells how many rows of its label a sampled row stands for;
+    the calibration counts it as so many, so that scores don't follow the
+    sampling rates. Lexicon weights compare shares within a label.
     """
-    rows = labelled.select(col(text_col).alias("text"), col(label_col).cast("int").alias("label")).where(
-        "label IN (0, 1)"
-    )
+    standing_for = (col(weight_col) if weight_col else F.lit(1)).cast("decimal(28,9)")  # sums the same in any order
+    rows = labelled.select(
+        col(text_col).alias("text"), col(label_col).cast("int").alias("label"), standing_for.alias("n")
+    ).where("label IN (0, 1)")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory, counted = _Folded(), (Counter(), Counter())
@@ -210,13 +216,15 @@ def train(
         yield flush()
 
     counts = (
-        rows.mapInArrow(count, "feature string, clean long, toxic long")
+        rows.select("text", "label").mapInArrow(count, "feature string, clean long, toxic long")
         .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .where(f"feature = '' OR toxic >= {int(min_docs)}")
     )
     total = counts.where("feature = ''").head()
     if total is None or not total["clean"] or not total["toxic"]:
-        share = (total["toxic"] + 0.5) / (total["toxic"] + total["clean"] + 1) if total else 0.02
+        full = rows.agg(*[F.sum(F.when(F.col("label") == x, F.col("n"))).cast("double") for x in (0, 1)]).head()
+        clean, toxic = (n or 0.0 for n in full)
+        share = (toxic + 0.5) / (toxic + clean + 1) if total else 0.02
         return ToxicityModel({}, exceptions, 0.0, math.log(share / (1 - share)))
     # Counts are taken two standard errors against the feature, so that words
     # which are merely rare don't add up in long texts.
@@ -233,13 +241,13 @@ def train(
         for batch in batches:
             found = [round(16 * model.weight(text.as_py())) for text in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.int64()), batch.column(1)], names=["bin", "label"]
+                [pa.array(found, pa.int64()), batch.column(1), batch.column(2)], names=["bin", "label", "n"]
             )
 
     bins = (
-        rows.mapInArrow(weigh, "bin long, label int")
+        rows.mapInArrow(weigh, "bin long, label int, n decimal(28,9)")
         .groupBy(F.least("bin", F.lit(4096)).alias("bin"))
-        .agg(F.count("*").alias("n"), F.sum("label").alias("toxic"))
+        .agg(F.sum("n").cast("double").alias("n"), F.sum(F.expr("IF(label = 1, n, 0)")).cast("double").alias("toxic"))
         .toPandas()
     )
     slope, offset = fit_logistic(bins["bin"].to_numpy() / 16, bins["n"].to_numpy(float), bins["toxic"].to_numpy(float))
@@ -248,15 +256,23 @@ def train(
 
 def sample_labels(labels: DataFrame, per_class: int = 20_000, id_col: str = "doc_id", label_col: str = "toxic") -> DataFrame:
     """About ``per_class`` ids of each label, by the hash of the id: few enough
-    to be broadcast whatever the number of labels."""
+    to be broadcast whatever the number of labels. ``weight`` is how many rows
+    of its label a row stands for."""
     rows = labels.select(col(id_col).alias("id"), col(label_col).cast("int").alias("label")).where(
         "id IS NOT NULL AND label IN (0, 1)"
     )
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+
+    def count(rows: DataFrame) -> dict[int, int]:
+        return {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+
+    counts = count(rows)
     resolution = 1 << 30
     limit = [min(resolution, resolution * per_class // max(counts.get(x, 0), 1)) for x in (0, 1)]
     order = F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(resolution))
-    return rows.where(order < F.when(F.col("label") == 1, limit[1]).otherwise(limit[0]))
+    sample = rows.where(order < F.when(F.col("label") == 1, limit[1]).otherwise(limit[0]))
+    taken = count(sample)
+    weight = [counts.get(x, 0) / max(taken.get(x, 0), 1) for x in (0, 1)]
+    return sample.withColumn("weight", F.when(F.col("label") == 1, weight[1]).otherwise(weight[0]))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:

@@ -103,6 +103,24 @@ def test_sampled_labels_are_bounded(spark):
     assert all(400 < n < 600 for n in got.values())
 
 
+def test_scores_do_not_follow_the_sampling_rates(spark):
+    """A tenth is toxic; a word that 60 % of these and 6 % of the others hold
+    makes a text toxic with a probability of about 0.53, sampled or not."""
+    rows = spark.range(12_000).selectExpr(
+        "id AS doc_id", "int(id % 10 = 0) AS toxic",
+        "concat('some text here', IF(pmod(xxhash64(id), 100) < IF(id % 10 = 0, 60, 6), ' snartly', '')) AS text")
+    scores = []
+    for per_class in (500, 20_000):
+        labels = toxicity.sample_labels(rows.select("doc_id", "toxic"), per_class)
+        labelled = rows.select("doc_id", "text").join(labels.toDF("doc_id", "toxic", "weight"), "doc_id")
+        model = toxicity.train(labelled, min_weight=1.0, weight_col="weight")
+        scores.append([model.score("some text here snartly"), model.score("some text here")])
+    assert np.abs(np.subtract(*scores)).max() < 0.1 and abs(scores[1][0] - 0.53) < 0.1
+    only = toxicity.sample_labels(rows.where("toxic = 0").select("doc_id", "toxic"), 500)
+    labelled = rows.select("doc_id", "text").join(only.toDF("doc_id", "toxic", "weight"), "doc_id")
+    assert toxicity.train(labelled, weight_col="weight").score("x") == pytest.approx(0.5 / 10_801)
+
+
 # Operator 5
 
 
