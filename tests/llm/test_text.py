@@ -285,6 +285,40 @@ def test_masks_hit_every_window_with_two_substitutions():
             )
 
 
+def test_masks_hit_short_items_with_a_sixth_substituted():
+    masks = (*decontaminate.MASKS, decontaminate.SHORT_MASK)
+    for size in range(decontaminate.SPAN, decontaminate.WINDOW):
+        for changed in itertools.combinations(range(size), size // 6):
+            assert any(
+                not {at + o for o in mask} & set(changed) for mask in masks for at in range(size - mask[-1])
+            )
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    """Items of 1 to 12 words with every choice of a sixth of their words
+    changed, and with one changed too many; Chinese and Thai sentences."""
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in range(1, 13)}
+    docs, want = [], set()
+    for n, words in items.items():
+        allowed = n // 6 if n >= 8 else 0
+        for much in (allowed, allowed + 1):
+            for changed in itertools.combinations(range(n), much):
+                part = ["changed" if k in changed else w for k, w in enumerate(words)]
+                doc_id = len(docs)
+                docs.append((doc_id, " ".join(part if doc_id % 2 else ["before", *part, "after"])))
+                if much == allowed:
+                    want.add((doc_id, n))
+    chinese, thai = "水在标准大气压下的沸点是多少摄氏度", "น้ำเดือดที่อุณหภูมิเท่าใด"
+    bench = [(n, " ".join(words)) for n, words in items.items()] + [(20, chinese), (21, thai)]
+    for item_id, text in ((20, "请问，" + chinese.replace("标准", "普通") + "？"), (21, "ถาม " + thai), (None, "标准大气压")):
+        if item_id:
+            want.add((len(docs), item_id))
+        docs.append((len(docs), text))
+    bench = spark.createDataFrame(bench, "item_id long, text string")
+    got = find_overlaps(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
+
+
 @pytest.mark.parametrize("seeds_per_broadcast", [400_000, 500])
 def test_overlaps_equal_all_alignments(spark, documents, seeds_per_broadcast):
     """Own documents with exact, altered and too altered passages, compared
