@@ -112,7 +112,10 @@ def parse(html: str) -> Element:
         inside_link.clear()
 
     def add(text: str) -> None:
+        nonlocal here
         if text:
+            if here.name == "head" and not text.isspace():
+                here = here.parent
             words.append(text)
             if links:
                 inside_link.append(text)
@@ -153,6 +156,8 @@ def parse(html: str) -> Element:
                     if e.name in ("article", "main", "body") and name not in SCOPE:
                         break
                 continue
+            if here.name == "head":  # its end tag is left out
+                here = here.parent
             if name in ("html", "body"):
                 continue
             close(CLOSES.get(name, set()) | {"p"}, SCOPE - CLOSES.get(name, set()))

@@ -143,6 +143,22 @@ def test_main_text(html, text):
     assert main_text(html) == text
 
 
+@pytest.mark.parametrize("page", [
+    "<head><title>X</title><body>{}</body></html>", "<html><head><meta charset=utf-8><title>X</title><body>{}",
+    "<head><title>X</title>{}", "<html><head><script>var a;</script><link rel=x><BODY class=a>{}</html>",
+    "<html><body>{}", "<title>X</title>{}", "<head></head>{}</body>", "<head><title>X</title><noscript>y</noscript><header>Site</header>{}",
+])
+def test_main_text_with_omitted_tags(page):
+    article = "<article><h1>T</h1><p>One, two, three.<p>Four.</article>"
+    assert main_text("<!DOCTYPE html>" + page.format(article)) == "T\nOne, two, three.\nFour."
+    plain = "<p>One, two, three and some more words here.</p><p>End.</p>"
+    assert main_text(page.format(plain)) == "One, two, three and some more words here.\nEnd."
+
+
+def test_main_text_of_inline_tags_after_an_omitted_head():
+    assert main_text("<head><title>X</title>One, two <b>three</b>, <a href=x>4</a>.<p>Five.") == "One, two three, 4.\nFive."
+
+
 def test_main_text_of_pages(spark):
     """The pages' articles, cut out by their own markers."""
     import html as entities
