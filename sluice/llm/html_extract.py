@@ -2,9 +2,10 @@
 
 Each page is parsed into a tree of elements with blocks of text. A block gives
 points for its length and its commas, discounted by its share of link text, to
-the containers above it; the best container and those of its siblings that
-read like it are kept, without the furniture inside them. Pages are
-independent, so the operator is one pass without a shuffle.
+the containers above it, half as many at each level. From the best container
+the way up is followed as long as text stands beside it; the last one and those
+of its siblings that read like it are kept, without the furniture inside them.
+Pages are independent, so the operator is one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -57,12 +58,12 @@ _MAIN_NAME = re.compile(r"(?:^|[\s_-])(?:article|post|entry|content|story|main|t
 
 
 class Element:
-    __slots__ = ("name", "parent", "children", "furniture", "bonus", "score", "main", "head")
+    __slots__ = ("name", "parent", "children", "furniture", "bonus", "score", "text", "main", "head")
 
     def __init__(self, name: str, parent: "Element | None", attrs: str = ""):
         self.name, self.parent = name, parent
         self.children: list[Element | tuple[str, int]] = []
-        self.score, self.bonus, self.main = 0.0, 0.0, name in ("article", "main")
+        self.score, self.text, self.bonus, self.main = 0.0, 0.0, 0.0, name in ("article", "main")
         self.furniture, self.head = name in FURNITURE, name == "header"
         if attrs and not attrs.isspace():
             given = {k.lower(): unescape(v.strip("\"'")) for k, v in _ATTR.findall(attrs)}
@@ -190,11 +191,14 @@ def _blocks(element: Element) -> Iterator[tuple[str, int]]:
 
 
 def _score(root: Element) -> list[Element]:
-    """Score all containers; returns those that got points."""
-    scored: dict[int, Element] = {}
-    stack = [root]
+    """Score all containers; returns those that got points.
+
+    ``score`` halves at each level, ``text`` is the undivided sum.
+    """
+    order, stack, held = [], [root], set()
     while stack:
         e = stack.pop()
+        order.append(e)
         for child in e.children:
             if isinstance(child, Element):
                 if not child.furniture:
@@ -202,16 +206,45 @@ def _score(root: Element) -> list[Element]:
                 continue
             text, linked = child
             points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / len(text))
-            share, holder = 1.0, e if e.name not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre") else e.parent
-            for _ in range(3):
-                if holder is None:
-                    break
-                holder.score += points * share
-                scored[id(holder)] = holder
-                holder, share = holder.parent, share / 2
-    for e in scored.values():
+            holder = e if e.name not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre") else e.parent
+            holder.score += points
+            e.text += points
+            held.add(holder)
+    for e in reversed(order[1:]):  # whatever lies below has been added
+        e.parent.score += e.score / 2
+        e.parent.text += e.text
+        if e in held:
+            held.add(e.parent)
+    scored = [e for e in order if e in held]
+    for e in scored:
         e.score += e.bonus
-    return list(scored.values())
+    return scored
+
+
+def _best(scored: list[Element]) -> Element:
+    """The main element with most text below it, or the one inside that holds
+    most of this; without any, the container of the highest score."""
+    marked = [e for e in scored if e.main and e.text > 0]
+    if not marked:
+        return max(scored, key=lambda e: e.score)
+    best = max(marked, key=lambda e: e.text)
+    for e in marked:  # outer ones come first
+        if e.text > best.text / 2 and e is not best and best in _above(e):
+            best = e
+    return best
+
+
+def _climbed(best: Element) -> Element:
+    """The highest container above ``best`` with text beside the way to it."""
+    top, way = best, best
+    while way.parent is not None and way.parent.parent is not None:
+        if any(
+            e is not way and (e[1] < 0.25 * len(e[0]) if isinstance(e, tuple) else not e.furniture and _reads(e))
+            for e in way.parent.children
+        ):
+            top = way.parent
+        way = way.parent
+    return top
 
 
 def main_text(html: str | None) -> str:
@@ -220,17 +253,19 @@ def main_text(html: str | None) -> str:
     scored = _score(root)
     if not scored:
         return ""
-    marked = [e for e in scored if e.main and e.score > 10]
-    best = max(marked or scored, key=lambda e: e.score)
-    while best.parent is not None and not best.main and best.name in ("ul", "ol", "dl", "table", "tbody", "tr", "td", "blockquote"):
-        best = best.parent
+    best = _best(scored)
+    beside = best
+    if not best.main:
+        beside = best = _climbed(best)
+        while beside.parent is not None and beside.parent.parent is not None:
+            beside = beside.parent
     kept = [best]
-    if best.parent is not None:
-        least = max(10.0, best.score * 0.2)
+    if beside.parent is not None:
+        least = max(10.0, best.score * 0.2, best.text * 0.2)
         kept = [
-            e for e in best.parent.children
-            if e is best or isinstance(e, Element) and not e.furniture and (
-                e.score >= least or not best.main and (e.name in ("h1", "h2", "h3") or e.name == "p" and _reads(e))
+            best if e is beside else e for e in beside.parent.children
+            if e is beside or isinstance(e, Element) and not e.furniture and (
+                e.score >= least or not best.main and (e.name in ("h1", "h2", "h3") or _reads(e))
             )
         ]
     return "\n".join(text for e in kept for text, _ in _blocks(e))

@@ -155,6 +155,23 @@ def test_main_text_with_omitted_tags(page):
     assert main_text(page.format(plain)) == "One, two, three and some more words here.\nEnd."
 
 
+_SECTION = "<p>" + "One, two, three, four, five, six, seven, eight, nine, ten, eleven, twelve. " * 2 + "{}</p>"
+
+
+@pytest.mark.parametrize("html, ends", [
+    ("<div id=content>" + "".join(f"<div class=row><div class=col>{_SECTION.format(n)}</div></div>" for n in "ABC")
+     + "<div class=row><div class=col><p>Short D</p></div></div></div>", "ABCD"),
+    ("".join(f"<div class=row><div class=col>{_SECTION.format(n)}</div></div>" for n in "AB"), "AB"),
+    ("<h1>Out</h1><article><div><div><div><div>" + _SECTION.format("A") + "</div></div></div><div>" + _SECTION.format("B")
+     + "</div></div></article><div class=list><a href=x>Some, link</a></div>", "AB"),
+    ("<main><ul><li><a href=x>In</a></ul><article><div><div><div><div>" + _SECTION.format("A")
+     + "</div></div></div></div></article></main>", "A"),
+])
+def test_main_text_of_wrapped_sections(html, ends):
+    for page in (html, f"<html><head><title>X</title></head><body><nav>Menu</nav>{html}<footer>F</footer></body></html>"):
+        assert "".join(line[-1] for line in main_text(page).split("\n")) == ends
+
+
 def test_main_text_of_inline_tags_after_an_omitted_head():
     assert main_text("<head><title>X</title>One, two <b>three</b>, <a href=x>4</a>.<p>Five.") == "One, two three, 4.\nFive."
 
