@@ -14,6 +14,7 @@ from sluice.llm.line_dedup import dedup_lines
 from sluice.llm.minhash_dedup import near_duplicates
 from sluice.llm.packing import pack_documents
 from sluice.llm.sharding import shard
+from sluice.llm.suffix_dedup import remove_repeats
 from sluice.sources.tables import read_table
 
 
@@ -79,6 +80,13 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 LLM_QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_license_scan": op2_license_scan,
@@ -90,4 +98,5 @@ LLM_QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_suffix_dedup": op11_suffix_dedup,
 }
