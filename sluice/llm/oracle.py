@@ -97,5 +97,73 @@ WITH hashed AS (
 SELECT doc_id, depth, prefix, CAST(0 AS BIGINT) AS overflow, n_bytes, shard_bytes FROM fitting WHERE r = 1
 """
 
-LLM_ORACLE = {"op1_line_dedup": OP1_SQL, "op3_minhash_dedup": OP3_SQL, "op8_sharding": OP8_SQL,
-              "op10_embedding_dedup": OP10_SQL}
+OP13_SQL = """
+WITH own AS (
+  SELECT conv_id, list({r: coalesce(role, ''), x: coalesce(text, '')}
+                       ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), hashed AS (
+  SELECT conv_id, t, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+    lambda crc, c: list_reduce(list_prepend(xor(crc, c), CAST(range(8) AS BIGINT[])),
+      lambda v, i: xor(v >> 1, 3988292384 * (v & 1))))) % 6 AS h
+  FROM own
+), rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.t[1:o.h], []), o.t[o.h + 1:]) AS t
+  FROM hashed o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100
+), steps AS (
+  SELECT conv_id, t, len(t) AS turns, unnest(range(0, len(t) + 1)) AS depth FROM rebuilt
+), prefixes AS (
+  SELECT conv_id, turns, depth, coalesce(length(t[depth].x), 0) AS chars,
+         md5(array_to_string(list_transform(t[1:depth], lambda e: md5(e.r) || md5(e.x)), '')) AS node
+  FROM steps
+), nodes AS (
+  SELECT p.node, min(p.conv_id) AS conv_id, min(p.depth) AS depth, count(*) AS n_convs, min(p.chars) AS chars,
+         min(q.node) AS parent,
+         sha256(coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (p.depth = p.turns), '')) AS ends_sha256
+  FROM prefixes p LEFT JOIN prefixes q ON q.conv_id = p.conv_id AND q.depth = p.depth - 1 GROUP BY p.node
+), children AS (
+  SELECT parent, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+), below AS (
+  SELECT DISTINCT p.node AS top, q.node FROM prefixes p JOIN prefixes q ON p.conv_id = q.conv_id AND p.depth <= q.depth
+), sums AS (
+  SELECT top, CAST(count(*) FILTER (c.parent IS NULL) AS BIGINT) AS n_leaves,
+         CAST(sum((n.n_convs - 1) * n.chars) AS BIGINT) AS saved_tokens
+  FROM below b JOIN nodes n ON n.node = b.node LEFT JOIN children c ON c.parent = n.node GROUP BY top
+)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, CAST(coalesce(n_children, 0) AS BIGINT) AS n_children,
+       n_leaves, saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.top = n.node LEFT JOIN nodes u ON u.node = n.parent LEFT JOIN children c ON c.parent = n.node
+"""
+
+OP12_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+LLM_ORACLE = {
+    "op1_line_dedup": OP1_SQL,
+    "op3_minhash_dedup": OP3_SQL,
+    "op8_sharding": OP8_SQL,
+    "op10_embedding_dedup": OP10_SQL,
+    "op12_hard_negatives": OP12_SQL,
+    "op13_conversation_trie": OP13_SQL,
+}

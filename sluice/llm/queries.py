@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import language_id, toxicity
+from sluice.llm.conversation_trie import conversation_trie
 from sluice.llm.decontaminate import find_overlaps
 from sluice.llm.embedding_dedup import near_duplicate_vectors
+from sluice.llm.hard_negatives import mine_hard_negatives
 from sluice.llm.html_extract import extract
 from sluice.llm.license_scan import scan_licenses
 from sluice.llm.line_dedup import dedup_lines
@@ -87,6 +89,16 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(vectors.withColumn("label", noisy), F.col("vec_id") % 100 == 0)
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
 LLM_QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_license_scan": op2_license_scan,
@@ -99,4 +111,6 @@ LLM_QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_conversation_trie": op13_conversation_trie,
 }

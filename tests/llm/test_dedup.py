@@ -12,7 +12,7 @@ from sluice.llm.minhash_dedup import near_duplicates
 from sluice.llm.oracle import LLM_ORACLE
 from sluice.llm.queries import LLM_QUERIES
 
-TABLES = ("documents", "embeddings")
+TABLES = ("documents", "embeddings", "conversations")
 
 
 @pytest.mark.parametrize("name", sorted(LLM_ORACLE))
