@@ -16,7 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.session import delete_path, scratch_path
+from sluice.session import delete_path, path_exists, scratch_path
+from sluice.sinks.commits import Files
 
 BUCKET_COLUMN = "key_bucket"
 
@@ -53,36 +54,69 @@ def key_bucket(keys: Sequence[str], buckets: int) -> Column:
 
 
 def create_keyed_table(df: DataFrame, path: str, keys: Sequence[str], version_col: str, buckets: int) -> None:
-    """Write ``df``, newest version per key, as a table of ``buckets`` directories."""
+    """Write ``df``, newest version per key, as a table of ``buckets`` directories.
+
+    The rows pass a ``rebalance`` hint: a bucket's rows gather in few files,
+    and AQE deals a large bucket out to several tasks.
+    """
     newest = newest_versions(df, keys, version_col)
     placed = newest.withColumn(BUCKET_COLUMN, key_bucket(keys, buckets))
-    placed.repartition(BUCKET_COLUMN).write.partitionBy(BUCKET_COLUMN).parquet(path)
+    placed.hint("rebalance", BUCKET_COLUMN).write.partitionBy(BUCKET_COLUMN).parquet(path)
 
 
-def upsert_buckets(
+def stage_upsert(
     spark: SparkSession,
     path: str,
     batch: DataFrame,
     keys: Sequence[str],
     version_col: str,
     buckets: int,
+    staged: str,
 ) -> None:
-    """Merge ``batch`` into a table of ``create_keyed_table``, in place.
+    """Write the merged rows of the buckets that ``batch`` touches to ``staged``.
 
-    Only directories that hold a key of the batch are read, merged and
-    replaced (dynamic partition overwrite); the others keep their files. The
-    batch's bucket numbers, at most ``buckets``, are all that the driver
-    sees. The merged rows are staged first, since the directories they
-    replace are those they were read from.
+    Only directories that hold a key of the batch are read. The batch's
+    bucket numbers, at most ``buckets``, are all that the driver sees. Where
+    there is no table at ``path`` yet, the batch is all of it.
     """
     batch = batch.withColumn(BUCKET_COLUMN, key_bucket(keys, buckets))
-    touched = [r[0] for r in batch.select(BUCKET_COLUMN).distinct().collect()]
-    table = spark.read.parquet(path)
-    merged = keyed_upsert(table.where(F.col(BUCKET_COLUMN).isin(touched)), batch, [*keys, BUCKET_COLUMN], version_col)
-    staged = scratch_path(spark, "upsert")
-    merged.write.parquet(staged)
+    if path_exists(spark, path):
+        touched = [r[0] for r in batch.select(BUCKET_COLUMN).distinct().collect()]
+        target = spark.read.parquet(path).where(F.col(BUCKET_COLUMN).isin(touched))
+    else:
+        target = batch.where("false")
+    merged = keyed_upsert(target, batch, [*keys, BUCKET_COLUMN], version_col)
+    merged.hint("rebalance", BUCKET_COLUMN).write.mode("overwrite").partitionBy(BUCKET_COLUMN).parquet(staged)
+
+
+def replace_buckets(spark: SparkSession, path: str, staged: str) -> None:
+    """Replace the buckets of the table at ``path`` that ``staged`` holds.
+
+    Dynamic partition overwrite: the others keep their files. It can be
+    repeated as long as ``staged`` exists, so a failure midway loses nothing.
+    """
+    if not any(n.startswith(f"{BUCKET_COLUMN}=") for n in Files(spark, staged).names("")):
+        return
     (
-        spark.read.schema(merged.schema).parquet(staged).repartition(BUCKET_COLUMN)
+        spark.read.parquet(staged).hint("rebalance", BUCKET_COLUMN)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COLUMN).parquet(path)
     )
+
+
+def upsert_buckets(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    version_col: str,
+    buckets: int,
+) -> None:
+    """Merge ``batch`` into a table of ``create_keyed_table``, in place.
+
+    The merged rows are staged first (``stage_upsert``), since the directories
+    they replace (``replace_buckets``) are those they were read from.
+    """
+    staged = scratch_path(spark, "upsert")
+    stage_upsert(spark, path, batch, keys, version_col, buckets, staged)
+    replace_buckets(spark, path, staged)
     delete_path(spark, staged)

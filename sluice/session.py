@@ -124,6 +124,11 @@ def delete_path(spark: SparkSession, path: str, at_exit: bool = False) -> None:
         fs.delete(target, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint folder for written tables.
 

@@ -1,3 +1,11 @@
+from sluice.sinks.commits import (  # noqa: F401
+    PublishConflict,
+    RunLedger,
+    current_version,
+    expire_versions,
+    publish_version,
+    read_published,
+)
 from sluice.sinks.files import (  # noqa: F401
     publish,
     stage,

@@ -75,6 +75,7 @@ def publish(
     max_records_per_file: int | None = None,
     rebalance: bool | None = None,
     options: dict[str, str] | None = None,
+    order_by: Sequence[str] | None = None,
 ) -> None:
     """Publish to a fixed directory, replacing what was there.
 
@@ -89,14 +90,23 @@ def publish(
     large share of the data over several. Only the partitions present in
     ``df`` are replaced (dynamic partition overwrite), so a batch
     republishes its own days without touching others.
-    ``max_records_per_file`` bounds file size. CSV takes the options of
+    ``max_records_per_file`` bounds file size. ``order_by``: files that do not
+    overlap in these columns, each sorted by them: Spark samples the rows and
+    deals them out by range, so a later read of a range skips files and row
+    groups by their minima and maxima. Rows of one value share a file unless
+    further columns part them. With ``num_files`` that many ranges are made;
+    AQE otherwise sizes them. CSV takes the options of
     ``write_csv``.
 
     Overwriting is not atomic: the old files go before the new ones are
-    committed. Readers that must not see the gap should be pointed at a new
-    directory once it is complete.
+    committed. ``publish_version`` keeps readers from seeing the gap.
     """
-    if num_files:
+    if order_by and partition_by:
+        raise ValueError("order_by ranges over the whole table: leave partition_by out")
+    if order_by:
+        ranged = df.repartitionByRange(num_files, *order_by) if num_files else df.repartitionByRange(*order_by)
+        out = ranged.sortWithinPartitions(*order_by)
+    elif num_files:
         out = df.repartition(num_files)
     elif partition_by and rebalance is not False:
         out = df.hint("rebalance", *partition_by)

@@ -240,10 +240,10 @@ def test_complete_run_deletes_its_stage_unless_asked_to_keep_it(spark, admission
     for keep, left in ((False, ["table"]), (True, ["_stage", "table"])):
         out = tmp_path / f"adm{keep}"
         run_admissions(spark, admissions_csv, str(out), batch_id="20230401120000000", csv=False, keep_stage=keep)
-        assert sorted(os.listdir(out)) == left
+        assert sorted(os.listdir(out)) == sorted([*left, "_ledger"])
         out = tmp_path / f"sh{keep}"
         run_smart_home(spark, smart_csv, str(out), batch_id="20230401120000000", csv=False, keep_stage=keep)
-        assert sorted(os.listdir(out)) == left
+        assert sorted(os.listdir(out)) == sorted([*left, "_ledger"])
         assert spark.read.parquet(str(out / "table")).count() == 4
 
 
