@@ -78,6 +78,15 @@ def blanked(c: str | Column, values: Iterable[str]) -> Column:
     return F.when(c.isin(list(values)), F.lit(None)).otherwise(c)
 
 
+def unless_sentinel(name: str, values: Iterable[str]) -> Column:
+    """``blanked`` inside a larger expression such as a key. It is spelled
+    another way on purpose: Catalyst carries a key's definition along as a
+    constraint and would keep two versions of it for every column that is
+    later blanked by the same expression, doubling their number each time."""
+    q = ident(name)
+    return F.expr(f"CASE WHEN {q} NOT IN ({_in_list(values)}) THEN {q} END")
+
+
 def sentinel_free_sql(names: Iterable[str], values: Iterable[str]) -> str:
     """SQL predicate: no column is null or equal to a sentinel."""
     listed = _in_list(values)

@@ -19,9 +19,10 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from sluice.functions.columns import BLANK_SENTINELS, REJECT_SENTINELS
+from sluice.functions.columns import BLANK_SENTINELS, REJECT_SENTINELS, content_key, unless_sentinel
 from sluice.operators.clean import (
     Trace,
     blank_sentinels,
@@ -30,6 +31,7 @@ from sluice.operators.clean import (
     reject_sentinel_rows,
     traced,
 )
+from sluice.operators.partials import with_folded_stats
 from sluice.operators.shape import cast_by_schema, parse_dates, reorder_columns, round_column, stay_days
 from sluice.operators.stamp import batch_stamp, row_key
 from sluice.operators.stats import risk_score
@@ -83,9 +85,19 @@ def _prepare(
 ) -> DataFrame:
     """Cleaned rows -> keyed, dated and stamped rows (what gets staged)."""
     n = _n(names)
-    src = [n(c) for c in ADMISSIONS_SOURCE]
     # The key is taken over the cleaned source text, before any parsing.
-    df = row_key(df, src, out=n("row_key"))
+    df = row_key(df, [n(c) for c in ADMISSIONS_SOURCE], out=n("row_key"))
+    return admissions_rows(df, batch_id, names, round_billing)
+
+
+def admissions_rows(
+    df: DataFrame,
+    batch_id: str | int,
+    names: Mapping[str, str] | None = None,
+    round_billing: bool = False,
+) -> DataFrame:
+    """Keyed distinct rows, dated and stamped: all of the flow but the score."""
+    n = _n(names)
     if round_billing:
         df = round_column(df, n("billing_amount"), 2)
     df = parse_dates(df, [n("date_of_admission"), n("discharge_date")], DATE_FORMAT)
@@ -101,6 +113,7 @@ def _score(
     rounding: str | None = None,
     types: Mapping[str, str] | None = None,
     columns: Sequence[str] = ADMISSIONS_OUTPUT,
+    **maxima: Column,
 ) -> DataFrame:
     """Stamped rows -> scored, typed rows in output order."""
     n = _n(names)
@@ -113,7 +126,8 @@ def _score(
         text_maxima=text_maxima,
         half_even=half_even,
         rounding=rounding,
-    )
+        **maxima,
+    ).drop("__age", "__billing")
     type_map = {**ADMISSIONS_TYPES, **(types or {})}
     df = cast_by_schema(df, {n(c): t for c, t in type_map.items()})
     return reorder_columns(df, [n(c) for c in columns])
@@ -147,6 +161,44 @@ def admissions_prepared(
     return _prepare(admissions_clean(raw, names, sentinels), batch_id, names)
 
 
+def admissions_keyed(
+    raw: DataFrame, names: Mapping[str, str] | None = None, sentinels=BLANK_SENTINELS
+) -> DataFrame:
+    """Rows as read, with the row key of their cleaned form: all that a stream
+    needs to drop what it has seen (``admissions_first_seen`` cleans the rest)."""
+    n = _n(names)
+    src = [n(c) for c in ADMISSIONS_SOURCE]
+    return raw.select(*src).withColumn(n("row_key"), content_key([unless_sentinel(c, sentinels) for c in src]))
+
+
+def admissions_first_seen(
+    keyed: DataFrame, names: Mapping[str, str] | None = None, sentinels=BLANK_SENTINELS
+) -> DataFrame:
+    """Distinct rows of ``admissions_keyed``, cleaned."""
+    n = _n(names)
+    src = [n(c) for c in ADMISSIONS_SOURCE]
+    return drop_blank_rows(blank_sentinels(keyed, sentinels, src), src)
+
+
+def admissions_scored(
+    rows: DataFrame,
+    names: Mapping[str, str] | None = None,
+    maxima: DataFrame | None = None,
+    types: Mapping[str, str] | None = None,
+    columns: Sequence[str] = ADMISSIONS_OUTPUT,
+) -> DataFrame:
+    """``admissions_rows`` scored and in output order; with ``maxima`` (rows
+    of ``partial_stats``) by the maxima of all batches together."""
+    n = _n(names)
+    if maxima is None:
+        return _score(rows, names, False, half_even=False, types=types, columns=columns)
+    stats = {"__age": (n("age"), "max"), "__billing": (n("billing_amount"), "max")}
+    return _score(
+        with_folded_stats(rows, maxima, stats), names, False, half_even=False, types=types, columns=columns,
+        max_age=F.col("__age"), max_billing=F.col("__billing"),
+    )
+
+
 def admissions_etl(
     raw: DataFrame,
     batch_id: str | int,

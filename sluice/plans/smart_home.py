@@ -16,7 +16,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from sluice.functions.columns import BLANK_SENTINELS_SMART_HOME
+from sluice.functions.columns import (
+    BLANK_SENTINELS_SMART_HOME,
+    content_key,
+    epoch_seconds_to_ntz,
+    unless_sentinel,
+)
 from sluice.operators.clean import Trace, blank_sentinels, dedup_rows, drop_blank_rows, traced
 from sluice.operators.shape import (
     add_totals,
@@ -86,6 +91,43 @@ def smart_home_clean(
     return traced(drop_blank_rows(df, src), "clean", trace)
 
 
+def smart_home_keyed(
+    raw: DataFrame,
+    names: Mapping[str, str] | None = None,
+    window: tuple[str, str] | None = None,
+    sentinels=BLANK_SENTINELS_SMART_HOME,
+) -> DataFrame:
+    """Readings as read, with the row key of their cleaned form: all that a
+    stream needs to drop what it has seen (``smart_home_first_seen`` then
+    cleans the rest)."""
+    n = _n(names)
+    src = [n(c) for c in SMART_HOME_SOURCE]
+    if window is not None:
+        raw = epoch_range(raw, n("time"), *window)
+    cells = [epoch_seconds_to_ntz(c) if c == n("time") else unless_sentinel(c, sentinels) for c in src]
+    return raw.select(*src).withColumn(n("row_key"), content_key(cells))
+
+
+def smart_home_first_seen(
+    keyed: DataFrame, names: Mapping[str, str] | None = None, sentinels=BLANK_SENTINELS_SMART_HOME
+) -> DataFrame:
+    """Distinct rows of ``smart_home_keyed``, cleaned."""
+    n = _n(names)
+    src = [n(c) for c in SMART_HOME_SOURCE]
+    timed = epoch_to_timestamp(keyed, n("time"))
+    return drop_blank_rows(blank_sentinels(timed, sentinels, [c for c in src if c != n("time")]), src)
+
+
+def smart_home_rows(
+    keyed: DataFrame, batch_id: str | int, names: Mapping[str, str] | None = None, types: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Keyed distinct readings, stamped and typed, with their totals: all of
+    the flow but the whole-table statistics."""
+    n = _n(names)
+    df = batch_stamp(keyed, batch_id, n("etl_batch_id"), n("etl_batch_date"))
+    return smart_home_totals(smart_home_typed(df, names, types), names)
+
+
 def smart_home_typed(
     df: DataFrame,
     names: Mapping[str, str] | None = None,
@@ -156,6 +198,4 @@ def smart_home_prepared(
     n = _n(names)
     src = [n(c) for c in SMART_HOME_SOURCE]
     df = smart_home_clean(raw, names, window, sentinels, day_col=day_col, trace=trace)
-    df = row_key(df, src, out=n("row_key"))
-    df = batch_stamp(df, batch_id, n("etl_batch_id"), n("etl_batch_date"))
-    return smart_home_totals(smart_home_typed(df, names, types), names)
+    return smart_home_rows(row_key(df, src, out=n("row_key")), batch_id, names, types)
