@@ -12,14 +12,21 @@ _EXPORTS = {
     "build_session": "sluice.session",
     "sizing_for": "sluice.session",
     "read_text_csv": "sluice.sources.csv",
+    "read_checked_csv": "sluice.sources.csv",
+    "read_csv_by_name": "sluice.sources.csv",
     "admissions_etl": "sluice.plans.admissions",
     "admissions_etl_reject": "sluice.plans.admissions",
     "smart_home_etl": "sluice.plans.smart_home",
     "run_admissions": "sluice.plans.runs",
     "run_smart_home": "sluice.plans.runs",
     "run_incremental": "sluice.streaming.incremental",
+    "smart_home_folded": "sluice.streaming.incremental",
+    "admissions_folded": "sluice.streaming.incremental",
     "keyed_upsert": "sluice.operators.upsert",
+    "merge_into": "sluice.operators.bucketed",
     "publish": "sluice.sinks.files",
+    "publish_version": "sluice.sinks.commits",
+    "read_published": "sluice.sinks.commits",
     "stage": "sluice.sinks.files",
 }
 

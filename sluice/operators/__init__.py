@@ -1,3 +1,4 @@
+from sluice.operators.bucketed import create_bucketed, merge_into, merged_with, read_bucketed  # noqa: F401
 from sluice.operators.clean import (  # noqa: F401
     blank_sentinels,
     dedup_rows,
@@ -8,12 +9,14 @@ from sluice.operators.clean import (  # noqa: F401
     trace_counts,
     traced,
 )
+from sluice.operators.partials import folded, partial_stats, with_folded_stats  # noqa: F401
 from sluice.operators.shape import (  # noqa: F401
     add_totals,
     cast_by_schema,
     day_prune,
     epoch_to_timestamp,
     format_amount,
+    in_windows,
     parse_dates,
     reorder_columns,
     replace_with_sum,
@@ -36,4 +39,4 @@ from sluice.operators.stats import (  # noqa: F401
     with_day_extremes,
     with_global_stats,
 )
-from sluice.operators.upsert import keyed_upsert  # noqa: F401
+from sluice.operators.upsert import create_keyed_table, keyed_upsert, upsert_buckets  # noqa: F401

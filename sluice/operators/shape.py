@@ -105,6 +105,33 @@ def time_range(
     return out if day_col is None else day_prune(out, day_col, lo, hi)
 
 
+def in_windows(
+    df: DataFrame, windows: DataFrame, time_col: str, day_col: str, lo: str = "lo", hi: str = "hi"
+) -> DataFrame:
+    """Rows of ``df`` whose ``time_col`` lies in any of the ``windows``
+    (a parameter table with inclusive timestamp bounds ``lo`` and ``hi``).
+
+    ``day_col`` is the date column that ``df`` is laid out by. The windows
+    are spread over the days they touch and joined on the day, so Spark reads
+    the small table first and then only its days' directories (dynamic
+    partition pruning), and a row is compared with the windows of its day
+    only. Windows that overlap return a row once. Bounds that are null or the
+    wrong way round hold nothing.
+
+    The table of windows is broadcast only where Spark finds it small enough
+    (``spark.sql.autoBroadcastJoinThreshold``); pruning needs that.
+    """
+    days = (
+        windows.where(F.col(lo) <= F.col(hi))
+        .select(
+            F.col(lo).alias("__lo"), F.col(hi).alias("__hi"),
+            F.explode(F.sequence(F.to_date(lo), F.to_date(hi))).alias("__day"),
+        )
+    )
+    inside = (F.col(day_col) == F.col("__day")) & F.col(time_col).between(F.col("__lo"), F.col("__hi"))
+    return df.join(days, inside, "left_semi")
+
+
 def epoch_range(df: DataFrame, col: str, lo: str, hi: str) -> DataFrame:
     """Rows whose epoch seconds lie in ``[lo, hi]`` (timestamp text, UTC).
 

@@ -9,9 +9,9 @@ and read the written files back.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.columns import (
@@ -22,6 +22,7 @@ from sluice.functions.columns import (
     round_half_even,
     round_half_up,
 )
+from sluice.operators.bucketed import create_bucketed, merge_into, read_bucketed
 from sluice.operators.clean import (
     blank_sentinels,
     dedup_rows,
@@ -34,6 +35,7 @@ from sluice.operators.shape import (
     cast_by_schema,
     epoch_to_timestamp,
     format_amount,
+    in_windows,
     parse_dates,
     reorder_columns,
     round_column,
@@ -78,14 +80,18 @@ from sluice.plans.smart_home import (
     with_power_stats,
 )
 from sluice.session import scratch_path
+from sluice.sinks.commits import publish_version, read_published
 from sluice.sinks.files import publish, stage, write_csv, write_unquoted_csv
-from sluice.sources.csv import read_text_csv
+from sluice.sources.csv import fitting_rows, misfit_lines, read_checked_csv, read_csv_by_name, read_text_csv
 from sluice.sources.fixtures import admissions_raw, smart_home_raw
 from sluice.sources.tables import read_table
 from sluice.streaming.incremental import (
     EPOCH_COLUMN,
+    FoldedFlow,
+    admissions_folded,
     admissions_job,
     run_incremental,
+    smart_home_folded,
     smart_home_job,
 )
 
@@ -100,6 +106,11 @@ PUBLISHED_ROWS_PER_FILE = 1_000_000
 UPSERT_RAISE = 1.05
 UPSERT_INSERTS = 10_000_000_000  # added to the keys of the batch's new rows
 UPSERT_BUCKETS = 16
+SHORT_FIELDS = 13  # fields of the lines that are too short
+DRIFT_MISSING = ("doctor", "medication")  # columns that one of the files lacks
+WINDOWS_FROM = "2024-01-02 05:00:00"
+STREAM_FILES = 5
+COUNTED_RUNS = 3
 # Figures that depend on the order sums are merged in are compared at this scale.
 COMPARED_SCALE = 6
 # Numeric source columns cast in place; the day-first dates go through
@@ -465,6 +476,144 @@ def q_smart_home_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _compared(out)
 
 
+# --- input that does not fit ----------------------------------------------------
+
+def _line(columns: Sequence[str]) -> Column:
+    """A CSV line of text columns; hospitals hold a comma and are quoted."""
+    def quoted(c: str) -> Column:
+        return F.when(F.col(c) != "", F.concat(F.lit('"'), c, F.lit('"'))).otherwise("") if c == "hospital" else F.col(c)
+
+    return F.concat_ws(",", *[quoted(c) for c in columns])
+
+
+def q_csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed lines with too few or too many fields or an unclosed quote;
+    every line is a fitting row or a misfit with its reason."""
+    path = scratch_path(spark, "csv_quarantine")
+    last = F.try_to_number("room_number", F.lit("999")).cast("int") % 10
+    line = _line(ADMISSIONS_SOURCE)
+    lines = admissions_raw(spark, sf_dir).select(
+        F.when(last == 3, _line(ADMISSIONS_SOURCE[:SHORT_FIELDS]))
+        .when(last == 5, F.concat(line, F.lit(",extra,more")))
+        .when(last == 7, F.replace(line, F.lit(' Group"'), F.lit(" Group")))
+        .otherwise(line)
+        .alias(",".join(ADMISSIONS_SOURCE))
+    )
+    write_unquoted_csv(spark, lines, path)
+    checked = read_checked_csv(spark, path, ADMISSIONS_SOURCE)
+    text = F.concat_ws("|", *[F.coalesce(c, F.lit("<null>")) for c in ADMISSIONS_SOURCE])
+    fits = fitting_rows(checked).select(F.lit("fits").alias("outcome"), text.alias("line"), F.lit(len(ADMISSIONS_SOURCE)).alias("n_fields"))
+    return fits.union(misfit_lines(checked).select("reason", "line", "n_fields"))
+
+
+def q_csv_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose headers differ in order and in columns, read by name."""
+    raw = admissions_raw(spark, sf_dir)
+    part = F.coalesce(F.try_to_number("room_number", F.lit("999")).cast("int") % 3, F.lit(0))
+    shapes = [
+        list(ADMISSIONS_SOURCE),
+        list(reversed(ADMISSIONS_SOURCE)),
+        [c for c in ADMISSIONS_SOURCE if c not in DRIFT_MISSING] + ["ward"],
+    ]
+    paths = [scratch_path(spark, f"csv_by_name_{n}") for n in range(len(shapes))]
+    for n, (columns, path) in enumerate(zip(shapes, paths)):
+        rows = raw.where(part == n).withColumn("ward", F.concat(F.lit("W"), "room_number"))
+        write_csv(rows.select(*columns), path)
+    return read_csv_by_name(spark, paths, [*ADMISSIONS_SOURCE, "ward"], required=["name"])
+
+
+# --- published versions and keyed tables in buckets --------------------------------
+
+def q_publish_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: two versions under one name; a reader of the first keeps it."""
+    root = scratch_path(spark, "published")
+    raw = admissions_raw(spark, sf_dir)
+    publish_version(admissions_clean(raw), root)
+    held = read_published(spark, root)
+    publish_version(admissions_rejected(raw), root)
+    return held.withColumn("version", F.lit(1)).union(read_published(spark, root).withColumn("version", F.lit(2)))
+
+
+def q_keyed_upsert_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: the merge into a table bucketed by key, whose rows aren't shuffled."""
+    existing, incoming = _upsert_sides(spark, sf_dir)
+    root = scratch_path(spark, "bucketed_table")
+    create_bucketed(existing, root, ["key"], "batch", UPSERT_BUCKETS)
+    merge_into(spark, root, incoming)
+    return read_bucketed(spark, root)
+
+
+def q_range_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: the orders in files that don't overlap in date, each sorted."""
+    path = scratch_path(spark, "range_publish")
+    publish(read_table(spark, sf_dir, "orders"), path, order_by=["o_orderdate", "o_orderkey"])
+    return spark.read.parquet(path)
+
+
+# --- windows from a parameter table ------------------------------------------------
+
+def window_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A parameter table: a window of a day and an hour for each region."""
+    return read_table(spark, sf_dir, "region").selectExpr(
+        "r_regionkey",
+        f"TIMESTAMP_NTZ'{WINDOWS_FROM}' + make_dt_interval(int(3 * r_regionkey)) AS lo",
+        f"TIMESTAMP_NTZ'{WINDOWS_FROM}' + make_dt_interval(int(3 * r_regionkey + 1), 1) AS hi",
+    )
+
+
+def q_time_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings laid out by day, in the windows of a parameter table
+    (those of odd regions); other days' files are not read."""
+    path = scratch_path(spark, "by_day")
+    timed = smart_home_timed(smart_home_raw(spark, sf_dir)).withColumn("day", F.to_date("time"))
+    publish(timed, path, partition_by=["day"])
+    windows = window_table(spark, sf_dir).where("r_regionkey % 2 = 1")
+    return in_windows(spark.read.parquet(path), windows, "time", "day").drop("day")
+
+
+# --- state across micro-batches --------------------------------------------------------
+
+def _in_files(raw: DataFrame, spark: SparkSession, name: str) -> str:
+    """``raw`` and a second copy of it dealt out over files, so that equal
+    rows lie in different files."""
+    landing = scratch_path(spark, f"{name}_landing")
+    write_csv(raw.union(raw).repartition(STREAM_FILES), landing)
+    return landing
+
+
+def _folded(spark: SparkSession, raw: DataFrame, flow: FoldedFlow, columns: Sequence[str], name: str) -> DataFrame:
+    root = scratch_path(spark, name)
+    flow.run(spark, _in_files(raw, spark, name), columns, root, batch_id_for=lambda _epoch: BATCH_ID, max_files_per_trigger=1)
+    return flow.result(spark, root)
+
+
+def q_smart_home_stream_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1, W1-W3 across runs: several micro-batches, a row once, and the
+    statistics of all of them."""
+    return _compared(
+        _folded(spark, smart_home_raw(spark, sf_dir), smart_home_folded(), SMART_HOME_SOURCE, "sh_folded")
+    )
+
+
+def q_admissions_stream_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1, A1 across runs: several micro-batches, scores by all maxima."""
+    return _folded(spark, admissions_raw(spark, sf_dir), admissions_folded(), ADMISSIONS_SOURCE, "adm_folded")
+
+
+def q_stream_step_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 in streams: the row counts after each step of every micro-batch."""
+    root = scratch_path(spark, "step_counts")
+    raw = admissions_raw(spark, sf_dir)
+    part = F.coalesce(F.try_to_number("room_number", F.lit("999")).cast("int") % COUNTED_RUNS, F.lit(0))
+    for n in range(COUNTED_RUNS):  # one run per landed slice
+        write_csv(raw.where(part == n), f"{root}/landing", mode="append")
+        run_incremental(
+            spark, admissions_job(), f"{root}/landing", ADMISSIONS_SOURCE, f"{root}/rows", f"{root}/checkpoint",
+            batch_id_for=lambda _epoch: BATCH_ID, stage_dir=f"{root}/stage", counts_dir=f"{root}/counts",
+        )
+    return spark.read.parquet(f"{root}/counts").select(EPOCH_COLUMN, "step", "rows")
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

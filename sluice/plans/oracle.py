@@ -385,6 +385,58 @@ SELECT key, amount, status, batch FROM (
   FROM u) WHERE rn = 1"""
 
 
+_ROOM = "TRY_CAST(room_number AS INTEGER)"
+
+
+def _quarantine_sql() -> str:
+    def line(cols) -> str:
+        texts = [
+            "CASE WHEN hospital <> '' THEN '\"' || hospital || '\"' ELSE '' END" if c == "hospital" else _q(c) for c in cols
+        ]
+        return "concat_ws(',', " + ", ".join(texts) + ")"
+
+    whole, short = line(ADM), line(ADM[: C.SHORT_FIELDS])
+    fits = "concat_ws('|', " + ", ".join(f"coalesce(nullif({_q(c)}, ''), '<null>')" for c in ADM) + ")"
+    return _adm(f"""SELECT
+  CASE {_ROOM} % 10 WHEN 3 THEN 'short' WHEN 5 THEN 'long' WHEN 7 THEN 'unclosed quote' ELSE 'fits' END AS outcome,
+  CASE {_ROOM} % 10 WHEN 3 THEN {short} WHEN 5 THEN {whole} || ',extra,more'
+    WHEN 7 THEN replace({whole}, ' Group"', ' Group') ELSE {fits} END AS line,
+  CASE {_ROOM} % 10 WHEN 3 THEN {C.SHORT_FIELDS} WHEN 5 THEN {len(ADM) + 2} WHEN 7 THEN NULL ELSE {len(ADM)} END AS n_fields
+FROM admissions_raw""")
+
+
+def _by_name_sql() -> str:
+    third = f"coalesce({_ROOM} % 3, 0) = 2"
+    cols = [
+        f"CASE WHEN {third} THEN NULL ELSE nullif({_q(c)}, '') END AS {_q(c)}" if c in C.DRIFT_MISSING
+        else f"nullif({_q(c)}, '') AS {_q(c)}"
+        for c in ADM
+    ]
+    return _adm("SELECT " + ", ".join(cols) + f", CASE WHEN {third} THEN 'W' || room_number END AS ward FROM admissions_raw")
+
+
+def _versions_sql() -> str:
+    return _adm(
+        "SELECT *, 1 AS version FROM adm_clean UNION ALL SELECT *, 2 AS version FROM adm_reject", ADM_CLEAN, ADM_REJECT
+    )
+
+
+def _windows_sql() -> str:
+    return _with(SMART_HOME_RAW, _sh_timed()) + f"""SELECT * FROM sh_timed t WHERE EXISTS (
+  SELECT 1 FROM region WHERE r_regionkey % 2 = 1 AND t.time BETWEEN
+    TIMESTAMP '{C.WINDOWS_FROM}' + to_days(CAST(3 * r_regionkey AS INTEGER))
+    AND TIMESTAMP '{C.WINDOWS_FROM}' + to_days(CAST(3 * r_regionkey + 1 AS INTEGER)) + INTERVAL 1 HOUR)"""
+
+
+def _step_counts_sql() -> str:
+    blank = ", ".join(f"{blank_sql(c, BLANK_SENTINELS)} AS {_q(c)}" for c in ADM)
+    counted = f"""landed AS (SELECT CAST(coalesce({_ROOM} % {C.COUNTED_RUNS}, 0) AS INTEGER) AS epoch, * FROM admissions_raw),
+uniq AS (SELECT DISTINCT epoch, {blank} FROM landed)"""
+    return _adm(f"""SELECT epoch, 'read' AS step, count(*) AS rows FROM landed GROUP BY epoch
+UNION ALL SELECT epoch, 'distinct', count(*) FROM uniq GROUP BY epoch
+UNION ALL SELECT epoch, 'clean', count(*) FILTER (NOT ({all_null_sql(ADM)})) FROM uniq GROUP BY epoch""", counted)
+
+
 def oracle_queries() -> dict[str, str]:
     adm_cols = ", ".join(_q(c) for c in ADM)
     blanked = ", ".join(f"{blank_sql(c, BLANK_SENTINELS)} AS {_q(c)}" for c in ADM)
@@ -527,6 +579,15 @@ def oracle_queries() -> dict[str, str]:
         "describe_power": _sh(_describe()),
         "smart_home_etl": _smart_home_etl_sql(),
         "smart_home_stream": _smart_home_etl_sql(),
+        "smart_home_stream_folded": _smart_home_etl_sql(),
+        "admissions_stream_folded": _adm_etl_sql(),
+        "stream_step_counts": _step_counts_sql(),
+        "csv_quarantine": _quarantine_sql(),
+        "csv_by_name": _by_name_sql(),
+        "publish_versions": _versions_sql(),
+        "keyed_upsert_in_place": _upsert(),
+        "range_publish": "SELECT * FROM orders",
+        "time_windows": _windows_sql(),
         "admissions_stream": _adm_etl_sql(),
         "smart_home_etl_window": _smart_home_etl_sql((lo, hi)),
     }

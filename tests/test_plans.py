@@ -159,3 +159,77 @@ def test_after_the_stage_the_jobs_do_not_shuffle(spark, sf_small):
         assert "Exchange RoundRobinPartitioning" not in text, name
         # only the statistics subquery's one-row merge crosses tasks
         assert text.count("Exchange SinglePartition") == 1, name
+
+
+# --- windows from a table, files that don't overlap ------------------------------
+
+
+def test_windows_of_a_table_prune_days(spark, tmp_path):
+    from sluice.operators.shape import in_windows
+    from sluice.sinks.files import publish
+
+    path = str(tmp_path / "by_day")
+    times = spark.range(10 * 24).selectExpr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, int(id)) AS time")
+    publish(times.selectExpr("time", "to_date(time) AS day"), path, partition_by=["day"])
+    windows = spark.createDataFrame(
+        [("a", "2024-01-02 22:00:00", "2024-01-03 01:00:00"), ("b", "2024-01-03 00:00:00", "2024-01-03 02:00:00"),
+         ("c", "2024-01-09 00:00:00", "2024-01-08 00:00:00"), ("d", None, "2024-01-08 00:00:00")],
+        "name string, lo string, hi string",
+    ).selectExpr("name", "CAST(lo AS TIMESTAMP_NTZ) AS lo", "CAST(hi AS TIMESTAMP_NTZ) AS hi")
+    windows.write.parquet(str(tmp_path / "windows"))
+    windows = spark.read.parquet(str(tmp_path / "windows"))
+    out = in_windows(spark.read.parquet(path), windows, "time", "day")
+    got = [r["time"].strftime("%d %H") for r in out.orderBy("time").collect()]
+    assert got == ["02 22", "02 23", "03 00", "03 01", "03 02"]  # an overlap gives a row once
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    files = {d: len(list(tmp_path.glob(f"by_day/day=2024-01-{d}/*.parquet"))) for d in ("02", "03")}
+    assert _scan_metrics(out)["numFiles"] == sum(files.values()) < len(list(tmp_path.glob("by_day/*/*.parquet")))
+
+
+def _scan_metrics(df):
+    """Metrics of a partitioned file scan of ``df``'s executed plan, else of any."""
+    jdf = df._jdf
+    jdf.collectToPython()  # runs this plan object, whose metrics are read
+    found, stack = {}, [jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            stack.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            stack.append(node.plan())
+        elif name.startswith("Scan "):
+            metrics = node.metrics()
+            for key in ("numFiles", "numPartitions", "numOutputRows"):
+                if metrics.contains(key):
+                    found[key] = metrics.apply(key).value()
+            if "numPartitions" in found:
+                return found
+        children = node.children()
+        stack.extend(children.apply(i) for i in range(children.size()))
+    return found
+
+
+def test_ordered_files_do_not_overlap_and_a_range_skips_some(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from sluice.sinks.files import publish
+
+    path = str(tmp_path / "ordered")
+    df = spark.range(20_000).selectExpr("(id * 7919) % 20000 AS k", "id % 3 AS g").repartition(6)
+    publish(df, path, order_by=["k", "g"], num_files=8, options={"parquet.block.size": "32768"})
+    ranges = []
+    for file in glob.glob(f"{path}/*.parquet"):
+        keys = pq.read_table(file)["k"].to_pylist()
+        assert keys == sorted(keys)
+        ranges.append((keys[0], keys[-1]))
+    ranges.sort()
+    assert len(ranges) == 8 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    some = spark.read.parquet(path).where("k BETWEEN 5000 AND 5400")
+    assert some.count() == 401
+    assert _scan_metrics(some)["numOutputRows"] < 4_000  # the row groups of one file or two
+    with pytest.raises(ValueError):
+        publish(df, path, order_by=["k"], partition_by=["g"])
