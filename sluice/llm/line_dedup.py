@@ -69,9 +69,12 @@ def dedup_lines(
     )
     lines_of = F.split("text", "\n")
     kept_at = F.array_except(F.sequence(F.lit(0), F.size(lines_of) - 1), F.col("drops"))
-    kept = F.when(F.col("drops").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(kept_at, lambda i: F.get(lines_of, i)), "\n")
+    # The lines are bound once: inside the inner lambda they would be split
+    # from the text anew for every line that stays.
+    joined = F.transform(
+        F.array(lines_of), lambda lines: F.array_join(F.transform(kept_at, lambda i: F.get(lines, i)), "\n")
     )
+    kept = F.when(F.col("drops").isNull(), F.col("text")).otherwise(F.get(joined, F.lit(0)))
     out = packed.join(drops, ["id", "version"], "left").select(
         "row",
         kept.alias("kept"),

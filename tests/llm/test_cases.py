@@ -61,6 +61,19 @@ def test_line_dedup(docs, none):
     assert dedup_lines(none).count() == 0
 
 
+def test_line_dedup_of_a_very_long_document(spark):
+    import time
+
+    shared = [f"a line that both of them hold {i}" for i in range(1000)]
+    own = [f"own line {i} of it" for i in range(300_000)]
+    mixed = own[:100_000] + shared + own[100_000:]
+    docs = spark.createDataFrame([(1, "\n".join(shared)), (2, "\n".join(mixed))], "doc_id long, text string")
+    start = time.perf_counter()
+    got = {r["doc_id"]: r for r in dedup_lines(docs).collect()}
+    assert got[2]["text"] == "\n".join(own) and got[2]["n_dropped"] == 1000 and got[1]["n_dropped"] == 0
+    assert time.perf_counter() - start < 60
+
+
 def test_license_scan(spark, docs, none):
     assert scan_licenses(docs).count() == 0 and scan_licenses(none).count() == 0
     odd = spark.createDataFrame([(None, "x\nReleased under the MIT License. y"), (1, "MIT")], "doc_id long, text string")
