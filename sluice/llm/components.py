@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.store import stage
+from sluice.llm.store import free, stage
 
 
 def connected_components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -54,13 +54,14 @@ def connected_components(links: DataFrame, known: DataFrame | None = None) -> Da
             "step",
         )
         steps.append(step)
-        edges = stage(
+        before, edges = edges, stage(
             edges.join(step.toDF("a", "x"), "a").join(step.toDF("b", "y"), "b")
             .where("x <> y")
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
             .distinct(),
             "links",
         )
+        free(before)
     if not steps:
         return edges.selectExpr("a AS node", "a AS component")
 
@@ -70,7 +71,9 @@ def connected_components(links: DataFrame, known: DataFrame | None = None) -> Da
 
     labels = stage(reduce(follow, steps[1:], steps[0].toDF("node", "label")), "labels")
     smallest = labels.groupBy("label").agg(F.min("node").alias("component"))
-    return stage(labels.join(smallest, "label").select("node", "component"), "components")
+    out = stage(labels.join(smallest, "label").select("node", "component"), "components")
+    free(edges, labels, *steps)
+    return out
 
 
 def local_components(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:

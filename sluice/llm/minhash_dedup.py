@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.components import connected_components, local_components
-from sluice.llm.store import col, stage
+from sluice.llm.store import col, free, stage
 
 CHUNKS, CHUNK = 8, 4
 HASHES = CHUNKS * CHUNK
@@ -235,6 +235,7 @@ def near_duplicates(
     # largest component, against all members of other components.
     members = groups.select("key", "node", "n", "members").join(labels, "node", "left")
     members = stage(members.withColumn("component", F.coalesce("component", "node")), "members")
+    free(groups, alike, links)
     weight = F.greatest("n", F.lit(LEAST_WEIGHT))
     of_key = stage(
         members.groupBy("key", "component").agg(F.struct(F.count("*").alias("c"), "component").alias("size"), F.sum(weight).alias("w"))
@@ -258,12 +259,15 @@ def near_duplicates(
     )
     more = confirm(pairs).union(_tile_links(large, sets, percent, kind))
     labels = connected_components(more, labels)
+    free(members, of_key, split, sets)
 
     named = (
         classes.select("set_1", "set_2", "node").join(labels, "node", "left")
         .select("set_1", "set_2", F.coalesce("component", "node").alias("component_id"))
     )
-    out = signed.drop("keys").join(stage(named, "classes"), ["set_1", "set_2"], "left")
+    named = stage(named, "classes")
+    free(classes)
+    out = signed.drop("keys").join(named, ["set_1", "set_2"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select(
         F.col("id").alias(id_col),

@@ -26,8 +26,8 @@ def shared_dir(spark: SparkSession) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to shared storage and read it back.
 
-    The table lives as long as the session: it is deleted when the driver's
-    file system client closes.
+    The table lives until ``free``, or as long as the session: it is deleted
+    when the driver's file system client closes.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
@@ -35,7 +35,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def free(*staged: DataFrame) -> None:
+    """Delete tables of ``stage`` whose readers have all been staged themselves."""
+    for df in staged:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def col(name: str) -> Column:
