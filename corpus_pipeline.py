@@ -37,11 +37,19 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: the smallest id of each group of near copies stays."""
-    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id")
+    """Operator 3: the smallest id of each group of near copies stays, and of
+    rows alike in id and text one. Rows of a null id all stay."""
     columns = [col(c) for c in docs.columns]
-    stay = docs.join(kept, "doc_id", "left_semi").select(*columns)
-    return stay.union(docs.where("doc_id IS NULL").select(*columns))
+    dropped = stage(near_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "near-copies")
+    keyed = docs.join(dropped, "doc_id", "left_anti").withColumn("__row_text", F.xxhash64("text"))
+    key = ["doc_id", "__row_text"]
+    repeated = stage(
+        docs.where("doc_id IS NOT NULL").groupBy("doc_id", F.xxhash64("text").alias("__row_text"))
+        .count().where("count > 1").select(*key),
+        "repeated-rows",
+    )
+    once = keyed.join(repeated, key, "left_semi").dropDuplicates(key)
+    return keyed.join(repeated, key, "left_anti").select(*columns).union(once.select(*columns))
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
