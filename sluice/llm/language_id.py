@@ -39,26 +39,28 @@ def _folding() -> np.ndarray:
 def subwords(text: str) -> Iterator[np.ndarray]:
     """Bucket numbers of the text's character n-grams, part by part.
 
-    Letters are lower-cased and everything else is a blank, one at a time.
-    Yields nothing if the text has no letter.
+    Letters are lower-cased, everything else is a blank, one at a time, and
+    the text begins and ends with one. Every n-gram comes once, wherever the
+    parts meet. Yields nothing if the text has no letter.
     """
+    text = f" {text.lower()} "
+    before, after_blank = np.zeros(0, dtype=np.uint64), False
     for start in range(0, len(text), PART):
-        part = text[start : start + PART + max(SIZES) - 1]
-        points = np.frombuffer(f" {part.lower()} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        points = _folding()[points]
+        part = text[start : start + PART]
+        points = _folding()[np.frombuffer(part.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
         blank = points == 32
-        keep = np.ones(len(points), dtype=bool)
-        keep[1:] = ~(blank[1:] & blank[:-1])
-        points = points[keep].astype(np.uint64)
-        if len(points) < 3:
-            continue
+        keep = ~(blank & np.append(after_blank, blank[:-1]))
+        after_blank = blank[-1]
+        points = np.concatenate([before, points[keep].astype(np.uint64)])
         rolled = points
         for n in range(2, max(SIZES) + 1):
             if len(points) < n:
                 break
             rolled = rolled[:-1] * np.uint64(0x100000001B3) + points[n - 1 :]
-            if n in SIZES:
-                yield (rolled * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+            if n in SIZES:  # without those of the parts before alone
+                fresh = rolled[max(0, len(before) - n + 1) :]
+                yield (fresh * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+        before = points[-(max(SIZES) - 1) :]
 
 
 @dataclass(frozen=True)
