@@ -10,6 +10,8 @@ shuffle.
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -21,7 +23,27 @@ from pyspark.sql import functions as F
 
 from sluice.llm.store import col
 
-# Public license notices.
+# Public license texts and notices, whole.
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution. "
+)
+_BSD_NAMES = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission. "
+)
+_BSD_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+    "PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+    "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+    "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY "
+    "OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
 TEMPLATES = {
     "apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-notice": (
@@ -39,18 +61,22 @@ TEMPLATES = {
         "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
         "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
         "conditions: The above copyright notice and this permission notice shall be included in all copies or "
-        "substantial portions of the Software."
-    ),
-    "bsd-2-clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-        "the following conditions are met: Redistributions of source code must retain the above copyright notice, this "
-        "list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above "
-        "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
-        "materials provided with the distribution."
+        "substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR "
+        "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+        "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
     ),
+    "bsd-2-clause": _BSD + _BSD_DISCLAIMER,
+    "bsd-3-clause": _BSD + _BSD_NAMES + _BSD_DISCLAIMER,
     "isc": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
-        "granted, provided that the above copyright notice and this permission notice appear in all copies."
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE "
+        "IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+        "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER "
+        "IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+        "PERFORMANCE OF THIS SOFTWARE."
     ),
     "gpl-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
     "gpl-3.0-notice": (
@@ -103,9 +129,10 @@ def winnow(hashes: np.ndarray) -> list[int]:
     })
 
 
-def align(doc: np.ndarray, template: np.ndarray, shift: int) -> tuple[int, int, int]:
-    """(words matched, first, beyond last) of the best local alignment in the
-    band around ``doc[shift + i] ~ template[i]``; a match is 2, else -1."""
+def align(doc: np.ndarray, template: np.ndarray, shift: int) -> tuple[int, int, int, int]:
+    """(score, words matched, first, beyond last) of the best local alignment
+    in the band around ``doc[shift + i] ~ template[i]``, the first of a tie; a
+    match is 2, else -1."""
     low, best = shift - BAND, (0, 0, 0, 0)
     width = 2 * BAND + 1
     # Cell: (score, matches, first document word); index = document word - row - low.
@@ -131,7 +158,58 @@ def align(doc: np.ndarray, template: np.ndarray, shift: int) -> tuple[int, int,
             if left[0] > best[0]:
                 best = (*left, at + 1)
         above = [*here, (0, 0, -1)]
-    return best[1:] if best[0] else (0, 0, 0)
+    return best
+
+
+class _Free:
+    """What of a document's words no place of a template has taken yet."""
+
+    def __init__(self, size: int):
+        self.starts, self.ends = [0], [size]
+
+    def gap(self, word: int) -> tuple[int, int] | None:
+        at = bisect.bisect_right(self.starts, word) - 1
+        return (self.starts[at], self.ends[at]) if at >= 0 and word < self.ends[at] else None
+
+    def take(self, first: int, beyond: int) -> None:
+        at = bisect.bisect_right(self.starts, first) - 1
+        start, end = self.starts[at], self.ends[at]
+        self.starts[at : at + 1], self.ends[at : at + 1] = [start, beyond], [first, end]
+
+
+def places(
+    doc: np.ndarray, template: np.ndarray, hits: dict[int, list[int]], least: float
+) -> list[tuple[int, int, int]]:
+    """All (matched, first, beyond) of ``template`` in ``doc``, no two of which
+    overlap, with ``least`` words matched or more.
+
+    ``hits`` are the words by diagonal at which fingerprints match. The best
+    alignment around any diagonal is taken first; those that overlap it are
+    aligned again in what is left on either side.
+    """
+    free, found, queue, tried = _Free(len(doc)), [], [], set()
+
+    def look(shift: int) -> None:
+        for word in hits[shift]:
+            gap = free.gap(word)
+            if gap is None or (shift, gap) in tried:
+                continue
+            tried.add((shift, gap))
+            start, end = gap
+            score, matched, first, beyond = align(doc[start:end], template, shift - start)
+            if matched and matched >= least:
+                heapq.heappush(queue, (-score, start + first, start + beyond, matched, shift))
+
+    for shift in sorted(hits):
+        look(shift)
+    while queue:
+        _, first, beyond, matched, shift = heapq.heappop(queue)
+        gap = free.gap(first)
+        if gap is not None and beyond <= gap[1]:
+            found.append((matched, first, beyond))
+            free.take(first, beyond)
+        look(shift)
+    return found
 
 
 class Index:
@@ -161,24 +239,18 @@ class Index:
         hits = np.flatnonzero(self.hashes[np.minimum(at, len(self.hashes) - 1)] == found)
         if not len(hits):
             return
-        diagonals = sorted({(t, int(p) - q) for p in hits for t, q in self.places[int(found[p])]})
-        reports: list[tuple[int, int, int, int]] = []
-        last = (-1, 0)
-        for t, shift in diagonals:
-            if t == last[0] and shift - last[1] < BAND:
-                continue
-            last = (t, shift)
-            matched, first, beyond = align(doc, self.words[t], shift)
-            if matched and matched >= least * len(self.words[t]):
-                reports.append((t, matched, first, beyond))
-        reports.sort(key=lambda r: (r[0], -r[1], r[2]))
-        kept: list[tuple[int, int, int, int]] = []
-        for r in reports:
-            if not any(k[0] == r[0] and k[2] < r[3] and r[2] < k[3] for k in kept[-64:]):
-                kept.append(r)
+        by_template: dict[int, dict[int, list[int]]] = {}
+        for p in hits.tolist():
+            for t, q in self.places[int(found[p])]:
+                by_template.setdefault(t, {}).setdefault(p - q, []).append(p)
+        kept = [
+            (first, t, beyond, matched)
+            for t, diagonals in by_template.items()
+            for matched, first, beyond in places(doc, self.words[t], diagonals, least * len(self.words[t]))
+        ]
         if kept:
             spans = [m.span() for m in _WORD.finditer(text)]
-            for t, matched, first, beyond in sorted(kept, key=lambda k: (k[2], k[0])):
+            for first, t, beyond, matched in sorted(kept):
                 n = len(self.words[t])
                 yield self.names[t], matched / n, matched, n, first, beyond, spans[first][0], spans[beyond - 1][1]
 
@@ -196,8 +268,10 @@ def scan_licenses(
     template's words that match, at least ``min_coverage``), ``n_matched``,
     ``n_template_words``, and the span in words and in characters, ends
     exclusive. Words are runs of word characters, compared in lower case. A
-    template within another one is reported beside it. Of overlapping places
-    of one template the one with most matches counts, the first of a tie.
+    template within another one is reported beside it. Places of one template
+    don't overlap: of two that would, the one of the better alignment counts
+    (the first of a tie), and what is left of the other if it still reaches
+    ``min_coverage``.
 
     A stretch that shares six words in a row with a template is always a
     candidate. Null, empty and unlicensed texts give no row; repeated rows and
