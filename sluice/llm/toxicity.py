@@ -132,7 +132,14 @@ class ToxicityModel:
                 excepted.append((start, end))
             elif weight > best.get(start, 0.0):
                 best[start] = weight
-        total = sum(w for at, w in best.items() if not any(a <= at < b for a, b in excepted))
+        # Both in order of place: one pass over the spans.
+        total, spans, inside = 0.0, iter(sorted(excepted)), -1
+        span = next(spans, None)
+        for at in sorted(best):
+            while span is not None and span[0] <= at:
+                inside, span = max(inside, span[1]), next(spans, None)
+            if at >= inside:
+                total += best[at]
         return total / math.log2(len(words) + 8)
 
     def score(self, text: str | None) -> float:
@@ -169,18 +176,21 @@ def train(
     label_col: str = "toxic",
     lexicon_size: int = 20_000,
     min_docs: int = 8,
-    min_weight: float = 3.0,
+    min_weight: float = 2.5,
+    min_share: float = 2.0,
     exceptions: tuple[str, ...] = EXCEPTIONS,
     weight_col: str | None = None,
 ) -> ToxicityModel:
     """Lexicon and calibration from rows labelled 0 or 1.
 
     A feature is a folded word or a word's beginning; its weight is the
-    logarithm of how much more often, at the least, toxic documents hold it
-    (counts two standard errors against it). The lexicon
+    logarithm of how much more often, at the least, words of toxic documents
+    have it: by its rate, since a word that clean texts hold now and then may
+    fill toxic ones. The lexicon
     keeps the ``lexicon_size`` features with most evidence of those that
     ``min_docs`` toxic documents hold, with a weight of ``min_weight`` at
-    least. Counts come to the driver for these only. Without toxic or without
+    least, and that ``min_share`` times as large a share of the toxic documents
+    holds as of the clean ones (two standard errors against it). Counts come to the driver for these only. Without toxic or without
     clean rows the lexicon is empty and every text has the same score.
 
     ``weight_col`` tells how many rows of its label a sampled row stands for;
@@ -193,13 +203,13 @@ def train(
     ).where("label IN (0, 1)")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, counted = _Folded(), (Counter(), Counter())
+        memory, counted = _Folded(), [Counter() for _ in range(4)]  # words of each label, then documents
 
         def flush() -> pa.RecordBatch:
             names = list(counted[0] | counted[1])
             batch = pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.string()), *(pa.array([c[f] for f in names], pa.int64()) for c in counted)],
-                names=["feature", "clean", "toxic"],
+                names=["feature", "clean", "toxic", "clean_docs", "toxic_docs"],
             )
             for c in counted:
                 c.clear()
@@ -207,50 +217,60 @@ def train(
 
         for batch in batches:
             for text, label in zip(batch.column(0), batch.column(1)):
-                words = set(folded_words(text.as_py(), memory))
-                counter = counted[label.as_py()]
-                counter.update({f for w in words for f in word_features(w)})
-                counter[""] += 1
+                words = folded_words(text.as_py(), memory)
+                found: Counter[str] = Counter()
+                for word, times in Counter(words).items():
+                    for feature in word_features(word):
+                        found[feature] += times
+                found[""] = len(words)
+                label = label.as_py()
+                counted[label].update(found)
+                counted[2 + label].update(dict.fromkeys(found, 1))
                 if len(counted[0]) + len(counted[1]) > COUNTED_TOGETHER:
                     yield flush()
         yield flush()
 
+    sums = ["clean", "toxic", "clean_docs", "toxic_docs"]
     counts = (
-        rows.select("text", "label").mapInArrow(count, "feature string, clean long, toxic long")
-        .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .where(f"feature = '' OR toxic >= {int(min_docs)}")
+        rows.select("text", "label").mapInArrow(count, "feature string, " + ", ".join(f"{c} long" for c in sums))
+        .groupBy("feature").agg(*[F.sum(c).alias(c) for c in sums])
+        .where(f"feature = '' OR toxic_docs >= {int(min_docs)}")
     )
     total = counts.where("feature = ''").head()
-    if total is None or not total["clean"] or not total["toxic"]:
+    if total is None or not total["clean_docs"] or not total["toxic_docs"]:
         full = rows.agg(*[F.sum(F.when(F.col("label") == x, F.col("n"))).cast("double") for x in (0, 1)]).head()
         clean, toxic = (n or 0.0 for n in full)
         share = (toxic + 0.5) / (toxic + clean + 1) if total else 0.02
         return ToxicityModel({}, exceptions, 0.0, math.log(share / (1 - share)))
-    # Counts are taken two standard errors against the feature, so that words
-    # which are merely rare don't add up in long texts.
-    least_toxic = F.greatest(F.col("toxic") - 2 * F.sqrt("toxic"), F.lit(0.5))
-    most_clean = F.col("clean") + 2 * F.sqrt("clean") + 2
-    weight = F.log(least_toxic / total["toxic"]) - F.log(most_clean / total["clean"])
+    # Rates are taken a standard error against the feature; a document's words
+    # come together, so its error is that of the number of documents. Where few
+    # documents hold very many of them, the documents alone must speak as well.
+    least_toxic = F.col("toxic") * (1 - 1 / F.sqrt("toxic_docs"))
+    most_clean = F.col("clean") * (1 + F.coalesce(F.try_divide(F.lit(1.0), F.sqrt("clean_docs")), F.lit(0.0))) + 2
+    weight = F.log(least_toxic / max(total["toxic"], 1)) - F.log(most_clean / max(total["clean"], 1))
+    toxic_share = F.greatest(F.col("toxic_docs") - 2 * F.sqrt("toxic_docs"), F.lit(0.5)) / total["toxic_docs"]
+    clean_share = (F.col("clean_docs") + 2 * F.sqrt("clean_docs") + 2) / total["clean_docs"]
     chosen = (
-        counts.where("feature <> ''").withColumn("weight", weight).where(F.col("weight") >= min_weight)
-        .orderBy((F.col("weight") * F.log1p("toxic")).desc(), "feature").limit(lexicon_size)
+        counts.where("feature <> ''").withColumn("weight", weight)
+        .where((F.col("weight") >= min_weight) & (toxic_share >= min_share * clean_share))
+        .orderBy((F.col("weight") * F.log1p("toxic_docs")).desc(), "feature").limit(lexicon_size)
     )
     model = ToxicityModel({r["feature"]: r["weight"] for r in chosen.collect()}, exceptions)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [round(16 * model.weight(text.as_py())) for text in batch.column(0)]
+            found = [round(64 * model.weight(text.as_py())) for text in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found, pa.int64()), batch.column(1), batch.column(2)], names=["bin", "label", "n"]
             )
 
     bins = (
         rows.mapInArrow(weigh, "bin long, label int, n decimal(28,9)")
-        .groupBy(F.least("bin", F.lit(4096)).alias("bin"))
+        .groupBy(F.least("bin", F.lit(1 << 14)).alias("bin"))
         .agg(F.sum("n").cast("double").alias("n"), F.sum(F.expr("IF(label = 1, n, 0)")).cast("double").alias("toxic"))
         .toPandas()
     )
-    slope, offset = fit_logistic(bins["bin"].to_numpy() / 16, bins["n"].to_numpy(float), bins["toxic"].to_numpy(float))
+    slope, offset = fit_logistic(bins["bin"].to_numpy() / 64, bins["n"].to_numpy(float), bins["toxic"].to_numpy(float))
     return ToxicityModel(model.lexicon, exceptions, slope, offset)
 
 

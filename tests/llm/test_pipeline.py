@@ -95,3 +95,13 @@ def test_pipeline_equals_plain_python(spark):
     lengths = {r["doc_id"]: r["n"] for r in frame.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
     assert lengths == {i: len(encoder.encode_ordinary(t)) + 1 for i, t in want.items()}
     assert frame.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
+
+
+def test_near_copies_keep_one_row_of_each_group(spark):
+    text = "some words that are long enough to make a shingle or two of them"
+    rows = [(1, text), (1, text), (2, text), (3, "other words, of which none is in the first"), (3, "and a text of its own"),
+            (4, None), (4, None), (None, text), (None, text)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS row_text")
+    got = sorted((tuple(r) for r in corpus_pipeline.near_copies(spark, docs, SF).collect()), key=repr)
+    want = [(1, text, "x"), (3, rows[3][1], "x"), (3, rows[4][1], "x"), (4, None, "x"), (None, text, "x"), (None, text, "x")]
+    assert got == sorted(want, key=repr)

@@ -4,9 +4,11 @@ round trips and held-out accuracy."""
 import itertools
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sluice.llm import decontaminate, language_id, license_scan, packing, toxicity
@@ -28,36 +30,89 @@ def documents(spark):
 # Operator 2
 
 
-def test_license_scan_equals_alignment_everywhere(spark, documents):
-    """Every template aligned at every tenth position of every short document."""
-    some = [r for r in documents.collect() if len(r["text"]) < 1500]
+def words_of(text):
+    return [w.lower() for w in re.findall(r"\w+", text)]
+
+
+def whole_alignment(doc, template):
+    """(score, matched, first, beyond) of the best local alignment anywhere
+    that drifts by no more than a band's width."""
+    none = (0, 0, 0, 0, 0)  # score, matched, first word, least and greatest diagonal
+    best, above = (0, 0, 0, 0), [none] * (len(doc) + 1)
+    for row, word in enumerate(template):
+        here = [none]
+        for at, other in enumerate(doc):
+            moves = []
+            for (score, matched, first, low, high), gain in ((above[at], 2 if word == other else -1), (above[at + 1], -1), (here[at], -1)):
+                if score:
+                    low, high = min(low, at - row), max(high, at - row)
+                elif gain == 2:
+                    first, low, high = at, at - row, at - row
+                if high - low <= 2 * license_scan.BAND:
+                    moves.append((score + gain, matched + (gain == 2), first, low, high))
+            cell = max(moves, key=lambda c: c[0], default=none)
+            here.append(cell if cell[0] > 0 else none)
+            if cell[0] > best[0]:
+                best = (*cell[:3], at + 1)
+        above = here
+    return best
+
+
+def brute_places(doc, template, least):
+    if sum((Counter(doc) & Counter(template)).values()) < least:
+        return []
+    _, matched, first, beyond = whole_alignment(doc, template)
+    if not matched or matched < least:
+        return []
+    left = brute_places(doc[:first], template, least)
+    right = [(m, f + beyond, b + beyond) for m, f, b in brute_places(doc[beyond:], template, least)]
+    return [*left, (matched, first, beyond), *right]
+
+
+def test_license_scan_finds_every_place_and_its_span(spark, documents):
+    """Against unbanded alignments of every template with every short document."""
+    some = [(r["doc_id"], r["text"]) for r in documents.collect() if len(r["text"]) < 700][:60]
     rng = np.random.default_rng(1)
     for n, (name, template) in enumerate(TEMPLATES.items()):
         words = template.split()
+        some.append((10**6 + n, f"before it\n{template} {template}\nand {template}"))
         if len(words) > 20:  # two words changed, one dropped, one put in
             for at in rng.choice(np.arange(5, len(words) - 5), 2, replace=False):
                 words[at] = "changed"
             del words[7]
             words.insert(12, "inserted")
-        some.append({"doc_id": 10**6 + n, "text": "before it\n" + " ".join(words) + "\nafter it"})
-    index, memory, want = license_scan.Index(TEMPLATES), license_scan._Words(), set()
-    for r in some:
-        doc = np.fromiter((memory[w] for w in re.findall(r"\w+", r["text"])), dtype=np.uint64)
-        for name, template in zip(index.names, index.words):
-            step = license_scan.BAND
-            if any(license_scan.align(doc, template, s)[0] >= 0.8 * len(template)
-                   for s in range(-len(template), len(doc) + 1, step)):
-                want.add((r["doc_id"], name))
-    rows = spark.createDataFrame([(r["doc_id"], r["text"]) for r in some], "doc_id long, text string")
+        some.append((2 * 10**6 + n, "before it\n" + " ".join(words) + "\nafter it"))
+    some.append((3 * 10**6, "All rights reserved. All rights reserved. All rights kept. Released under the MIT License. Or "
+                 "released under the MIT license"))
+    want = {}
+    for i, text in some:
+        doc = words_of(text)
+        for name, template in TEMPLATES.items():
+            least = words_of(template)
+            for matched, first, beyond in brute_places(doc, least, 0.8 * len(least)):
+                want[i, name, first, beyond] = matched
+    rows = spark.createDataFrame(some, "doc_id long, text string")
     got = scan_licenses(rows).collect()
-    assert {(r["doc_id"], r["license"]) for r in got} == want and len(want) > len(TEMPLATES)
-    text_of = {r["doc_id"]: r["text"] for r in some}
+    assert {(r["doc_id"], r["license"], r["start_word"], r["end_word"]): r["n_matched"] for r in got} == want
+    text_of = dict(some)
     for r in got:
         span = text_of[r["doc_id"]][r["start_char"] : r["end_char"]]
-        assert len(re.findall(r"\w+", span)) == r["end_word"] - r["start_word"]
+        assert len(words_of(span)) == r["end_word"] - r["start_word"]
         assert r["coverage"] == r["n_matched"] / r["n_template_words"] >= 0.8
-    long = [r for r in got if r["doc_id"] >= 10**6 and r["n_template_words"] > 20]
-    assert long and all(r["n_matched"] >= r["n_template_words"] - 3 for r in long)
+    of = lambda i: [r["license"] for r in got if r["doc_id"] == i]
+    assert of(3 * 10**6) == ["all-rights-reserved"] * 2 + ["mit-line"] * 2
+    number = list(TEMPLATES).index("bsd-3-clause")
+    assert of(10**6 + number) == ["bsd-3-clause"] * 3 and of(2 * 10**6 + number) == ["bsd-3-clause"]
+
+
+def test_many_places_take_time_in_proportion(spark):
+    import time
+
+    index, memory = license_scan.Index(TEMPLATES), license_scan._Words()
+    start = time.perf_counter()
+    found = list(index.scan("All rights reserved. " * 20_000, 0.8, memory))
+    assert len(found) == 20_000 and [f[4] for f in found] == list(range(0, 60_000, 3))
+    assert time.perf_counter() - start < 60
 
 
 # Operator 4
@@ -74,8 +129,6 @@ def test_folding():
 def test_toxicity_of_planted_words(spark, documents):
     """Insults planted in half of the clean documents, some disguised in the
     held-out part; the model must find them there and leave the rest alone."""
-    import pyspark.sql.functions as F
-
     insults = ["blorgface", "snartly", "grumpfist"]
     disguised = {"blorgface": "bl0rgf4ce", "snartly": "sn@rtly", "grumpfist": "grumрfist"}  # Cyrillic р
     clean = documents.where("lang = 'en'").select("doc_id", "text")
@@ -91,12 +144,38 @@ def test_toxicity_of_planted_words(spark, documents):
     assert model.score("") < 0.7 and 0 <= model.score(None) <= 1
 
 
+@pytest.mark.parametrize("lang, recall", [("en", 0.85), ("de", 0.9), ("es", 0.9), ("fr", 0.55)])
+def test_toxic_texts_of_each_language(toxic_at_sf01, lang, recall):
+    toxic, clean = (toxic_at_sf01.get((lang, x)) for x in (1, 0))
+    assert toxic[1] >= recall * toxic[0] and clean[1] <= 0.015 * clean[0]
+
+
+@pytest.fixture(scope="module")
+def toxic_at_sf01(spark):
+    """(language, label) -> held-out rows and those predicted toxic."""
+    sf = "/root/testdata/sf0.1"
+    scored = LLM_QUERIES["op4_toxicity"](spark, sf).where("held_out")
+    joined = scored.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").join(
+        spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    counts = joined.groupBy("lang", "toxic").agg(F.count("*").alias("n"), F.sum("predicted").alias("hit")).collect()
+    return {(r["lang"], r["toxic"]): (r["n"], r["hit"]) for r in counts}
+
+
 def test_exceptions_and_length():
     model = toxicity.ToxicityModel({" trash ": 5.0, " moron": 5.0}, slope=4.0, offset=-3.0)
     assert model.weight("you trash") > 0 and model.weight("the trash can") == 0
     assert model.weight("moronic " + "word " * 500) < model.weight("moronic word")
 
 
+def test_many_exceptions_take_time_in_proportion():
+    import time
+
+    model = toxicity.ToxicityModel({" trash ": 5.0, " can ": 1.0})
+    start = time.perf_counter()
+    assert model.weight("trash can " * 200_000) == 0 and model.weight("trash can trash") > 0
+    assert time.perf_counter() - start < 20
+
+
 def test_sampled_labels_are_bounded(spark):
     labels = spark.range(20_000).selectExpr("id AS doc_id", "int(id % 10 = 0) AS toxic")
     got = {r["label"]: r["count"] for r in toxicity.sample_labels(labels, 500).groupBy("label").count().collect()}
@@ -176,6 +255,58 @@ def test_main_text_of_inline_tags_after_an_omitted_head():
     assert main_text("<head><title>X</title>One, two <b>three</b>, <a href=x>4</a>.<p>Five.") == "One, two three, 4.\nFive."
 
 
+PROSE = "The long sentence goes on, with commas, and says something at its end. " * 4
+
+
+@pytest.mark.parametrize("name", [
+    "has-sidebar", "content no-sidebar", "post tag-news category-alerts", "with-comments", "is-promo", "status-alert"])
+def test_containers_keep_their_text_whatever_they_say_of_the_page(name):
+    page = f'<body><div class="main-nav">Menu</div><div class="{name}"><h1>Title</h1><p>{PROSE}</p><p>{PROSE}</p></div></body>'
+    assert main_text(page).startswith("Title\nThe long") and main_text(page).count("commas") == 8 and "Menu" not in main_text(page)
+    inner = f'<body><div class="{name} sidebar"><article><h1>Title</h1><p>{PROSE}</p></article></div><div class="sidebar">S</div></body>'
+    assert main_text(inner) == f"Title\n{PROSE.strip()}"
+
+
+def test_sections_of_an_article_by_what_they_hold():
+    links = "".join(f'<li><a href="/{i}">Another story of the day {i}</a></li>' for i in range(6))
+    page = (f'<article><h1>T</h1><p>{PROSE}</p><section class="related"><h2>Related work</h2><p>{PROSE}</p></section>'
+            f'<section class="discussion"><p>{PROSE}</p></section><section class="related-posts"><ul>{links}</ul></section>'
+            f'<div class="comments"><p>{PROSE}</p></div><p>Enter <label>a name</label> or <math>x + y</math> here.</p></article>')
+    text = main_text(page)
+    assert text.count("commas") == 12 and "Related work" in text and "Another story" not in text
+    assert text.endswith("Enter a name or x + y here.")
+
+
+def test_quotes_count_only_after_an_equals_sign():
+    assert main_text("<p title=don't>First</p><p>It's second</p><p>third</p>") == "First\nIt's second\nthird"
+    assert main_text('<p " class=x>one</p><p title="a > b">two</p><p title = \'c > "d"\'>three</p>') == "one\ntwo\nthree"
+
+
+@pytest.mark.parametrize("piece", [
+    "<a b", '<a b="', "<p title='", "<iframe>x", "<span class=ad>x", '<div class="ad">x', "<article>x", "<header>x",
+    "<center>x", "<main><section class=related>x", "= <a ="])
+def test_time_grows_with_the_page(piece):
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        main_text(piece * n + '"')
+        return time.perf_counter() - start
+
+    n = 200_000 // len(piece)
+    small = min(seconds(n) for _ in range(2))
+    assert seconds(8 * n) < 24 * small + 1.0  # 1.6 MB
+
+
+def test_nested_and_stray_end_tags_grow_with_the_page():
+    import time
+
+    start = time.perf_counter()
+    main_text("<li><article>" + "<div>" * 50_000 + "</li>" * 50_000)
+    main_text("<dd><ul>" + "<center>" * 50_000 + "<dt>x" * 50_000)
+    assert time.perf_counter() - start < 30
+
+
 def test_main_text_of_pages(spark):
     """The pages' articles, cut out by their own markers."""
     import html as entities
@@ -271,9 +402,25 @@ def test_language_accuracy_on_held_out_rows(spark):
 def test_prediction_ignores_the_batch_and_reads_long_texts(monkeypatch):
     text = "der die das und ein\n" * 50
     whole = np.sort(np.concatenate(list(language_id.subwords(text))))
-    monkeypatch.setattr(language_id, "PART", 64)
-    parts = np.concatenate(list(language_id.subwords(text)))
-    assert abs(len(parts) - len(whole)) < 0.2 * len(whole) and set(whole) <= set(parts)
+    for part in (1, 2, 3, 64, 1000):
+        monkeypatch.setattr(language_id, "PART", part)
+        parts = np.sort(np.concatenate(list(language_id.subwords(text))))
+        assert (parts == whole).all()
+
+
+@pytest.mark.parametrize("text", ["", " ", "12 !?", "\n" * 50])
+def test_texts_without_letters_have_no_subwords(monkeypatch, text):
+    for part in (1, 3, 1 << 18):
+        monkeypatch.setattr(language_id, "PART", part)
+        assert sum(map(len, language_id.subwords(text))) == 0
+
+
+def test_long_texts_hold_every_subword_once():
+    words = "ein Text mit vielen   Wörtern, 12 Zeilen und mehr\n"
+    once, twice = (np.bincount(np.concatenate(list(language_id.subwords(words * n))), minlength=1 << 16) for n in (1, 2))
+    many = np.bincount(np.concatenate(list(language_id.subwords(words * 20_000))), minlength=1 << 16)
+    assert len(words) * 20_000 > 3 * language_id.PART
+    assert (many == once + 19_999 * (twice - once)).all()
 
 
 # Operator 8
