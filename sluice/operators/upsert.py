@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.session import delete_path, path_exists, scratch_path
+from sluice.session import delete_path, scratch_path
 from sluice.sinks.commits import Files
 
 BUCKET_COLUMN = "key_bucket"
@@ -80,7 +80,7 @@ def stage_upsert(
     there is no table at ``path`` yet, the batch is all of it.
     """
     batch = batch.withColumn(BUCKET_COLUMN, key_bucket(keys, buckets))
-    if path_exists(spark, path):
+    if any(n.startswith(f"{BUCKET_COLUMN}=") for n in Files(spark, path).names("")):
         touched = [r[0] for r in batch.select(BUCKET_COLUMN).distinct().collect()]
         target = spark.read.parquet(path).where(F.col(BUCKET_COLUMN).isin(touched))
     else:

@@ -50,16 +50,19 @@ def admissions_clean(
     names: Mapping[str, str] | None = None,
     sentinels=BLANK_SENTINELS,
     trace: Trace | None = None,
+    distinct: bool = True,
 ) -> DataFrame:
     """Blank sentinels, drop exact duplicates, drop all-blank rows.
 
     ``trace`` (a dict) collects row counts after reading, dedup and the
     blank-row drop, as a side effect of the job's own run.
+    ``distinct=False`` leaves duplicates in, and the shuffle out: for maxima
+    and minima, which they don't change.
     """
     n = _n(names)
     src = [n(c) for c in ADMISSIONS_SOURCE]
     df = blank_sentinels(traced(raw.select(*src), "read", trace), sentinels, src)
-    df = traced(dedup_rows(df), "distinct", trace)
+    df = traced(dedup_rows(df) if distinct else df, "distinct", trace)
     return traced(drop_blank_rows(df, src), "clean", trace)
 
 

@@ -213,7 +213,7 @@ def q_reorder_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_scalar_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1, P10: typed maxima of the cleaned rows (one row)."""
-    clean = admissions_clean(admissions_raw(spark, sf_dir))
+    clean = admissions_clean(admissions_raw(spark, sf_dir), distinct=False)
     return global_stats(
         clean,
         {
@@ -225,7 +225,7 @@ def q_scalar_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_text_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: lexicographic maxima of the text columns (one row)."""
-    clean = admissions_clean(admissions_raw(spark, sf_dir))
+    clean = admissions_clean(admissions_raw(spark, sf_dir), distinct=False)
     return global_stats(
         clean,
         {"max_age_text": F.max("age"), "max_billing_text": F.max("billing_amount")},
@@ -355,8 +355,8 @@ def q_admissions_etl_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- smart home -------------------------------------------------------------
 
-def _sh_house(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = smart_home_clean(smart_home_raw(spark, sf_dir))
+def _sh_house(spark: SparkSession, sf_dir: str, distinct: bool = True) -> DataFrame:
+    clean = smart_home_clean(smart_home_raw(spark, sf_dir), distinct=distinct)
     return smart_home_totals(smart_home_typed(clean))
 
 
@@ -433,7 +433,7 @@ def q_day_extremes_attached(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_argmax_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The circuit with the largest reading."""
-    return argmax_column(_sh_house(spark, sf_dir), POWER_FIELDS)
+    return argmax_column(_sh_house(spark, sf_dir, distinct=False), POWER_FIELDS)
 
 
 def q_describe_power(spark: SparkSession, sf_dir: str) -> DataFrame:

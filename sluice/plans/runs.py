@@ -46,7 +46,15 @@ from sluice.plans.schemas import (
 )
 from sluice.plans.smart_home import smart_home_etl
 from sluice.session import delete_path, path_exists, warn_of_interpreted_stages
-from sluice.sinks.commits import RunLedger, current_version, publish_version, published_by
+from sluice.sinks.commits import (
+    RunLedger,
+    current_version,
+    held_by,
+    hold_table,
+    publish_version,
+    published_by,
+    release_table,
+)
 from sluice.sinks.files import publish, write_jdbc, write_once
 from sluice.sources.csv import (
     MISFIT_COLUMN,
@@ -162,11 +170,15 @@ def _sinks(
         sink("keyed", lambda: publish(keyed_upsert(previous, written, [key], version), outputs.keyed))
     if keyed_table is not None:
         # Two steps, so that a failure while directories are replaced leaves
-        # the merged rows to replace them from.
+        # the merged rows to replace them from; no other run may merge between.
         outputs.keyed, merged = keyed_table, f"{out}/_merged"
+        if run.ledger.committed("keyed_replace") is None:
+            hold_table(spark, keyed_table, run.batch_id)
         sink("keyed_merge", lambda: stage_upsert(spark, keyed_table, written, [key], version, keyed_buckets, merged))
         sink("keyed_replace", lambda: replace_buckets(spark, keyed_table, merged))
         delete_path(spark, merged)
+        if held_by(spark, keyed_table) == run.batch_id:
+            release_table(spark, keyed_table)
     if publish_to is not None:
         based_on = sink("publish_base", lambda: {"version": current_version(spark, publish_to)})["version"]
 
@@ -309,7 +321,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("job", choices=["admissions", "admissions_reject", "smart_home"])
     parser.add_argument("--input", required=True, nargs="+")
     parser.add_argument("--output", required=True)
-    parser.add_argument("--batch-id")
+    parser.add_argument("--batch-id", help="of the run; left out, an unfinished run of the output goes on")
     parser.add_argument("--headers", choices=["original", "snake", "workflow"], default="original")
     parser.add_argument("--window", nargs=2, metavar=("FROM", "TO"))
     parser.add_argument("--day-col", help="smart_home: date column the input is laid out by")
@@ -353,7 +365,10 @@ def main(argv: Sequence[str] | None = None) -> None:
             spark, args.input, args.output, args.batch_id, names=headers.get(args.headers),
             reject=args.job == "admissions_reject", text_maxima=args.text_maxima, rounding=args.rounding, **common,
         )
-    print(f"table={outputs.table} csv={outputs.csv} keyed={outputs.keyed} rows={outputs.counts}")
+    print(
+        f"table={outputs.table} csv={outputs.csv} keyed={outputs.keyed} published={outputs.published} "
+        f"quarantine={outputs.quarantine} rows={outputs.counts}"
+    )
     spark.stop()
 
 

@@ -78,16 +78,20 @@ def smart_home_clean(
     sentinels=BLANK_SENTINELS_SMART_HOME,
     day_col: str | None = None,
     trace: Trace | None = None,
+    distinct: bool = True,
 ) -> DataFrame:
     """Timed readings with sentinels blanked, duplicates and blank rows gone.
 
+    ``distinct=False`` leaves duplicates in, and the shuffle out: for maxima
+    and minima, which they don't change.
     ``trace`` (a dict) collects row counts after the window, dedup and the
     blank-row drop, as a side effect of the job's own run.
     """
     n = _n(names)
     src = [n(c) for c in SMART_HOME_SOURCE]
     df = traced(smart_home_timed(raw, names, window, day_col), "in_window", trace)
-    df = traced(dedup_rows(blank_sentinels(df, sentinels)), "distinct", trace)
+    df = blank_sentinels(df, sentinels)
+    df = traced(dedup_rows(df) if distinct else df, "distinct", trace)
     return traced(drop_blank_rows(df, src), "clean", trace)
 
 

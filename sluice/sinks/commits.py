@@ -129,6 +129,33 @@ class RunLedger:
         self.files.create(f"{self.batch_id}/finished", {"at": time.time()}, replace=True)
 
 
+_WRITER = "_writer"
+
+
+def hold_table(spark: SparkSession, root: str, by: str) -> None:
+    """Claim the table at ``root`` for writer ``by`` until ``release_table``.
+
+    For writes in place of several steps: a second writer is refused
+    (``PublishConflict``) while the first is between steps, even if it died
+    there; called again, the first finds its own claim and goes on. A claim
+    that will never be taken up again is the file ``_writer`` of the table.
+    """
+    files = Files(spark, root)
+    if not files.create(_WRITER, {"by": by}):
+        holder = held_by(spark, root)
+        if holder != by:
+            raise PublishConflict(f"{root} is being written by {holder}")
+
+
+def held_by(spark: SparkSession, root: str) -> str | None:
+    """The writer that holds the table at ``root``."""
+    return (Files(spark, root).read(_WRITER) or {}).get("by")
+
+
+def release_table(spark: SparkSession, root: str) -> None:
+    Files(spark, root).delete(_WRITER)
+
+
 # --- tables published under one name --------------------------------------------
 
 VERSIONS = "_versions"

@@ -99,6 +99,22 @@ def test_an_unfinished_run_goes_on_without_its_batch_id(spark, landing, tmp_path
         runs.run_admissions(spark, landing, out, batch_id="20230401120000001")
 
 
+def test_no_run_merges_between_the_steps_of_another(spark, landing, tmp_path, monkeypatch):
+    keyed = str(tmp_path / "keyed")
+    options = {"csv": False, "keyed_table": keyed, "keyed_buckets": 4}
+    monkeypatch.setattr(runs, "replace_buckets", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        runs.run_admissions(spark, landing, str(tmp_path / "a"), BATCH, **options)
+    monkeypatch.undo()
+    with pytest.raises(PublishConflict):
+        runs.run_admissions(spark, landing, str(tmp_path / "b"), "20230402120000000", **options)
+    runs.run_admissions(spark, landing, str(tmp_path / "a"), BATCH, **options)
+    assert commits.held_by(spark, keyed) is None
+    runs.run_admissions(spark, landing, str(tmp_path / "b"), "20230402120000000", **options)
+    kept = spark.read.parquet(keyed)
+    assert kept.count() == 40 and [r[0] for r in kept.select("ETL_batch_id").distinct().collect()] == [20230402120000000]
+
+
 def test_an_output_of_unknown_origin_is_not_replaced(spark, landing, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "run" / "table"))
     with pytest.raises(FileExistsError):
