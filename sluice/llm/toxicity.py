@@ -50,7 +50,9 @@ EXCEPTIONS = (
 #: Lengths of the word beginnings that may enter the lexicon.
 BEGINNINGS = (4, 5, 6)
 #: Distinct features a task counts before it hands them on.
-COUNTED_TOGETHER = 400_000
+COUNTED_TOGETHER = 200_000
+#: Tokens a task remembers the folded forms of.
+REMEMBERED_TOKENS = 1 << 18
 
 
 @cache
@@ -71,7 +73,7 @@ class _Folded(dict):
     """Token -> folded token; i and l fold together, as 1 stands for both."""
 
     def __missing__(self, token: str) -> str:
-        if len(self) >= 1 << 20:
+        if len(self) >= REMEMBERED_TOKENS:
             self.clear()
         word = token.strip("!|")
         if not word.isalpha() and any(c.isalpha() for c in word):
@@ -118,8 +120,8 @@ class ToxicityModel:
         return self._made["automaton"], self._made["memory"]
 
     def weight(self, text: str | None) -> float:
-        """Weights of the words found, each word's largest, over the logarithm
-        of the number of words."""
+        """Weights of the words found, each word's largest, over the root of the
+        number of words (and some, so that a short text is not one word)."""
         automaton, memory = self._automaton()
         words = folded_words(text, memory)
         if not words or not len(automaton):
@@ -140,7 +142,7 @@ class ToxicityModel:
                 inside, span = max(inside, span[1]), next(spans, None)
             if at >= inside:
                 total += best[at]
-        return total / math.log2(len(words) + 8)
+        return 3 * total / math.sqrt(len(words) + 30)
 
     def score(self, text: str | None) -> float:
         z = self.slope * self.weight(text) + self.offset
@@ -203,12 +205,14 @@ def train(
     ).where("label IN (0, 1)")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, counted = _Folded(), [Counter() for _ in range(4)]  # words of each label, then documents
+        # By label; a count is of words below one_doc, and of documents above.
+        memory, counted, one_doc = _Folded(), (Counter(), Counter()), 1 << 40
 
         def flush() -> pa.RecordBatch:
-            names = list(counted[0] | counted[1])
+            names = list(counted[0].keys() | counted[1].keys())
+            columns = [np.fromiter((c[f] for f in names), dtype=np.int64, count=len(names)) for c in counted]
             batch = pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), *(pa.array([c[f] for f in names], pa.int64()) for c in counted)],
+                [pa.array(names, pa.string()), *(pa.array(c % one_doc) for c in columns), *(pa.array(c // one_doc) for c in columns)],
                 names=["feature", "clean", "toxic", "clean_docs", "toxic_docs"],
             )
             for c in counted:
@@ -223,9 +227,9 @@ def train(
                     for feature in word_features(word):
                         found[feature] += times
                 found[""] = len(words)
-                label = label.as_py()
-                counted[label].update(found)
-                counted[2 + label].update(dict.fromkeys(found, 1))
+                counter = counted[label.as_py()]
+                for feature, times in found.items():
+                    counter[feature] += times + one_doc
                 if len(counted[0]) + len(counted[1]) > COUNTED_TOGETHER:
                     yield flush()
         yield flush()

@@ -144,10 +144,10 @@ def test_toxicity_of_planted_words(spark, documents):
     assert model.score("") < 0.7 and 0 <= model.score(None) <= 1
 
 
-@pytest.mark.parametrize("lang, recall", [("en", 0.85), ("de", 0.9), ("es", 0.9), ("fr", 0.55)])
+@pytest.mark.parametrize("lang, recall", [("en", 0.85), ("de", 0.9), ("es", 0.9), ("fr", 0.6)])
 def test_toxic_texts_of_each_language(toxic_at_sf01, lang, recall):
     toxic, clean = (toxic_at_sf01.get((lang, x)) for x in (1, 0))
-    assert toxic[1] >= recall * toxic[0] and clean[1] <= 0.015 * clean[0]
+    assert toxic[1] >= recall * toxic[0] and clean[1] <= 0.01 * clean[0]
 
 
 @pytest.fixture(scope="module")
