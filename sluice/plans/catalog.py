@@ -110,6 +110,8 @@ SHORT_FIELDS = 13  # fields of the lines that are too short
 DRIFT_MISSING = ("doctor", "medication")  # columns that one of the files lacks
 WINDOWS_FROM = "2024-01-02 05:00:00"
 STREAM_FILES = 5
+#: Rows of a landed file at most, about: what one task gathers and writes.
+STREAM_FILE_ROWS = 250_000
 COUNTED_RUNS = 3
 # Figures that depend on the order sums are merged in are compared at this scale.
 COMPARED_SCALE = 6
@@ -573,17 +575,24 @@ def q_time_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- state across micro-batches --------------------------------------------------------
 
-def _in_files(raw: DataFrame, spark: SparkSession, name: str) -> str:
+def _in_files(raw: DataFrame, spark: SparkSession, name: str) -> tuple[str, int]:
     """``raw`` and a second copy of it dealt out over files, so that equal
-    rows lie in different files."""
+    rows lie in different files.
+
+    Returns the folder and the files of a micro-batch, of which there are
+    ``STREAM_FILES``: with more rows a micro-batch has more files, not larger
+    ones, as a file is one task's work.
+    """
     landing = scratch_path(spark, f"{name}_landing")
-    write_csv(raw.union(raw).repartition(STREAM_FILES), landing)
-    return landing
+    a_batch = max(1, -(-2 * raw.count() // (STREAM_FILES * STREAM_FILE_ROWS)))
+    write_csv(raw.union(raw).repartition(STREAM_FILES * a_batch), landing)
+    return landing, a_batch
 
 
 def _folded(spark: SparkSession, raw: DataFrame, flow: FoldedFlow, columns: Sequence[str], name: str) -> DataFrame:
     root = scratch_path(spark, name)
-    flow.run(spark, _in_files(raw, spark, name), columns, root, batch_id_for=lambda _epoch: BATCH_ID, max_files_per_trigger=1)
+    landing, a_batch = _in_files(raw, spark, name)
+    flow.run(spark, landing, columns, root, batch_id_for=lambda _epoch: BATCH_ID, max_files_per_trigger=a_batch)
     return flow.result(spark, root)
 
 

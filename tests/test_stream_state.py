@@ -1,10 +1,13 @@
 """State across micro-batches: repeated rows, folded statistics, step counts."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from sluice.operators.partials import folded, partial_stats, with_folded_stats
 from sluice.operators.stats import with_global_stats
+from sluice.plans import catalog
 from sluice.plans.admissions import admissions_etl
 from sluice.plans.schemas import ADMISSIONS_HEADERS, ADMISSIONS_SOURCE, SMART_HOME_SOURCE
 from sluice.plans.smart_home import smart_home_etl
@@ -124,3 +127,23 @@ def test_folding_equals_the_whole_table(spark):
     assert all(got[s] == pytest.approx(whole[s]) for s in ("count", "sum", "avg", "min", "max")) and got["text_max"] == "9"
     nothing = partial_stats(df.where("false"), ["v"]).agg(folded("v", "avg").alias("a"), folded("v", "count").alias("n")).first()
     assert nothing["a"] is None and nothing["n"] == 0
+
+
+@pytest.mark.parametrize("name", ["smart_home_stream_folded"])
+def test_more_rows_land_in_more_files(spark, sf_small, tmp_path, monkeypatch, name):
+    """No landed file, which one task writes, grows with the table; the
+    micro-batches stay as many and the rows the same."""
+    run, landed, epochs = catalog.QUERIES[name], [], []
+    want = rows(run(spark, sf_small))
+
+    def scratch(_spark, name):
+        path = str(tmp_path / name)
+        (landed if name.endswith("_landing") else epochs).append(path)
+        return path
+
+    monkeypatch.setattr(catalog, "scratch_path", scratch)
+    monkeypatch.setattr(catalog, "STREAM_FILE_ROWS", 100)
+    assert rows(run(spark, sf_small)) == want
+    lines = [len(f.read_text().splitlines()) - 1 for f in Path(landed[0]).glob("part-*")]
+    assert sum(lines) > 1000 and max(lines) <= 110
+    assert spark.read.parquet(f"{epochs[0]}/partials").count() == catalog.STREAM_FILES
