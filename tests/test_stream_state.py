@@ -129,7 +129,7 @@ def test_folding_equals_the_whole_table(spark):
     assert nothing["a"] is None and nothing["n"] == 0
 
 
-@pytest.mark.parametrize("name", ["smart_home_stream_folded"])
+@pytest.mark.parametrize("name", ["smart_home_stream_folded", "admissions_stream_folded"])
 def test_more_rows_land_in_more_files(spark, sf_small, tmp_path, monkeypatch, name):
     """No landed file, which one task writes, grows with the table; the
     micro-batches stay as many and the rows the same."""
