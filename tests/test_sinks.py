@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from sluice.plans import catalog
 from sluice.sinks import publish, stage, write_csv, write_jdbc, write_unquoted_csv
 from sluice.sources.csv import read_text_csv
 
@@ -18,6 +19,24 @@ def test_unquoted_csv_writes_header_first_and_raw_commas(spark, tmp_path):
     assert sorted(line for lines in parts for line in lines[1:]) == ['"q" \\,', "a,x, y", "b,"]  # nothing quoted
 
 
+def test_more_rows_make_more_unquoted_parts(spark, tmp_path, monkeypatch):
+    """No part, which one task gathers and writes, grows with the table."""
+    spark.range(3000).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "TIMESTAMP_NTZ'2024-01-05 00:00:00' AS o_orderdate", "id / 4 AS o_totalprice"
+    ).write.parquet(str(tmp_path / "in" / "orders.parquet"))
+    want = 3000 + 300 + 6  # with the second copies and the blank rows
+    for at_most, parts in ((1_000_000, 5), (100, 34)):
+        folder = tmp_path / str(at_most)
+        monkeypatch.setattr(catalog, "scratch_path", lambda _spark, name, folder=folder: str(folder / name))
+        monkeypatch.setattr(catalog, "PUBLISHED_ROWS_PER_FILE", at_most)
+        out = catalog.q_csv_unquoted_readback(spark, str(tmp_path / "in"))
+        assert out.count() == want and out.distinct().count() == 3001
+        files = (folder / "csv_unquoted_readback").glob("part-*")
+        lines = [len(f.read_text().splitlines()) - 1 for f in files]
+        assert len(lines) == parts and sum(lines) == want
+    assert max(lines) < 200
+
+
 def test_csv_round_trip_keeps_blanks_and_commas(spark, tmp_path):
     df = spark.createDataFrame([(" a ", "x, y"), ("b", None)], "k string, v string")
     path = str(tmp_path / "c")
